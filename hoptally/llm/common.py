@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,7 +61,7 @@ def fold(id_col: str, parts: int) -> F.Column:
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of the batches in runs of at most `most` bytes of `column`, one row at least."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         upto, at = np.cumsum(sizes, dtype=np.int64), 0
         while at < batch.num_rows:
             base = upto[at - 1] if at else 0
