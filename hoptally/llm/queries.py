@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from hoptally.llm.classifier import op9_quality_classifier
 from hoptally.llm.packing import op5_packing
 from hoptally.llm.quality import op7_quality_rules
+from hoptally.llm.substring import op1_substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": op1_substring_dedup,
         "op5_packing": op5_packing,
         "op7_quality_rules": op7_quality_rules,
         "op9_quality_classifier": op9_quality_classifier,
