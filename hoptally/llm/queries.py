@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hoptally.llm.classifier import op9_quality_classifier
+from hoptally.llm.embedding import op8_embedding_near_dedup
+from hoptally.llm.minhash import op4_minhash_near_dedup
 from hoptally.llm.packing import op5_packing
 from hoptally.llm.quality import op7_quality_rules
 from hoptally.llm.substring import op1_substring_dedup
@@ -15,8 +17,10 @@ from hoptally.llm.substring import op1_substring_dedup
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op4_minhash_near_dedup": op4_minhash_near_dedup,
         "op5_packing": op5_packing,
         "op7_quality_rules": op7_quality_rules,
+        "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_quality_classifier": op9_quality_classifier,
     }
 
