@@ -26,8 +26,9 @@ TARGETS = {"clean": 0.90, "low": 0.07, "toxic": 0.03}
 #: Bounds of the fitted sample: rows of a domain, and characters of a row.
 SAMPLE_ROWS, SAMPLE_CHARS = 1500, 20_000
 BUCKETS = 1 << 16
-#: A bucket is a feature if so many sampled texts hold it.
-LEAST_TEXTS = 4
+#: A bucket is a feature if so many sampled texts hold it, and if in some domain they are so many standard
+#: deviations more or fewer than in all domains together.
+LEAST_TEXTS, LEAST_DEVIATION = 5, 4.0
 RIDGE, ROUNDS, CLOSE = 1e-4, 25, 1e-7
 
 
@@ -98,20 +99,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     half = [rows[::2], rows[1::2] or rows[::2]]
     owner, bucket, shape, _ = features(pa.array([r["text"] for r in half[0]]))
     y = np.eye(len(DOMAINS))[[r["y"] for r in half[0]]]
-    common = np.bincount(bucket, minlength=BUCKETS) >= LEAST_TEXTS
-    owner, bucket = owner[common[bucket]], bucket[common[bucket]]
-    squares, squared = np.full_like(model.weights, 1e-3), np.full_like(model.shape, 1e-3)
-    for _ in range(60):
+    held = np.stack([np.bincount(bucket, y[owner, d], BUCKETS) for d in range(len(DOMAINS))], 1)
+    expected = held.sum(1, keepdims=True) * y.mean(0)
+    telling = (held.sum(1) >= LEAST_TEXTS) & (np.abs(held - expected) >= LEAST_DEVIATION * np.sqrt(np.maximum(expected, 0.5))).any(1)
+    owner, bucket = owner[telling[bucket]], bucket[telling[bucket]]
+    squares, squared = np.full_like(model.weights, 1e-9), np.full_like(model.shape, 1e-9)
+    for _ in range(200):
         z = shape @ model.shape
         for d in range(len(DOMAINS)):
             z[:, d] += np.bincount(owner, model.weights[bucket, d], len(y))
         wrong = (_softmax(z) - y) / len(y)
-        slope = np.stack([np.bincount(bucket, wrong[owner, d], BUCKETS) for d in range(len(DOMAINS))], 1) + 1e-6 * model.weights
-        squares += slope**2 * 1e6
-        model.weights[:] -= 100 * slope / np.sqrt(squares)
+        slope = np.stack([np.bincount(bucket, wrong[owner, d], BUCKETS) for d in range(len(DOMAINS))], 1) + 1e-5 * model.weights
+        squares += slope**2
+        model.weights[:] -= 0.3 * slope / np.sqrt(squares)
         slope = shape.T @ wrong
-        squared += slope**2 * 1e4
-        model.shape[:] -= 20 * slope / np.sqrt(squared)
+        squared += slope**2
+        model.shape[:] -= 0.3 * slope / np.sqrt(squared)
     z, _ = logits(model, pa.array([r["text"] for r in half[1]]))
     y = np.array([r["y"] for r in half[1]])
     heats = np.geomspace(0.05, 5, 60)
