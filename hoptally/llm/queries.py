@@ -8,22 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hoptally.llm.classifier import op9_quality_classifier
 from hoptally.llm.embedding import op8_embedding_near_dedup
+from hoptally.llm.html import op3_html_extraction
 from hoptally.llm.minhash import op4_minhash_near_dedup
+from hoptally.llm.mixing import op10_mixing
 from hoptally.llm.packing import op5_packing
 from hoptally.llm.quality import op7_quality_rules
 from hoptally.llm.substring import op1_substring_dedup
+from hoptally.llm.warc import OP6_SQL, op6_warc_revisits
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op3_html_extraction": op3_html_extraction,
         "op4_minhash_near_dedup": op4_minhash_near_dedup,
         "op5_packing": op5_packing,
+        "op6_warc_revisits": op6_warc_revisits,
         "op7_quality_rules": op7_quality_rules,
         "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_quality_classifier": op9_quality_classifier,
+        "op10_mixing": op10_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_warc_revisits": OP6_SQL}
