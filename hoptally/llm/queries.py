@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hoptally.llm.classifier import op9_quality_classifier
 from hoptally.llm.embedding import op8_embedding_near_dedup
 from hoptally.llm.html import op3_html_extraction
+from hoptally.llm.lm import op2_lm_scoring
 from hoptally.llm.minhash import op4_minhash_near_dedup
 from hoptally.llm.mixing import op10_mixing
 from hoptally.llm.packing import op5_packing
@@ -20,6 +21,7 @@ from hoptally.llm.warc import OP6_SQL, op6_warc_revisits
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op2_lm_scoring": op2_lm_scoring,
         "op3_html_extraction": op3_html_extraction,
         "op4_minhash_near_dedup": op4_minhash_near_dedup,
         "op5_packing": op5_packing,
