@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from hoptally.llm.classifier import op9_quality_classifier
 from hoptally.llm.embedding import op8_embedding_near_dedup
 from hoptally.llm.html import op3_html_extraction
@@ -30,6 +31,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_mixing": op10_mixing,
+        "pipeline": corpus_pipeline.run,
     }
 
 
