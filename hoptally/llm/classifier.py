@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoptally.llm.common import fold, read, slices
+from hoptally.llm.common import fold, map_arrow, read, slices
 
 #: Folds of doc_id; fold 0 is held out.
 FOLDS = 5
@@ -137,7 +137,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     kind = dict(docs.dtypes)["doc_id"]
     wide = docs.select("doc_id", F.col("text").cast("string"), (fold("doc_id", FOLDS) == 0).alias("held_out"))
-    return wide.mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
+    return map_arrow(wide, run, f"doc_id {kind}, held_out boolean, score double, predicted int")
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

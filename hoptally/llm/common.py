@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,10 +12,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: The bytes that separate words: space and 0x09-0x0D.
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Bytes to a batch between Spark and Python.
+BATCH = "4m"
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -58,7 +61,16 @@ def fold(id_col: str, parts: int) -> F.Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % parts
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """df.mapInArrow(run, schema) in batches of at most BATCH bytes: batches of long texts take as much memory outside of the
+    heap, on both sides."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name, None) != BATCH:
+        conf.set(name, BATCH)
+    return df.mapInArrow(run, schema)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of the batches in runs of at most `most` bytes of `column`, one row at least."""
     for batch in batches:
         sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
@@ -68,6 +80,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20)
             end = max(at + 1, int(np.searchsorted(upto, base + most, "right")))
             yield batch.slice(at, end - at)
             at = end
+        pa.default_memory_pool().release_unused()
 
 
 @dataclass

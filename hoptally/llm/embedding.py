@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoptally.llm.common import components, read, written
+from hoptally.llm.common import components, map_arrow, read, written
 
 COSINE = 0.93
 #: Coordinates to a block, and how many of a block's coordinates the grid has.
@@ -177,8 +177,8 @@ def embedding_near_dedup(vectors: DataFrame, cosine: float = COSINE) -> DataFram
         F.coalesce(F.col("vec_id").cast("long"), F.when(h < 0, h).otherwise(-h - 1)).alias("own"),
     )
     one = written(rows.where("usable").groupBy("label", "k", "l").agg(F.min("own").alias("id"), F.count("*").alias("weight"), F.first("v").alias("v")))
-    cells = one.select("label", "id", "weight", "v").mapInArrow(
-        lambda b: _cells(b, cosine), "label long, cell long, probe boolean, id long, weight long, v array<float>"
+    cells = map_arrow(
+        one.select("label", "id", "weight", "v"), lambda b: _cells(b, cosine), "label long, cell long, probe boolean, id long, weight long, v array<float>"
     )
     counts = cells.where("not probe").groupBy("label", "cell").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     dealt = cells.join(counts, ["label", "cell"])  # a probe of a cell without homes goes
@@ -186,7 +186,7 @@ def embedding_near_dedup(vectors: DataFrame, cosine: float = COSINE) -> DataFram
     dealt = dealt.withColumn("chunk", F.explode(chunk)).drop("chunks")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.repartition(n, "label", "cell", "chunk").sortWithinPartitions("label", "cell", "chunk", "probe")
-    found = written(dealt.mapInArrow(lambda b: _joined(b, cosine), "id long, links long, linked long"))
+    found = written(map_arrow(dealt, lambda b: _joined(b, cosine), "id long, links long, linked long"))
     classes = components(found.where("id <> linked").select(F.col("id").alias("a"), F.col("linked").alias("b")), spark)
     sums = found.groupBy("id").agg(F.sum("links").alias("links"))
     nodes = one.select("label", "k", "l", "id", "weight").join(sums, "id", "left").join(classes.withColumnRenamed("node", "id"), "id", "left")

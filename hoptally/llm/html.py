@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoptally.llm.common import read, slices
+from hoptally.llm.common import map_arrow, read, slices
 
 #: Bounds of the training sample: pages, and characters of a page.
 SAMPLE_PAGES, SAMPLE_CHARS, LAYOUTS = 150, 60_000, 5
@@ -407,7 +407,7 @@ def extract(pages: DataFrame, forest: Forest) -> DataFrame:
             )
 
     kind = dict(pages.dtypes)["page_id"]
-    return pages.select("page_id", F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+    return map_arrow(pages.select("page_id", F.col("url").cast("string"), F.col("html").cast("string")), run, f"page_id {kind}, url string, text string, n_chars long")
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

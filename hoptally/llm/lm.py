@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoptally.llm.common import fold, mixed, read, slices, words_of, written
+from hoptally.llm.common import fold, map_arrow, mixed, read, slices, words_of, written
 
 FOLDS = 10
 ALPHA = 0.1
@@ -248,7 +248,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         if held:
             yield from _merged(held)
 
-    return texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return map_arrow(texts.select("text"), run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _merged(tables: list[pa.Table]) -> list[pa.RecordBatch]:
@@ -279,7 +279,7 @@ def vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
             sums[1] += np.bincount(cls, minlength=CLASSES)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES, dtype=np.int32)), pa.array(sums[0]), pa.array(sums[1])], ["cls", "n", "words"])
 
-    by_class = counts.mapInArrow(classes, "cls int, n long, words long").groupBy("cls").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).collect()
+    by_class = map_arrow(counts, classes, "cls int, n long, words long").groupBy("cls").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).collect()
     found = np.zeros((2, CLASSES), np.int64)
     for r in by_class:
         found[:, r["cls"]] = r["n"], r["words"]
@@ -308,7 +308,7 @@ def fit(train: DataFrame, v: Vocabulary) -> Model:
             yield trainer.changes()
 
         mine = train.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == turn).select("text")
-        summed = mine.mapInArrow(run, _CHANGES).repartition(n, "share").mapInArrow(_summed, _CHANGES)
+        summed = map_arrow(map_arrow(mine, run, _CHANGES).repartition(n, "share"), _summed, _CHANGES)
         for r in summed.collect():  # at most the model's size
             first, table = (r["share"], m.outer) if r["share"] < ROWS // SHARE else (r["share"] - ROWS // SHARE, m.inner)
             used = np.frombuffer(r["used"], np.float32)
@@ -360,7 +360,7 @@ def lm_score(docs: DataFrame) -> DataFrame:
             row += len(n)
 
     kind = dict(docs.dtypes)["doc_id"]
-    scored = written(docs.mapInArrow(run, f"row long, doc_id {kind}, held_out boolean, n_tokens long, seen long, base double, found double, tail array<string>"))
+    scored = written(map_arrow(docs, run, f"row long, doc_id {kind}, held_out boolean, n_tokens long, seen long, base double, found double, tail array<string>"))
     own = scored.select("row", F.explode("tail").alias("word")).join(counts, "word", "left")
 
     def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,7 +374,7 @@ def lm_score(docs: DataFrame) -> DataFrame:
                 ["row", "seen", "base", "found"],
             )
 
-    more = own.select("row", "word", "n").mapInArrow(tails, "row long, seen long, base double, found double")
+    more = map_arrow(own.select("row", "word", "n"), tails, "row long, seen long, base double, found double")
     more = more.groupBy("row").agg(*(F.sum(x).alias(f"more_{x}") for x in ("seen", "base", "found")))
     both = scored.drop("tail").join(more, "row", "left")
     whole = lambda x: F.col(x) + F.coalesce(f"more_{x}", F.lit(0))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoptally.llm.common import read, row_key, slices, words_of, written
+from hoptally.llm.common import map_arrow, read, row_key, slices, words_of, written
 
 DOMAINS = ("clean", "low", "toxic")
 TARGETS = {"clean": 0.90, "low": 0.07, "toxic": 0.03}
@@ -139,7 +139,7 @@ def memberships(docs: DataFrame, model: Model) -> DataFrame:
 
     kind = dict(docs.dtypes)["doc_id"]
     keyed = row_key(docs.select("doc_id", F.col("text").cast("string")))
-    return keyed.select("_id", "_h", "doc_id", "text").mapInArrow(run, f"_id long, _h long, doc_id {kind}, n_tokens long, p array<double>")
+    return map_arrow(keyed.select("_id", "_h", "doc_id", "text"), run, f"_id long, _h long, doc_id {kind}, n_tokens long, p array<double>")
 
 
 def rates(members: DataFrame, targets: dict[str, float]) -> tuple[DataFrame, np.ndarray]:

@@ -21,12 +21,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hoptally.llm.common import read, slices, written
+from hoptally.llm.common import map_arrow, read, slices, written
 
 WINDOW = 1024
 VOCABULARY = "byte_bpe_50k.json"
 #: Distinct words whose ids a worker keeps.
-CACHED = 500_000
+CACHED = 200_000
 #: New pieces to a call.
 JOINED = 256
 #: Unicode's white space beyond ASCII, and the separators 0x1C-0x1F: next to these a text isn't cut at spaces.
@@ -232,7 +232,7 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, window: int = WIN
                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "rank"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, rank long")
+    return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, rank long")
 
 
 def pack(docs: DataFrame, tokenizer_path: str | None = None, window: int = WINDOW) -> DataFrame:
@@ -267,7 +267,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, window: int = WINDO
             yield pa.RecordBatch.from_arrays([*keep, pa.array(sequence), pa.array(offset)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
     ranked = cut.join(base, ["part", "length"]).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("base") + F.col("rank")).alias("rank"))
-    return ranked.mapInArrow(place, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return map_arrow(ranked, place, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

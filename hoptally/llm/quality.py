@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoptally.llm.common import read, slices, words_of
+from hoptally.llm.common import map_arrow, read, slices, words_of
 
 #: Fixed values of the contract.
 SYMBOLS, LEAST_WORDS, MOST_REPEATED = "#*$%&|<>", 50, 50
@@ -153,8 +153,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
-        run, f"doc_id {kind}, clean_text string, " + ", ".join(f"{k} {t}" for k, t in METRICS.items())
+    return map_arrow(
+        docs.select("doc_id", F.col("text").cast("string")), run, f"doc_id {kind}, clean_text string, " + ", ".join(f"{k} {t}" for k, t in METRICS.items())
     )
 
 
@@ -172,7 +172,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
                 columns[k] = pc.utf8_length(texts).cast(columns[k].type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names).filter(pa.array(out["kept"]))
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

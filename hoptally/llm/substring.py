@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hoptally.llm.common import Words, mixed, read, row_key, slices, words_of
+from hoptally.llm.common import Words, map_arrow, mixed, read, row_key, slices, words_of
 
 RUN = 3
 LEAST_WORDS = 25
@@ -95,7 +95,7 @@ def repeats(docs: DataFrame) -> DataFrame:
                 ["key", "sure", "_id", "_h", "pos"],
             )
 
-    found = docs.select("_id", "_h", "text").mapInArrow(run, "key long, sure boolean, _id long, _h long, pos int")
+    found = map_arrow(docs.select("_id", "_h", "text"), run, "key long, sure boolean, _id long, _h long, pos int")
     rank = F.dense_rank().over(Window.partitionBy("key", "sure").orderBy("_id", "_h", "pos"))
     return found.withColumn("rank", rank).where("sure or rank > 1").select("_id", "_h", "pos")
 
@@ -156,7 +156,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
     kind = dict(docs.dtypes)["doc_id"]
     wide = marked(docs.select("doc_id", F.col("text").cast("string"))).select("doc_id", "text", "_pos")
-    return wide.mapInArrow(run, f"doc_id {kind}, text string, n_words long, removed_words long, removed_spans long")
+    return map_arrow(wide, run, f"doc_id {kind}, text string, n_words long, removed_words long, removed_spans long")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -175,7 +175,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 columns[k] = pc.utf8_length(text).cast(columns[k].type)
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array((words == 0) | (removed < words)))
 
-    return marked(docs).select(*names, "_pos").mapInArrow(run, schema)
+    return map_arrow(marked(docs).select(*names, "_pos"), run, schema)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
