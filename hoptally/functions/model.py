@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -84,17 +85,21 @@ def percentile_columns(percentiles: list[float]) -> list[Column]:
     """p<percentile>: the first edge whose running count reaches that share of what was delivered (single precision, as
     counters are compared); 0 if nothing was; null if it is never reached. The last bucket counts as lost."""
     total = (received() - lost()).cast("float")
+    counts = list(map(_zero, BUCKETS[:-1]))
+    running = F.array(*(reduce(lambda a, b: a + b, counts[: k + 1]).cast("float") for k in range(len(counts))))
+    edges = F.array(*map(F.lit, EDGES[:-1]))
     out = []
     for p in percentiles:
         threshold = (F.lit(p).cast("float") * total / F.lit(100).cast("float")).cast("float")
-        run, chosen = F.lit(0).cast("long"), F.when(total == 0, 0)
-        for edge, name in zip(EDGES[:-1], BUCKETS[:-1], strict=True):
-            run = run + _zero(name)
-            chosen = chosen.when(run.cast("float") >= threshold, edge)
-        out.append(chosen.alias(f"p{p:g}".replace(".", "_")))
+        first = F.size(F.filter(running, _below(threshold)))  # as counts only grow, the first that reaches it
+        out.append(F.when(total == 0, 0).otherwise(F.get(edges, first)).alias(f"p{p:g}".replace(".", "_")))
     return out
 
 
+def _below(limit: Column) -> Callable[[Column], Column]:
+    return lambda n: n < limit
+
+
 def publish_window(ms: Column, width: int = MINUTE) -> Column:
     return ms - ms % F.lit(width)
 

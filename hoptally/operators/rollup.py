@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hoptally.functions.model import BUCKETS, DAY, HOUR, KEY, MEASURES, MINUTE, filter_condition, lost, parse_group_by, percentile_columns, received, time_range
+from hoptally.sources.files import settled
 
 #: The longest range in days of each step of a time series in minutes; beyond, a day.
 STEPS = [(3, 60), (7, 120), (14, 240), (21, 360), (30, 480), (60, 720)]
@@ -60,6 +61,7 @@ def timeline_selection(series: DataFrame, tier: str = "all", cluster: str = "all
     chosen = [F.col(c) == v for c, v in (("tier", tier), ("cluster", cluster), ("topic", topic)) if v != "all"]
     rows = series.where(F.col("level") == level).where(reduce(lambda a, b: a & b, chosen, F.lit(True)))
     by = rows.groupBy("tier", "time").agg(F.sum("received").alias("received"), F.sum("sent").alias("sent"), F.max(latency).alias("latency"))
+    by = settled(by)
     span = by.agg(F.min("received").alias("least"), F.max("received").alias("greatest"), F.max("latency").alias("most_latency"))
     return by.join(F.broadcast(span))  # span is one row
 

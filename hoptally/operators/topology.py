@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hoptally.functions.model import BUCKETS, health, is_loss, percentile_columns, received
+from hoptally.sources.files import settled
 
 #: Tiers and the tier below each, and how parent and child belong together.
 CHAIN = [("AGENT", "PUBLISHER", "host"), ("VIP", "AGENT", "cluster"), ("COLLECTOR", "VIP", "cluster"), ("HDFS", "COLLECTOR", "cluster"), ("LOCAL", "HDFS", "cluster"), ("MERGE", "LOCAL", "source"), ("MIRROR", "MERGE", "source")]
@@ -52,7 +53,7 @@ def source_clusters(source: DataFrame, dest: DataFrame) -> DataFrame:
 
 def _nodes(tuples: DataFrame) -> DataFrame:
     """name, cluster, tier, topic, hostname, received, sent: a row a node, topic and host, with the VIP nodes."""
-    counts = topic_counts(tuples).select("name", "cluster", F.upper("tier").alias("tier"), "topic", "hostname", "received", "sent")
+    counts = settled(topic_counts(tuples)).select("name", "cluster", F.upper("tier").alias("tier"), "topic", "hostname", "received", "sent")
     vip = counts.where("tier = 'COLLECTOR'").groupBy("cluster", "topic").agg(F.sum("received").alias("received"), F.sum("sent").alias("sent"))
     return counts.unionByName(vip.select(F.lit("VIP").alias("name"), "cluster", F.lit("VIP").alias("tier"), "topic", F.lit(None).cast("string").alias("hostname"), "received", "sent"))
 
@@ -136,7 +137,7 @@ def streams_losing_data(tuples: DataFrame, source: DataFrame, dest: DataFrame, l
 
 def comparable_upstream(tuples: DataFrame, source: DataFrame, dest: DataFrame) -> DataFrame:
     """tier (MERGE, MIRROR) and upstream: what (source cluster, topic) pairs that feed its nodes received; -1 without nodes."""
-    rows = topic_counts(tuples).groupBy(F.upper("tier").alias("tier"), "cluster", "topic").agg(F.sum("received").alias("n"))
+    rows = settled(topic_counts(tuples).groupBy(F.upper("tier").alias("tier"), "cluster", "topic").agg(F.sum("received").alias("n")))
     fed = topic_sources(source, dest).join(rows.select("tier", "cluster", "topic"), ["tier", "cluster", "topic"])
     fed = fed.withColumn("below", F.when(F.col("tier") == "MERGE", "LOCAL").otherwise("MERGE"))
     sums = fed.join(rows.select(F.col("tier").alias("below"), F.col("cluster").alias("source"), "topic", "n"), ["below", "source", "topic"], "left").groupBy("tier").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("upstream"))
@@ -146,7 +147,7 @@ def comparable_upstream(tuples: DataFrame, source: DataFrame, dest: DataFrame) -
 
 def tier_count_summary(tuples: DataFrame, source: DataFrame, dest: DataFrame, loss_percent: int, warn_percent: int) -> DataFrame:
     """received, sent, upstream and health of each tier. The publisher has none above it to be held against."""
-    per = tuples.groupBy(F.upper("tier").alias("tier")).agg(F.sum(received()).alias("received"), F.sum("sent").alias("sent"))
+    per = settled(tuples.groupBy(F.upper("tier").alias("tier")).agg(F.sum(received()).alias("received"), F.sum("sent").alias("sent")))
     before = tuples.sparkSession.createDataFrame([("AGENT", "PUBLISHER", False), ("COLLECTOR", "AGENT", True), ("HDFS", "COLLECTOR", True), ("LOCAL", "HDFS", False)], "tier string, before string, by_sent boolean")
     up = before.join(per.select(F.col("tier").alias("before"), F.col("received").alias("r"), F.col("sent").alias("s")), "before").select("tier", F.when(F.col("by_sent"), F.col("s")).otherwise(F.col("r")).alias("upstream"))
     up = up.unionByName(comparable_upstream(tuples, source, dest))

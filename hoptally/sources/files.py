@@ -19,6 +19,13 @@ def scratch(spark: SparkSession) -> str:
     return f"{base or tempfile.mkdtemp(prefix='hoptally-')}/{uuid.uuid4().hex}"
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, written to the shared folder and read back: for sums that a plan would else work out several times."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """value, stream and file of text files, gzipped or not, below <root>/stream=<name>/."""
     lines = spark.read.option("recursiveFileLookup", True).text(path)
