@@ -199,3 +199,13 @@ def embedding_near_dedup(vectors: DataFrame, cosine: float = COSINE) -> DataFram
 
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_near_dedup(read(spark, sf_dir, "embeddings"))
+
+
+OP8_SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id a, b.vec_id b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= {COSINE}),
+reach AS (SELECT vec_id node, vec_id seen FROM embeddings UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.seen)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) n_links, c.component_id, e.vec_id = c.component_id kept
+FROM embeddings e JOIN (SELECT node, min(seen) component_id FROM reach GROUP BY node) c ON c.node = e.vec_id
+"""

@@ -177,3 +177,28 @@ def cleaned(docs: DataFrame) -> DataFrame:
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents")).drop("clean_text")
+
+
+def _like(words: list[str]) -> str:
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
+
+OP7_SQL = f"""
+WITH lines AS (SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS at FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) ls FROM documents)),
+worded AS (SELECT *, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') w FROM lines),
+judged AS (SELECT *, len(w) n, length(regexp_replace(line, '[^A-Z]', '', 'g')) up, length(regexp_replace(line, '[^a-z]', '', 'g')) low,
+  length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) sym, len(list_filter(w, lambda x: x IN ({_like(SEPARATORS)}))) sep FROM worded),
+failed AS (SELECT *, n > 0 AND ((n >= {SHOUT_WORDS} AND up > {SHOUT}::DOUBLE * (up + low) AND up > 0) OR (sym >= {LEAST_SYMBOLS} AND sym > {SYMBOL_SHARE}::DOUBLE * n)
+  OR (sep >= {NAV_WORDS} AND sep > {NAV_SHARE}::DOUBLE * n) OR (n <= {BOILER_WORDS} AND ({" OR ".join(f"contains(lower(line), '{p}')" for p in BOILERPLATE)}))
+  OR (n < {PLAIN_WORDS} AND NOT ({" OR ".join(f"ends_with(w[-1], {_like([e])})" for e in ENDINGS)}))) fails FROM judged),
+sums AS (SELECT doc_id, sum(n)::BIGINT n_words, sum(list_sum(list_transform(w, lambda x: length(x))))::BIGINT chars, sum(sym)::BIGINT n_symbols,
+  count(*) FILTER (n > 0)::BIGINT - count(DISTINCT CASE WHEN n > 0 THEN line END) n_dup_lines, count(*) FILTER (fails) lines_removed, sum(CASE WHEN fails THEN n ELSE 0 END)::BIGINT words_removed FROM failed GROUP BY doc_id),
+words AS (SELECT doc_id, unnest(w) AS w, unnest(range(1, len(w) + 1)) AS p FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') w FROM documents)),
+three AS (SELECT doc_id, p, w, lead(w, 1) OVER o w2, lead(w, 2) OVER o w3 FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+twice AS (SELECT doc_id, p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, w, w2, w3) c FROM three WHERE w3 IS NOT NULL) WHERE c > 1),
+covered AS (SELECT doc_id, count(DISTINCT q)::BIGINT r FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) q FROM twice) GROUP BY doc_id)
+SELECT doc_id, n_words, coalesce(chars, 0) word_chars, n_symbols, n_dup_lines, coalesce(r, 0) n_repeat_words,
+  (n_words < {LEAST_WORDS} OR 100 * coalesce(r, 0) > {MOST_REPEATED} * n_words) base_failed,
+  NOT (n_words < {LEAST_WORDS} OR 100 * coalesce(r, 0) > {MOST_REPEATED} * n_words) AND words_removed <= {MOST_LOST}::DOUBLE * n_words kept, lines_removed, words_removed
+FROM sums LEFT JOIN covered USING (doc_id)
+"""

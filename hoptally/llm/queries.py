@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from hoptally.llm.classifier import op9_quality_classifier
-from hoptally.llm.embedding import op8_embedding_near_dedup
+from hoptally.llm.embedding import OP8_SQL, op8_embedding_near_dedup
 from hoptally.llm.html import op3_html_extraction
 from hoptally.llm.lm import op2_lm_scoring
 from hoptally.llm.minhash import op4_minhash_near_dedup
 from hoptally.llm.mixing import op10_mixing
 from hoptally.llm.packing import op5_packing
-from hoptally.llm.quality import op7_quality_rules
+from hoptally.llm.quality import OP7_SQL, op7_quality_rules
 from hoptally.llm.substring import op1_substring_dedup
 from hoptally.llm.warc import OP6_SQL, op6_warc_revisits
 
@@ -36,4 +36,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc_revisits": OP6_SQL}
+    return {"op6_warc_revisits": OP6_SQL, "op7_quality_rules": OP7_SQL, "op8_embedding_near_dedup": OP8_SQL}

@@ -39,21 +39,3 @@ def test_revisits(spark):
     assert next(r["headers"] for r in out if r["record_id"] == 11) == ""
     assert resolve_revisits(spark.createDataFrame([], COLUMNS)).count() == 0
 
-
-def test_sql(spark):
-    import os
-
-    import duckdb
-
-    from hoptally.llm.warc import OP6_SQL, op6_warc_revisits
-
-    sf = "/root/testdata/sf0.001"
-    c = duckdb.connect()
-    for t in os.listdir(sf):
-        c.execute(f"create view {t.removesuffix('.parquet')} as select * from '{sf}/{t}'")
-    df = op6_warc_revisits(spark, sf)
-    want = c.sql(OP6_SQL)
-    order = sorted(df.columns)
-    assert order == sorted(want.columns)
-    mine = sorted(repr([r[k] for k in order]) for r in df.collect())
-    assert mine == sorted(repr([r[list(want.columns).index(k)] for k in order]) for r in want.fetchall())
