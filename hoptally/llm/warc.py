@@ -31,6 +31,27 @@ def canonical_url(url: Column) -> Column:
     return F.concat(host, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
 
 
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """The response and revisit records of WARC files, compressed or not, in the form that resolve_revisits takes, with body.
+
+    Files are read as a stream of records: plain ones are split among tasks, gzipped ones are a task each, and no task
+    holds more than a record. record_id is a hash of the record's own id. A record without a target or a date has nulls
+    there. A payload that itself has the line that begins a record is cut there."""
+    raw = spark.read.option("lineSep", "WARC/1.0\r\n").text(path).where("length(value) > 0")
+    part = F.split("value", "\r\n\r\n", 3)
+    rows = raw.select(part[0].alias("about"), F.get(part, F.lit(1)).alias("http"), F.get(part, F.lit(2)).alias("body"))
+    of = lambda column, name: F.nullif(F.regexp_extract(column, f"(?im)^{name}:[ \t]*(.*?)[ \t\r]*$", 1), F.lit(""))
+    lines = F.filter(F.split("http", "\r\n"), lambda x: x.contains(":") & ~x.startswith("HTTP/"))
+    pairs = F.transform(lines, lambda x: F.struct(F.lower(F.trim(F.substring_index(x, ":", 1))).alias("key"), F.trim(F.regexp_replace(x, "^[^:]*:", "")).alias("value")))
+    first = F.transform(F.array_distinct(F.transform(pairs, lambda e: e["key"])), lambda k: F.struct(k.alias("key"), F.element_at(F.filter(pairs, lambda o: o["key"] == k), 1)["value"].alias("value")))
+    kind = F.lower(of("about", "WARC-Type"))
+    return rows.where(kind.isin("response", "revisit")).select(
+        F.xxhash64(of("about", "WARC-Record-ID")).alias("record_id"), of("about", "WARC-Target-URI").alias("url"), F.unix_timestamp(F.try_to_timestamp(of("about", "WARC-Date"))).alias("ts"),
+        (kind == "revisit").alias("revisit"), of("http", "ETag").alias("etag"), of("http", "Last-Modified").alias("last_modified"), of("about", "WARC-Payload-Digest").alias("digest"),
+        F.map_from_entries(first).alias("headers"), F.regexp_replace("body", "\r\n\r\n$", "").alias("body"),
+    )
+
+
 def resolve_revisits(records: DataFrame, stretch: int = STRETCH) -> DataFrame:
     """One row per revisit: record_id, url_key, ts, response_id, status, digest, headers.
 

@@ -1,6 +1,8 @@
+import gzip
+
 from pyspark.sql import functions as F
 
-from hoptally.llm.warc import canonical_url, resolve_revisits
+from hoptally.llm.warc import canonical_url, read_warc, resolve_revisits
 
 COLUMNS = "record_id long, url string, ts long, revisit boolean, etag string, last_modified string, digest string, headers map<string,string>, status string"
 
@@ -39,3 +41,24 @@ def test_revisits(spark):
     assert next(r["headers"] for r in out if r["record_id"] == 11) == ""
     assert resolve_revisits(spark.createDataFrame([], COLUMNS)).count() == 0
 
+
+
+def warc(kind, i, date, http, body):
+    block = f"{http}\r\n\r\n{body}"
+    head = [f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:{i}>", f"WARC-Date: {date}", "WARC-Target-URI: http://www.a/x?utm_id=1" if i != 3 else "WARC-Target-URI: http://a/x", f"Content-Length: {len(block)}"]
+    return ("WARC/1.0\r\n" + "\r\n".join(head) + "\r\n\r\n" + block + "\r\n\r\n").encode()
+
+
+def test_files(spark, tmp_path):
+    records = [
+        warc("warcinfo", 0, "2024-01-01T00:00:00Z", "software: x", ""),
+        warc("response", 1, "2024-01-01T00:00:01Z", 'HTTP/1.1 200 OK\r\nETag: "v"\r\nServer: s\r\nSet-Cookie: a\r\nSet-Cookie: b', "<p>body: é\r\n\r\nmore</p>"),
+        warc("revisit", 3, "2024-01-02T00:00:00Z", 'HTTP/1.1 304 Not Modified\r\nEtag: W/"v"\r\nDate: now', ""),
+    ]
+    (tmp_path / "a.warc").write_bytes(records[0] + records[1])
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(map(gzip.compress, records[2:])))
+    got = {r["revisit"]: r for r in read_warc(spark, str(tmp_path)).collect()}
+    assert got[False]["body"] == "<p>body: é\r\n\r\nmore</p>" and got[False]["headers"] == {"etag": '"v"', "server": "s", "set-cookie": "a"}
+    out = resolve_revisits(read_warc(spark, str(tmp_path))).first()
+    assert (out["status"], out["response_id"], out["url_key"]) == ("resolved", got[False]["record_id"], "a/x")
+    assert out["headers"] == 'date: now\netag: W/"v"\nserver: s\nset-cookie: a'
