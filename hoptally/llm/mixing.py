@@ -59,6 +59,31 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return owner, pairs % BUCKETS, np.stack([*shares, np.ones(len(n))], 1), n
 
 
+def _in_runs(texts: list[str], most: int = 2 << 20) -> Iterator[pa.Array]:
+    """The texts in runs of about so many characters, to bound what their words take at once."""
+    run, held = [], 0
+    for text in texts:
+        run.append(text)
+        held += len(text)
+        if held >= most:
+            yield pa.array(run)
+            run, held = [], 0
+    if run:
+        yield pa.array(run)
+
+
+def _all_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owners, buckets and shapes of all texts."""
+    owners, buckets, shapes, at = [], [], [], 0
+    for run in _in_runs(texts):
+        owner, bucket, shape, n = features(run)
+        owners.append((owner + at).astype(np.int32))
+        buckets.append(bucket.astype(np.int32))
+        shapes.append(shape)
+        at += len(n)
+    return np.concatenate(owners), np.concatenate(buckets), np.concatenate(shapes)
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(1, keepdims=True))
     return e / e.sum(1, keepdims=True)
@@ -97,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         model.shape[3] = prior
         return model
     half = [rows[::2], rows[1::2] or rows[::2]]
-    owner, bucket, shape, _ = features(pa.array([r["text"] for r in half[0]]))
+    owner, bucket, shape = _all_features([r["text"] for r in half[0]])
     y = np.eye(len(DOMAINS))[[r["y"] for r in half[0]]]
     held = np.stack([np.bincount(bucket, y[owner, d], BUCKETS) for d in range(len(DOMAINS))], 1)
     expected = held.sum(1, keepdims=True) * y.mean(0)
@@ -115,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         slope = shape.T @ wrong
         squared += slope**2
         model.shape[:] -= 0.3 * slope / np.sqrt(squared)
-    z, _ = logits(model, pa.array([r["text"] for r in half[1]]))
+    z = np.concatenate([logits(model, run)[0] for run in _in_runs([r["text"] for r in half[1]])])
     y = np.array([r["y"] for r in half[1]])
     heats = np.geomspace(0.05, 5, 60)
     best = min(heats, key=lambda h: -np.log(np.maximum(_softmax(z * h)[np.arange(len(y)), y], 1e-300)).mean())
