@@ -31,9 +31,11 @@ ALPHA = 0.1
 TABLE, TABLE_BYTES = 1 << 18, 64
 FREQUENT, MEMBERS, RARE = 24, 32, 40
 CLASSES = FREQUENT + RARE
-#: Rows of the two hashed weight tables, and rows that travel together.
+#: Rows of the two hashed weight tables (powers of two, 1 << 16 at most), and rows that travel together.
 ROWS, INNER_ROWS, SHARE = 1 << 13, 1 << 13, 128
 ROUNDS, STEP, RATE = 2, 8192, 0.15
+#: Bytes of text that a task works on at once.
+AT_ONCE = 8 << 20
 LN10 = float(np.log(10))
 
 
@@ -137,7 +139,7 @@ def _history(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def _inner_rows(history: np.ndarray, cls: np.ndarray) -> np.ndarray:
     salt = cls.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    return np.stack([((mixed(history[k] + salt)) % np.uint64(INNER_ROWS)).astype(np.int64) for k in (0, 2)])
+    return np.stack([(mixed(history[k] + salt) & np.uint64(INNER_ROWS - 1)).astype(np.intp) for k in (0, 2)])
 
 
 def _normalised(z: np.ndarray) -> np.ndarray:
@@ -154,7 +156,7 @@ def log_prob(m: Model, v: Vocabulary, b: Batch, table_class: np.ndarray) -> np.n
     history = _history(b.ids, b.at)
     for low in range(0, len(b.ids), STEP):
         part = slice(low, low + STEP)
-        rows = (history[:, part] % np.uint64(ROWS)).astype(np.int64)
+        rows = (history[:, part] & np.uint64(ROWS - 1)).astype(np.intp)
         z = m.outer[rows[0]] + m.outer_bias
         for r in rows[1:]:
             z += m.outer[r]
@@ -180,22 +182,23 @@ class Trainer:
 
     @staticmethod
     def _update(weights: np.ndarray, squares: np.ndarray, used: np.ndarray, rows: np.ndarray, slope: np.ndarray) -> None:
-        for r in rows:
-            order = np.argsort(r, kind="stable")
-            ordered = r[order]
-            first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-            touched = ordered[first]
-            g = np.add.reduceat(slope[order], first, axis=0)
-            squares[touched] += (g * g).mean(1)
-            used[touched] += np.diff(np.append(first, len(r)))
-            weights[touched] -= (RATE / np.sqrt(squares[touched]))[:, None] * g
+        """One step for all rows of weights (features x tokens) with the slope of each token."""
+        flat = rows.ravel().astype(np.uint16)  # sorts in linear time
+        order = np.argsort(flat, kind="stable")
+        ordered = flat[order]
+        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        touched = ordered[first]
+        g = np.add.reduceat(slope.take(order % len(slope), axis=0), first, axis=0)
+        squares[touched] += np.einsum("ij,ij->i", g, g) / g.shape[1]
+        used[touched] += np.diff(np.append(first, len(flat)))
+        weights[touched] -= (RATE / np.sqrt(squares[touched]))[:, None] * g
 
     def learn(self, v: Vocabulary, b: Batch, table_class: np.ndarray) -> None:
         cls, member = _targets(v, b.ids, table_class)
         history = _history(b.ids, b.at)
         for low in range(0, len(b.ids), STEP):
             part = slice(low, low + STEP)
-            rows = (history[:, part] % np.uint64(ROWS)).astype(np.int64)
+            rows = (history[:, part] & np.uint64(ROWS - 1)).astype(np.intp)
             z = self.outer[rows[0]] + self.m.outer_bias
             for r in rows[1:]:
                 z += self.outer[r]
@@ -234,12 +237,29 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about AT_ONCE bytes of text: the table of words is looked through once for each."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= AT_ONCE:
+            yield from _whole(held)
+            held, size = [], 0
+    if held:
+        yield from _whole(held)
+
+
+def _whole(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return slices(iter(pa.Table.from_batches(held).combine_chunks().to_batches()), "text", AT_ONCE)
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """word, n of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
-        for batch in slices(batches, "text"):
+        for batch in _gathered(batches):
             found = words_of(batch.column("text"), lower=True).array.value_counts()
             held.append(pa.table({"word": found.field("values"), "n": found.field("counts")}))
             if len(held) == 4:
@@ -303,7 +323,7 @@ def fit(train: DataFrame, v: Vocabulary) -> Model:
         def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             trainer = Trainer(now.value)
             known = _rare_class(vocab.value.words)
-            for batch in slices(batches, "text"):
+            for batch in _gathered(batches):
                 trainer.learn(vocab.value, tokens(vocab.value, batch.column("text")), known)
             yield trainer.changes()
 
@@ -341,7 +361,7 @@ def lm_score(docs: DataFrame) -> DataFrame:
         inside = np.log(v.count + ALPHA) - np.log(within)[known - FREQUENT]
         inside[: v.frequent] = 0
         inside = np.concatenate([[0.0], inside])
-        for batch in slices(batches, "text"):
+        for batch in _gathered(batches):
             b = tokens(v, batch.column("text"))
             n = np.diff(b.at)
             found = log_prob(shared.value, v, b, known)
