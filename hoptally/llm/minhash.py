@@ -6,9 +6,9 @@ agree on a sketch if both shingles are among their least and stand in the same o
 follow edit similarity. Texts that share a sketch are candidates; a banded alignment of their words decides
 (1 - edit distance / words of the longer >= SIMILARITY). Classes are the connected components of verified links.
 
-Within a sketch's bucket a text is compared with the first text, and with its neighbour in the order of the
-next sketch, so that a bucket of g texts gives at most 2 g pairs. A task pairs off what it meets itself and
-hands on one text of each bucket.
+Copies of a text count once. Within a sketch's bucket the texts are first compared with the one that meets the most others;
+then all of them that aren't in one class yet are compared with each other, in chunks, so that the classes are those of
+all pairs that share a sketch. Pairs whose lengths or bags of words rule out that they are near are not aligned.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ from hoptally.llm.common import components, map_arrow, mixed, read, slices, word
 
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES = 24
-#: The band of whole texts: key and next are two hashes of the text.
-EXACT = SKETCHES
+#: Cells of a text's bag of words, and members of a bucket that are compared in a task.
+BAG, CHUNK = 256, 1024
 
 _ODD = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64)) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -144,8 +144,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), own), "_h": h, "_g": F.xxhash64(F.lit("g"), text)})
 
 
-def _candidates(keyed: DataFrame) -> DataFrame:
-    """Pairs a > b of _id with exact: whether the texts are the same ones."""
+def _sketched(keyed: DataFrame) -> DataFrame:
+    """Of every distinct text of a slice: id, h, g, words (n), its bag and its keys, one a sketch. Of copies within a slice: id and
+    the copy's id (of)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -154,65 +155,98 @@ def _candidates(keyed: DataFrame) -> DataFrame:
             first = np.ones(len(order), bool)
             first[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
             lead = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
-            copies = np.stack([ids[order][~first], ids[lead][~first]])
+            copies = pa.array(ids[order][~first]), pa.array(ids[lead][~first])
             one = np.sort(order[first])
-            labelled, at, counts = shingles(batch.column("text").take(pa.array(one)))
-            some = one[counts > 0]
-            keys = sketches(labelled, at).astype(np.int64)
-            band = np.tile(np.arange(SKETCHES), len(some))
-            key, after = keys.ravel(), np.roll(keys, -1, 1).ravel()
-            row = np.repeat(some, SKETCHES)
-            n = np.repeat(counts[counts > 0], SKETCHES)
-            by = np.lexsort((ids[row], after, key, band))
-            band, key, after, row, n = band[by], key[by], after[by], row[by], n[by]
-            first = np.ones(len(by), bool)
-            first[1:] = (band[1:] != band[:-1]) | (key[1:] != key[:-1])
-            at = np.maximum.accumulate(np.where(first, np.arange(len(by)), 0)) if len(by) else by
-            rest = np.flatnonzero(~first)
-            pairs = np.concatenate([np.stack([ids[row[rest]], ids[row[at[rest]]], n[rest], n[at[rest]]]), np.stack([ids[row[rest]], ids[row[rest - 1]], n[rest], n[rest - 1]])], 1)
-            near = np.minimum(pairs[2], pairs[3]) >= SIMILARITY * np.maximum(pairs[2], pairs[3]) - 1e-9
-            pairs = np.unique(np.sort(pairs[:2, near], 0), axis=1)
-            yield _rows(np.full(len(copies[0]), -1), copies[0], copies[1])
-            yield _rows(np.full(len(pairs[0]), -2), pairs[1], pairs[0])
-            yield _rows(np.full(len(one), EXACT), ids[one], h[one], g[one], np.zeros(len(one), np.int64))
-            yield _rows(band[first], ids[row[first]], key[first], after[first], n[first])
-
-    found = written(
-        map_arrow(keyed.select("_id", "_h", "_g", "text"), run, "band int, id long, key long, next long, n long")
-    )
-    alone = found.where("band < 0").select(F.greatest("id", "key").alias("a"), F.least("id", "key").alias("b"), (F.col("band") == -1).alias("exact"))
-    within = Window.partitionBy("band", "key").orderBy("next", "id")
-    turn = found.where("band >= 0").select(
-        "band", "id", "n", "next", *(F.struct(f(x).over(within).alias("id"), f("n").over(within).alias("n"), f("next").over(within).alias("next")).alias(name) for f, x, name in ((F.first, "id", "head"), (F.lag, "id", "prior")))
-    )
-    pairs = turn.select("band", "id", "n", "next", F.explode(F.array("head", "prior")).alias("other"))
-    close = F.least("n", "other.n") >= SIMILARITY * F.greatest("n", "other.n") - 1e-9
-    pairs = pairs.where((F.col("id") != F.col("other.id")) & F.when(F.col("band") == EXACT, F.col("next") == F.col("other.next")).otherwise(close))
-    pairs = pairs.select(F.greatest("id", "other.id").alias("a"), F.least("id", "other.id").alias("b"), (F.col("band") == EXACT).alias("exact"))
-    return alone.unionByName(pairs).where("a <> b").groupBy("a", "b").agg(F.max("exact").alias("exact"))
-
-
-def _rows(band: np.ndarray, ids: np.ndarray, key: np.ndarray, after: np.ndarray | None = None, n: np.ndarray | None = None) -> pa.RecordBatch:
-    zero = np.zeros(len(band), np.int64)
-    cols = [band.astype(np.int32), ids, key, zero if after is None else after, zero if n is None else n]
-    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in cols], ["band", "id", "key", "next", "n"])
+            texts = batch.column("text").take(pa.array(one))
+            labelled, at, counts = shingles(texts)
+            keys = np.zeros((len(one), SKETCHES), np.uint64)
+            keys[counts > 0] = mixed(sketches(labelled, at) + np.arange(1, SKETCHES + 1, dtype=np.uint64) * _STEP)
+            held = pa.FixedSizeListArray.from_arrays(pa.array(keys.astype(np.int64).ravel()), SKETCHES).cast(pa.list_(pa.int64()))
+            none = pa.nulls(len(one), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(ids[one]), none, pa.array(h[one]), pa.array(g[one]), pa.array(counts.astype(np.int64)), pa.array(bags(texts), pa.binary()), held], _SKETCHED)
+            none = [pa.nulls(len(copies[0]), t) for t in (*[pa.int64()] * 3, pa.binary(), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*copies, *none], _SKETCHED)
 
+    return written(map_arrow(keyed.select("_id", "_h", "_g", "text"), run, "id long, of long, h long, g long, n long, bag binary, keys array<long>"))
 
-def links(docs: DataFrame) -> DataFrame:
-    """Verified links a > b between documents (as _id)."""
-    keyed = _keyed(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
-    pairs = written(_candidates(keyed))
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_SKETCHED = ["id", "of", "h", "g", "n", "bag", "keys"]
+
+
+def bags(texts: pa.Array) -> list[bytes]:
+    """Of each text how many of its words fall in each of BAG cells (255 at most).
+
+    An edit changes two cells by one at most, so texts whose bags differ by more than twice an edit distance are
+    further apart than that: the comparison drops pairs, but never a near one."""
+    w = words_of(texts)
+    coded = w.array.dictionary_encode()
+    kinds = coded.dictionary.to_pylist()
+    cell = np.fromiter((xxhash.xxh3_64_intdigest(x) % BAG for x in kinds), np.int64, len(kinds))[coded.indices.to_numpy(zero_copy_only=False)]
+    got = np.bincount(w.text_of * BAG + cell, minlength=len(texts) * BAG).reshape(len(texts), BAG)
+    return [x.tobytes() for x in np.minimum(got, 255).astype(np.uint8)]
+
+
+def _could_be(pairs: DataFrame, bag: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose bags don't rule out that they are near copies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BAG).astype(np.int16) for c in ("x", "y"))
+            longest = np.maximum(*(batch.column(c).to_numpy(zero_copy_only=False) for c in ("n", "m")))
+            most = np.floor((1 - SIMILARITY) * longest + 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(np.abs(x - y).sum(1) <= 2 * most))
+
+    both = pairs.join(bag.select(F.col("id").alias("a"), F.col("bag").alias("x"), "n"), "a")
+    both = both.join(bag.select(F.col("id").alias("b"), F.col("bag").alias("y"), F.col("n").alias("m")), "b")
+    return map_arrow(both.select("a", "b", "x", "y", "n", "m"), run, "a long, b long").distinct()
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) that an alignment of their texts (_id, text) finds alike."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = batch.column("x"), batch.column("y")
             keep = [alike(x[i].as_py(), y[i].as_py()) for i in range(batch.num_rows)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    texts = keyed.select("_id", "text")
-    doubt = pairs.where("not exact").join(texts.select(F.col("_id").alias("a"), F.col("text").alias("x")), "a")
+    doubt = pairs.join(texts.select(F.col("_id").alias("a"), F.col("text").alias("x")), "a")
     doubt = doubt.join(texts.select(F.col("_id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
-    return pairs.where("exact").select("a", "b").unionByName(map_arrow(doubt, verify, "a long, b long"))
+    return written(map_arrow(doubt, run, "a long, b long"))
+
+
+def links(docs: DataFrame) -> DataFrame:
+    """Links a > b between documents (as _id), with the classes of all candidates that are near copies as their components."""
+    keyed = _keyed(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
+    texts = keyed.select("_id", "text")
+    found = _sketched(keyed)
+    own = found.where("of is null")
+    lead = written(own.join(own.groupBy("h", "g").agg(F.min("id").alias("lead")), ["h", "g"]))
+    exact = found.where("of is not null").select("id", "of").unionByName(lead.select("id", F.col("lead").alias("of")))
+    exact = exact.where("id <> of").select(F.greatest("id", "of").alias("a"), F.least("id", "of").alias("b")).distinct()
+    alone = lead.where("id = lead")
+    bag = alone.select("id", "n", "bag")
+    rows = alone.where("n > 0").select("id", "n", F.explode("keys").alias("key"))
+    rows = rows.withColumn("size", F.count("*").over(Window.partitionBy("key"))).where("size > 1")
+    rows = written(rows)
+    # a text that many buckets have many others of is the likeliest to be near them all
+    degree = rows.groupBy("id").agg(F.sum("size").alias("degree"))
+    head = rows.join(degree, "id").groupBy("key").agg(F.max_by(F.struct("id", "n"), F.struct("degree", "id")).alias("head"))
+    close = lambda x, y: F.least(x, y) >= SIMILARITY * F.greatest(x, y) - 1e-9
+    first = rows.join(head, "key").where((F.col("id") != F.col("head.id")) & close(F.col("n"), F.col("head.n")))
+    first = written(_could_be(first.select(F.greatest("id", "head.id").alias("a"), F.least("id", "head.id").alias("b")).distinct(), bag))
+    near = _verified(first, texts)
+    # whatever shares a bucket and isn't in one class yet is compared too: members of a bucket are dealt to chunks, and chunks meet in pairs
+    of = components(near.unionByName(exact), docs.sparkSession)
+    rows = rows.join(of.withColumnRenamed("node", "id"), "id", "left").withColumn("class", F.coalesce("component", "id"))
+    open_ = rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key")
+    rows = written(rows.join(open_, "key").withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int")).withColumn("chunk", F.pmod(F.hash("id"), "chunks")))
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    left = rows.select("key", F.col("id").alias("a"), F.col("n").alias("n"), F.col("class").alias("c"), F.col("chunk").alias("i"), other.alias("j"))
+    right = rows.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("class").alias("d"), F.col("chunk").alias("j"), other.alias("i"))
+    rest = left.join(right, ["key", "i", "j"]).where("a > b and c <> d").where(close(F.col("n"), F.col("m"))).select("a", "b").distinct()
+    rest = _could_be(rest.join(first, ["a", "b"], "left_anti"), bag)
+    return exact.unionByName(near).unionByName(_verified(rest, texts))
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:

@@ -1,9 +1,12 @@
 import random
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from hoptally.llm import minhash
 from hoptally.llm.minhash import alike, deduplicated, edit_distance_within, near_dedup
 
 
@@ -83,3 +86,43 @@ def test_odd_rows(spark):
     assert left.columns == docs.columns
     assert sorted(str(r["doc_id"]) for r in left.collect()) == ["1", "3", "5", "7", "9", "None"]
     assert near_dedup(docs.limit(0)).count() == deduplicated(docs.limit(0)).count() == 0
+
+
+def test_all_that_share_a_sketch_are_compared(spark):
+    """Versions near an original but not near each other: the classes are those of all pairs that share a sketch."""
+    rng = random.Random(7)
+    base = text(rng, 200)
+    versions = []
+    for _ in range(150):
+        at = set(rng.sample(range(200), 28))
+        versions.append([f"v{rng.randint(0, 9**8)}" if k in at else w for k, w in enumerate(base)])
+    rows = [(k, " ".join(t)) for k, t in enumerate([*versions[:75], base, *versions[75:]])]
+    labelled, at, _ = minhash.shingles(pa.array([t for _, t in rows]))
+    buckets = defaultdict(list)
+    for k, keys in enumerate(minhash.sketches(labelled, at)):
+        for band, key in enumerate(keys):
+            buckets[band, key].append(k)
+    up = list(range(len(rows)))
+
+    def root(k):
+        while up[k] != k:
+            k = up[k]
+        return k
+
+    for i, j in {(i, j) for x in buckets.values() for i in x for j in x if i > j}:
+        if alike(rows[i][1], rows[j][1]):
+            a, b = sorted((root(i), root(j)))
+            up[b] = a
+    want = defaultdict(set)
+    for k in range(len(rows)):
+        want[root(k)].add(k)
+    assert max(map(len, want.values())) > 120
+    found = near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert classes(found) == {frozenset(x) for x in want.values()}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("abcdefgh"), max_size=40), st.lists(st.sampled_from("abcdefgh"), max_size=40))
+def test_bags_never_rule_out_a_near_pair(a, b):
+    x, y = (np.frombuffer(v, np.uint8).astype(int) for v in minhash.bags(pa.array([" ".join(a), " ".join(b)])))
+    assert np.abs(x - y).sum() <= 2 * distance(a, b)
