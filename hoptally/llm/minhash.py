@@ -3,7 +3,8 @@
 A text's 5-word shingles are labelled with their occurrence (first, second, ... of that shingle in the text).
 For each of SKETCHES hash functions the two labelled shingles of least hash are taken *in text order*: two texts
 agree on a sketch if both shingles are among their least and stand in the same order, which makes agreement
-follow edit similarity. Texts that share a sketch are candidates; a banded alignment of their words decides
+follow edit similarity. Two texts at SIMILARITY itself seldom agree on two shingles, so SINGLES sketches are of the one
+shingle of least hash, and short texts have some of shorter shingles too. Texts that share a sketch are candidates; a banded alignment of their words decides
 (1 - edit distance / words of the longer >= SIMILARITY). Classes are the connected components of verified links.
 
 Copies of a text count once. Within a sketch's bucket the texts are first compared with the one that meets the most others;
@@ -26,29 +27,33 @@ from hoptally.llm.common import components, map_arrow, mixed, read, slices, word
 
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES = 24
+#: Sketches of one shingle, for pairs near SIMILARITY whose shingles agree too little for two.
+SINGLES = 40
+#: Texts of so many words at most also have sketches of one shingle of fewer words: a few edits leave none of SHINGLE words.
+SHORT, SHORT_SHINGLE, SHORT_SINGLES = 40, 2, 16
 #: Cells of a text's bag of words, and members of a bucket that are compared in a task.
 BAG, CHUNK = 256, 1024
 
-_ODD = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64)) | np.uint64(1)
+_ODD = mixed(np.arange(1, max(SKETCHES, SINGLES, SHORT_SINGLES) + 1, dtype=np.uint64)) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shingles(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Occurrence-labelled shingle hashes of all texts in text order, where each text's begin, and words of each text.
 
-    A text of one to four words has one shingle of all its words; one without words has none."""
+    A text of fewer than width words has one shingle of all its words; one without words has none."""
     w = words_of(texts)
     coded = w.array.dictionary_encode()
     kinds = coded.dictionary.to_pylist()
     word = mixed(np.fromiter((xxhash.xxh3_64_intdigest(x) for x in kinds), np.uint64, len(kinds)))[coded.indices.to_numpy(zero_copy_only=False)]
     counts = w.counts
-    size = np.where(counts > 0, np.maximum(counts - SHINGLE + 1, 1), 0)
+    size = np.where(counts > 0, np.maximum(counts - width + 1, 1), 0)
     at = np.concatenate([[0], np.cumsum(size)])
     text = np.repeat(np.arange(len(counts)), size)
     begin = w.first[:-1][text] + np.arange(at[-1]) - at[:-1][text]
     stop = w.first[1:][text]
     out = np.zeros(len(text), np.uint64)
-    for k in range(SHINGLE):
+    for k in range(width):
         inside = begin + k < stop
         out = mixed(out * np.uint64(0xD6E8FEB86659FD93) + np.where(inside, word[np.minimum(begin + k, max(len(word) - 1, 0))], np.uint64(k)))
     own = mixed(out + text.astype(np.uint64) * _STEP)  # the same only for the same shingle of the same text
@@ -83,6 +88,26 @@ def sketches(labelled: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+def singles(labelled: np.ndarray, at: np.ndarray, many: int) -> np.ndarray:
+    """The least shingle by each of so many hash functions, for each text that has shingles."""
+    starts = at[:-1][np.diff(at) > 0]
+    return np.stack([mixed(np.minimum.reduceat(labelled * _ODD[k], starts)) if len(starts) else np.zeros(0, np.uint64) for k in range(many)], 1)
+
+
+def keys_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys of each text, a column a sketch; which of them it has; and words of each text."""
+    labelled, at, counts = shingles(texts)
+    some, short = counts > 0, (counts > 0) & (counts <= SHORT)
+    kinds = SKETCHES, SINGLES, SHORT_SINGLES
+    keys = np.zeros((len(counts), sum(kinds)), np.uint64)
+    keys[some, :SKETCHES] = sketches(labelled, at)
+    keys[some, SKETCHES:-SHORT_SINGLES] = singles(labelled, at, SINGLES)
+    few = texts.filter(pa.array(short))
+    keys[short, -SHORT_SINGLES:] = singles(*shingles(few, SHORT_SHINGLE)[:2], SHORT_SINGLES)
+    has = np.stack([some] * (SKETCHES + SINGLES) + [short] * SHORT_SINGLES, 1)
+    return mixed(keys + np.arange(1, sum(kinds) + 1, dtype=np.uint64) * _STEP), has, counts
+
+
 def edit_distance_within(a: list, b: list, most: int) -> int:
     """The edit distance of two word lists, or most + 1 if it is greater.
 
@@ -158,10 +183,8 @@ def _sketched(keyed: DataFrame) -> DataFrame:
             copies = pa.array(ids[order][~first]), pa.array(ids[lead][~first])
             one = np.sort(order[first])
             texts = batch.column("text").take(pa.array(one))
-            labelled, at, counts = shingles(texts)
-            keys = np.zeros((len(one), SKETCHES), np.uint64)
-            keys[counts > 0] = mixed(sketches(labelled, at) + np.arange(1, SKETCHES + 1, dtype=np.uint64) * _STEP)
-            held = pa.FixedSizeListArray.from_arrays(pa.array(keys.astype(np.int64).ravel()), SKETCHES).cast(pa.list_(pa.int64()))
+            keys, has, counts = keys_of(texts)
+            held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], has.sum(1).cumsum()]).astype(np.int32)), pa.array(keys[has].astype(np.int64)))
             none = pa.nulls(len(one), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(ids[one]), none, pa.array(h[one]), pa.array(g[one]), pa.array(counts.astype(np.int64)), pa.array(bags(texts), pa.binary()), held], _SKETCHED)
             none = [pa.nulls(len(copies[0]), t) for t in (*[pa.int64()] * 3, pa.binary(), pa.list_(pa.int64()))]

@@ -97,9 +97,8 @@ def test_all_that_share_a_sketch_are_compared(spark):
         at = set(rng.sample(range(200), 28))
         versions.append([f"v{rng.randint(0, 9**8)}" if k in at else w for k, w in enumerate(base)])
     rows = [(k, " ".join(t)) for k, t in enumerate([*versions[:75], base, *versions[75:]])]
-    labelled, at, _ = minhash.shingles(pa.array([t for _, t in rows]))
     buckets = defaultdict(list)
-    for k, keys in enumerate(minhash.sketches(labelled, at)):
+    for k, keys in enumerate(minhash.keys_of(pa.array([t for _, t in rows]))[0][:, : minhash.SKETCHES + minhash.SINGLES]):
         for band, key in enumerate(keys):
             buckets[band, key].append(k)
     up = list(range(len(rows)))
@@ -126,3 +125,18 @@ def test_all_that_share_a_sketch_are_compared(spark):
 def test_bags_never_rule_out_a_near_pair(a, b):
     x, y = (np.frombuffer(v, np.uint8).astype(int) for v in minhash.bags(pa.array([" ".join(a), " ".join(b)])))
     assert np.abs(x - y).sum() <= 2 * distance(a, b)
+
+
+def test_pairs_at_the_bound_are_found(spark):
+    """Pairs of edit similarity 0.80 to 0.90 with the edits at random places, of 15 to 200 words."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(300):
+        n = rng.choice([15, 30, 60, 120, 200])
+        base = [f"{k}w{rng.randint(0, 400)}" for _ in range(n)]
+        other = list(base)
+        for at in rng.sample(range(n), int(n * rng.choice([0.2, 0.2, 0.15, 0.1]) + 1e-9)):
+            other[at] = f"{k}x{rng.randint(0, 9**9)}"
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+    found = near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).where("class_rows = 2").count()
+    assert found >= 0.99 * len(rows)
