@@ -36,6 +36,10 @@ BLOCK = set(
 )
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 SKIP = set("script style noscript template svg iframe head title button select textarea option object canvas math audio video".split())
+#: What a head holds: anything else that begins is of the body, where </head> is left out.
+HEAD = set("base basefont bgsound link meta title style script noscript template".split())
+#: Skipped elements that end where another of their kind begins.
+ANEW = set("button option".split())
 #: An open element of the first kind ends when one of the second begins.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}}
 TAGS = ["p", "div", "li", "ul", "article", "section", "main", "nav", "header", "footer", "aside", "form", "h1", "h2", "h3", "body", "html", "blockquote", "pre", "table", "td", "figure", "ol", "dl"]
@@ -84,7 +88,8 @@ class Page(HTMLParser):
         self.nodes = [Node("html", -1, 0, np.zeros(N_TOKENS, bool), False, -1)]
         self.blocks: list[tuple[int, str]] = []
         self.open: list[tuple[str, int]] = [("html", 0)]  # inline elements too, with the block element that they are in
-        self.skip, self.links, self.run, self.length, self.linked = 0, 0, [], 0, 0
+        self.skip, self.inside = "", []  # the skipped element that is open, and what is open in it
+        self.links, self.run, self.length, self.linked = 0, [], 0, 0
         self.feed(html)
         self.close()
         self.flush()
@@ -106,14 +111,19 @@ class Page(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "body" or tag == "html":
             if tag == "body" and not any(t == "body" for t, _ in self.open):
-                self.skip = 0
+                self.skip, self.inside = "", []
             elif tag == "html":
                 return
+        if self.skip == "head" and tag not in HEAD and not SKIP.intersection(self.inside):
+            self.skip, self.inside = "", []  # the body begins
         if self.skip:
-            self.skip += tag in SKIP
+            if tag == self.skip and tag in ANEW:
+                self.inside = []
+            elif tag not in VOID:
+                self.inside.append(tag)
             return
         if tag in SKIP:
-            self.skip = 1
+            self.skip = tag
             return
         if tag in BLOCK:
             self.flush()
@@ -149,9 +159,16 @@ class Page(HTMLParser):
                 return
 
     def handle_endtag(self, tag: str) -> None:
-        if self.skip:
-            self.skip -= tag in SKIP
+        if tag in self.inside:
+            while self.inside.pop() != tag:
+                pass
             return
+        if self.skip:
+            ends, outer = tag == self.skip, any(t == tag for t, _ in self.open[1:])
+            if ends or outer:
+                self.skip, self.inside = "", []
+            if ends or not outer:
+                return
         if tag in BLOCK:
             if tag not in {"html", "body"}:
                 self.shut(tag)
@@ -165,6 +182,8 @@ class Page(HTMLParser):
                     return
 
     def handle_data(self, data: str) -> None:
+        if self.skip == "head" and not self.inside and data.strip():
+            self.skip = ""
         if not self.skip:
             self.run.append(data)
             if self.links > 0:

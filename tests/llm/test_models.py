@@ -124,6 +124,25 @@ def test_html(spark):
     assert html.extract(pages.limit(0), forest).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<p>a</p><select><option>A<option>B</select><p>b</p><p>c</p>", "a b c"),
+        ("<p>a</p><select><optgroup><option>A</option><option>B</select><p>b</p>", "a b"),
+        ("<div><p>a</p><button>Buy</div><p>b</p>", "a b"),
+        ("<div><button>One<button>Two</button><p>b</p></div>", "b"),
+        ("<datalist><option>A<option>B</datalist><p>b</p>", "b"),
+        ("<html><head><title>T</title><meta charset=x><p>a</p><p>b</p>", "a b"),
+        ("<html><head><title>T</title>a<p>b</p>", "a b"),
+        ("<head><noscript><p>none</p></noscript><title>T</title></head><body><p>a</p></body>", "a"),
+        ("<p>a</p><button><div>Buy</div> now</button><p>b</p>", "a b"),
+        ("<template><template>x</template>y</template><svg><g><text>z</text></g></svg><p>b</p>", "b"),
+    ],
+)
+def test_skipped_elements_end(page, want):
+    assert " ".join(t for _, t in html.Page(page).blocks) == want
+
+
 def test_no_node_contradicts_another():
     rng = np.random.default_rng(1)
     page = html.Page("<div><p>a</p><div><p>b</p><ul><li>c<li>d</ul></div></div><p>e</p>")
