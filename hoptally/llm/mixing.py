@@ -167,8 +167,28 @@ def memberships(docs: DataFrame, model: Model) -> DataFrame:
     return map_arrow(keyed.select("_id", "_h", "doc_id", "text"), run, f"_id long, _h long, doc_id {kind}, n_tokens long, p array<double>")
 
 
-def rates(members: DataFrame, targets: dict[str, float]) -> tuple[DataFrame, np.ndarray]:
-    """members with rate, and the domain totals that the rates give, as shares of all tokens."""
+def within(members: DataFrame, ceilings: dict[str, float]) -> dict[str, float]:
+    """Targets that rates can meet: the domain totals if documents of a likeliest domain with a ceiling are thinned evenly to it
+    and all others fill what that frees. Posteriors are soft, so that clean documents hold some of the other totals."""
+    likeliest = F.array_position("p", F.array_max("p"))
+    sums = members.groupBy(likeliest.alias("k")).agg(*(F.sum(F.col("n_tokens") * F.col("p")[d]).alias(f"s{d}") for d in range(len(DOMAINS)))).collect()
+    held = np.zeros((len(DOMAINS), len(DOMAINS)))
+    for r in sums:
+        held[r["k"] - 1] = [r[f"s{d}"] for d in range(len(DOMAINS))]
+    held /= held.sum() or 1
+    share, capped = held.sum(1), np.array([d in ceilings for d in DOMAINS])
+    rate = np.array([min(1.0, ceilings.get(d, 1.0) / max(s, 1e-12)) for d, s in zip(DOMAINS, share, strict=True)])
+    if rest := share[~capped].sum():
+        rate[~capped] = 1 + (share * (1 - rate))[capped].sum() / rest
+    else:
+        rate[:] = 1  # nothing to fill it with
+    return {d: float(x) for d, x in zip(DOMAINS, rate @ held if held.sum() else 1 / len(DOMAINS) + np.zeros(len(DOMAINS)), strict=True)}
+
+
+def rates(members: DataFrame, targets: dict[str, float], ceilings: dict[str, float] | None = None) -> tuple[DataFrame, np.ndarray]:
+    """members with rate, and the domain totals that the rates give, as shares of all tokens.
+
+    With ceilings a document's likeliest domain bounds its rate too: 1 at most if that has a ceiling, else 1 at least."""
     size = len(DOMAINS)
     w = np.array([targets[d] for d in DOMAINS])
     w = w / w.sum()
@@ -176,13 +196,23 @@ def rates(members: DataFrame, targets: dict[str, float]) -> tuple[DataFrame, np.
     total = float(members.agg(F.sum("n_tokens")).first()[0] or 0)
     y = np.zeros(size)
 
+    low, high = F.lit(0.0), None
+    if ceilings:
+        kept = F.greatest(*(F.col("p")[d] for d, x in enumerate(DOMAINS) if x not in ceilings), F.lit(0.0)) >= F.array_max("p")
+        low, high = F.when(kept, 1.0).otherwise(0.0), F.when(kept, float("inf")).otherwise(1.0)
+
+    def free(y: np.ndarray) -> F.Column:
+        return F.lit(1.0) + sum((F.col("p")[d] * float(y[d]) for d in range(size)), F.lit(0.0))
+
     def rate(y: np.ndarray) -> F.Column:
-        return F.greatest(F.lit(0.0), F.lit(1.0) + sum((F.col("p")[d] * float(y[d]) for d in range(size)), F.lit(0.0)))
+        return F.greatest(low, free(y) if high is None else F.least(high, free(y)))
 
     def totals(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows = members.withColumn("r", rate(y))
+        # at the start all stand at their bound, and may leave it
+        inside = F.col("r") > 0 if high is None else free(y).between(low, high)
         sums = [F.sum(F.col("r") * n * F.col("p")[d]) for d in range(size)]
-        gram = [F.sum(F.when(F.col("r") > 0, n * F.col("p")[a] * F.col("p")[b]).otherwise(0.0)) for a in range(size) for b in range(size)]
+        gram = [F.sum(F.when(inside, n * F.col("p")[a] * F.col("p")[b]).otherwise(0.0)) for a in range(size) for b in range(size)]
         got = np.array(rows.agg(*sums, *gram).first(), float) / total
         return got[:size], got[size:].reshape(size, size)
 
@@ -204,22 +234,23 @@ def rates(members: DataFrame, targets: dict[str, float]) -> tuple[DataFrame, np.
     return members.withColumn("rate", rate(y)), got
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, ceilings: dict[str, float] | None = None) -> DataFrame:
     """doc_id, n_tokens, p_<domain>, rate and copies of every row of docs.
 
     copies is rate rounded down or up, by a number that a hash of doc_id and text draws, so that it is rate on
     average. A null text has no tokens and the posterior of an empty text; repeated rows have the same numbers.
+    With ceilings the targets are those of `within`, and no document of a domain without a ceiling has fewer than one copy.
     Without labels the posterior is even; without documents there are no rows. Other columns are ignored."""
     members = written(memberships(docs, fit(docs, labels)))
-    rated, _ = rates(members, targets or TARGETS)
+    rated, _ = rates(members, within(members, ceilings) if ceilings else targets or TARGETS, ceilings)
     draw = F.pmod(F.xxhash64(F.lit("mix"), "_id", "_h"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = (F.floor("rate") + F.when(draw < F.col("rate") - F.floor("rate"), 1).otherwise(0)).cast("int")
     return rated.select("doc_id", "n_tokens", *(F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(DOMAINS)), "rate", copies.alias("copies"), "_id", "_h")
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
+def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, ceilings: dict[str, float] | None = None) -> DataFrame:
     """The rows of docs, each as often as its copies say; all columns of docs, no others."""
-    copies = mix(docs, labels, targets).where("copies > 0").select("_id", "_h", "copies").dropDuplicates(["_id", "_h"])
+    copies = mix(docs, labels, targets, ceilings).where("copies > 0").select("_id", "_h", "copies").dropDuplicates(["_id", "_h"])
     return row_key(docs).join(copies, ["_id", "_h"]).withColumn("_turn", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
 
 

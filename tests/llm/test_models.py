@@ -108,6 +108,30 @@ def test_mixing(spark, docs, labels):
     assert mixing.mixed(odd(spark), labels).columns == odd(spark).columns
 
 
+@pytest.mark.parametrize("shares", [(0.98, 0.01, 0.01), (0.999, 0.0, 0.001), (0.5, 0.3, 0.2), (0.0, 0.5, 0.5), (1.0, 0.0, 0.0), (0.9, 0.0, 0.1)])
+def test_pipeline_mixing_keeps_clean_documents(spark, shares):
+    """Whatever the shares of the domains: clean documents stay, and no others are multiplied."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(3)
+    own = rng.choice(3, 800, p=shares)
+    p = 0.05 * rng.dirichlet([1, 1, 1], 800) + 0.95 * np.eye(3)[own]
+    n = rng.integers(5, 400, 800)
+    members = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p, strict=True)], "n_tokens long, p array<double>")
+    targets = mixing.within(members, corpus_pipeline.CEILINGS)
+    rated, got = mixing.rates(members, targets, corpus_pipeline.CEILINGS)
+    rows = rated.collect()
+    rate, clean = np.array([r["rate"] for r in rows]), np.array([np.argmax(r["p"]) == 0 for r in rows])
+    assert (rate[clean] >= 1).all() and (rate[~clean] <= 1).all() and (rate >= 0).all()
+    # the ceilings are met without dropping whole domains
+    assert np.abs(got - np.array([targets[d] for d in mixing.DOMAINS])).max() < 1e-3
+    for d, ceiling in enumerate([None, *corpus_pipeline.CEILINGS.values()]):
+        if d and clean.any() and (own == d).any():
+            held = (rate * [r["n_tokens"] for r in rows])[[np.argmax(r["p"]) == d for r in rows]].sum() / n.sum()
+            assert 0 < held <= ceiling + 0.01
+    assert sum(targets.values()) == pytest.approx(1)
+
+
 def test_html(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     forest = html.train(pages)
