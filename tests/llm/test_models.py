@@ -57,30 +57,84 @@ def test_lm(spark, docs):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-def test_lm_is_a_distribution(spark, docs):
-    """Over all words that it knows and the unknown of each rare class, after some histories."""
+def small_lm(spark, docs, monkeypatch):
+    """A model of some texts, with a table of so few words that there are tails."""
+    monkeypatch.setattr(lm, "TABLE", 900)
+    train = docs.limit(60).select("text")
+    v = lm.vocabulary(lm.word_counts(train), 60)
+    assert len(v.words) < 900 < v.distinct and len(v.tail_from) > 50
+    return v, lm.fit(train, v)
+
+
+def test_lm_is_a_distribution(spark, docs, monkeypatch):
+    """Over the end, all words of the table, and within each tail its words and the unknown, after some histories."""
     import pyarrow as pa
 
-    train = docs.limit(60).select("text")
-    counts = lm.word_counts(train)
-    v = lm.vocabulary(counts, 60)
-    m = lm.fit(train, v)
-    known = lm._rare_class(v.words)
-    within = v.class_tokens + lm.ALPHA * (v.class_distinct + 1)
-    for history in ([], [3], [700, 2, 5]):
-        every = np.arange(len(v.words) + 1)
-        ids = np.concatenate([np.append(history, k) for k in every]).astype(np.int64)
-        at = np.arange(len(every) + 1) * (len(history) + 1)
-        p = np.exp(lm.log_prob(m, v, lm.Batch(ids, at, np.zeros(0, int), pa.array([])), known)[at[1:] - 1])
-        rare = every > v.frequent
-        of = known[every[rare] - 1]
-        share = np.zeros(lm.CLASSES)
-        share[of] = p[rare]  # the class's own chance, the same for all its words
-        inside = (v.count[every[rare] - 1] + lm.ALPHA) / within[of - lm.FREQUENT]
-        unseen = lm.ALPHA / within
-        empty = [k for k in range(lm.FREQUENT, lm.CLASSES) if share[k] == 0]
-        total = p[~rare].sum() + (p[rare] * inside).sum() + (share[lm.FREQUENT :] * unseen).sum()
-        assert total == pytest.approx(1, abs=2e-3 + 0.1 * len(empty))
+    v, weights = small_lm(spark, docs, monkeypatch)
+    assert np.abs(weights).max() > 0.1
+    within = v.tail_tokens + lm.ALPHA * (v.tail_distinct + 1)
+    assert (v.tail_tokens + lm.ALPHA * v.tail_distinct + lm.ALPHA) == pytest.approx(within)
+    leaves = 1 + len(v.words) + len(v.tail_from)
+    for past in ([], [3], [700, 2, 5]):
+        code = np.concatenate([np.append(past, k) for k in range(leaves)]).astype(np.int64)
+        at = np.arange(leaves + 1) * (len(past) + 1)
+        b = lm.Batch(code, code.astype(np.uint64) * np.uint64(77), at, np.zeros(0, int), pa.array([]))
+        assert np.exp(lm.log_prob(weights, v, b)[at[1:] - 1]).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_lm_score_against_plain_steps(spark, docs, monkeypatch):
+    """score, from the weights, the tree and the counts by one step after the other."""
+    import pyarrow as pa
+
+    rows = docs.limit(80)
+    own = [(r["doc_id"], (r["text"] or "")[:3000]) for r in rows.collect()] + [(10**6, "never seen-before words"), (10**6 + 10, None)]
+    frame = spark.createDataFrame(own, "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(lm, "TABLE", 900)
+    kept = {}
+    monkeypatch.setattr(lm, "fit", lambda train, v, fit=lm.fit: kept.setdefault("model", (v, fit(train, v)))[1])
+    got = {r["doc_id"]: r["score"] for r in lm.lm_score(frame).collect()}
+    v, weights = kept["model"]
+    counts = Counter(w for i, t in own if zlib.crc32(str(i).encode()) % 10 for w in (t or "").encode().lower().split())
+    table = {w: k for k, w in enumerate(v.words.cast(pa.binary()).to_pylist())}
+    top, bits = 2**64 - 1, len(weights).bit_length() - 1
+    mix = lambda x: int(lm.mixed(np.array([x & top], np.uint64))[0])
+    known = lambda w: sum(mix((c | k << 8) + 1) for k, c in enumerate(w)) & top
+    odd, salt = int(lm._ODD), int(lm._SALT)
+    for i, t in own:
+        words, total = (t or "").encode().lower().split(), 0.0
+        for k, w in enumerate([*words, None]):
+            past = [known(words[k - d]) if k >= d else 7 for d in (1, 2, 3)]
+            features = [mix(x + j) for j, x in enumerate((past[0], past[0] * odd + past[1], past[1], past[2]))]
+            if w is None:
+                code = 0
+            elif w in table:
+                code = 1 + table[w]
+            else:
+                ending = w[-1] * 256 + (w[-2] if len(w) > 1 else 0)
+                tail = max(j for j, x in enumerate(v.tail_from) if x <= ending)
+                code = 1 + len(table) + tail
+                total += math.log((counts[w] + 0.1) / (v.tail_tokens[tail] + 0.1 * (v.tail_distinct[tail] + 1)))
+            leaf = v.leaf[code]
+            for level in range(v.depth[leaf]):
+                node = int(v.node[level][leaf])
+                z = v.bias[node].astype(float)
+                for j in lm.BELOW if level else lm.ROOT:
+                    x = (features[j] + node * salt) * odd & top
+                    x = (x ^ x >> 32) * salt & top
+                    z = z + weights[x >> (64 - bits)]
+                total += z[v.child[level][leaf]] - math.log(np.exp(z).sum())
+        assert got[i] == pytest.approx(total / math.log(10), rel=1e-4)
+
+
+def test_lm_learns_more_than_counts(spark, docs):
+    """Held out the features gain on the counts (0.09 decades a token on these few texts), and more words give more rows."""
+    rows = [r for r in lm.lm_score(docs).collect() if r["held_out"]]
+    n = sum(r["n_tokens"] for r in rows)
+    assert sum(r["score"] - r["base_score"] for r in rows) / n > 0.05
+    few = lm.vocabulary(spark.createDataFrame([("a", 3), ("b", 1)], "word string, n long"), 1)
+    many = lm.vocabulary(spark.range(200_000).selectExpr("cast(id as string) word", "id % 7 + 1 n"), 1)
+    assert len(lm.initial(few)) < len(lm.initial(many))
+    assert few.depth.max() == 1 and many.depth.max() < 9
 
 
 def test_lm_odd_rows(spark):
