@@ -10,6 +10,7 @@ intervals, is broadcast; each piece finds its window by its rank among the piece
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -133,7 +134,9 @@ class Tokenizer:
         from tokenizers import Tokenizer as Reader
 
         self.reader = Reader.from_file(path or public_tokenizers.path(VOCABULARY))
-        self.reader.encode_special_tokens = True
+        special = [re.escape(x.content) for x in self.reader.get_added_tokens_decoder().values()]
+        #: Texts with a match are encoded whole: odd white space, and the tokenizer's special tokens, which are one id.
+        self.whole = "|".join(["^[ ]|[ ]$|[ ][\\s\\x0b]|[\\s\\x0b][ ]", ODD, *special])
         vocabulary = self.reader.get_vocab()
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self.bytes_of[list(vocabulary.values())] = [len(x) for x in vocabulary]
@@ -146,7 +149,7 @@ class Tokenizer:
     def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and where each text's ids start (and the end)."""
         texts = texts.cast(pa.large_string()).fill_null("")
-        odd = pc.match_substring_regex(texts, f"^[ ]|[ ]$|[ ][\\s\\x0b]|[\\s\\x0b][ ]|{ODD}").to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(texts, self.whole).to_numpy(zero_copy_only=False)
         split = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " ")
         pieces = split.flatten().dictionary_encode()
         first = np.zeros(len(texts) + 1, np.int64)
@@ -266,7 +269,8 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, window: int = WINDO
             keep = [batch.column(x) for x in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")]
             yield pa.RecordBatch.from_arrays([*keep, pa.array(sequence), pa.array(offset)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
-    ranked = cut.join(base, ["part", "length"]).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("base") + F.col("rank")).alias("rank"))
+    # tasks times lengths, so it grows with the corpus: never broadcast
+    ranked = cut.join(base.hint("merge"), ["part", "length"]).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("base") + F.col("rank")).alias("rank"))
     return map_arrow(ranked, place, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 

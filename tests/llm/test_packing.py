@@ -10,7 +10,6 @@ from tokenizers import Tokenizer as Reader
 from hoptally.llm.packing import VOCABULARY, Tokenizer, pack, plan, tokenizer
 
 READER = Reader.from_file(public_tokenizers.path(VOCABULARY))
-READER.encode_special_tokens = True
 
 
 def best_fit(lengths, size):
@@ -56,6 +55,14 @@ def test_ids_are_those_of_whole_texts(texts):
         assert ids[at[k] : at[k + 1]].tolist() == READER.encode(text, add_special_tokens=False).ids
 
 
+def test_special_tokens_are_one_id():
+    import pyarrow as pa
+
+    ids, _ = tokenizer(None).flat(pa.array(["some <|endoftext|> here", "plain <|endof text|>"]))
+    assert ids.tolist() == [x for t in ("some <|endoftext|> here", "plain <|endof text|>") for x in READER.encode(t, add_special_tokens=False).ids]
+    assert READER.token_to_id("<|endoftext|>") in ids.tolist()
+
+
 def test_new_words_beyond_the_cache(monkeypatch):
     import pyarrow as pa
 
