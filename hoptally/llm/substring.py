@@ -1,13 +1,13 @@
 """Substring dedup: runs of consecutive sentences that an earlier place of the corpus holds too are removed.
 
-A sentence ends after . ! or ?, and before a capitalised word (a passage put into another text begins there);
-one of over LONG words is cut further where its words' hashes say so, the same way wherever it stands. Every
-run of RUN sentences is hashed. Of a hash's places the first (by doc_id, hash of the text, position) stays, and
-the sentences that any other place covers go, if they add up to a passage of at least LEAST_WORDS words.
-
-A task settles the runs that it meets more than once itself and hands on its first place only, so the shuffle
-by hash sees a run once a task at most, however often the corpus holds it. Hashes have 64 bits; a chance
-collision covers RUN sentences, which by themselves are too few words to be removed.
+A sentence ends at a line's end, and with a word that ends in . ! ? or an ellipsis (closing marks may follow), unless that
+is an abbreviation, an initial or has a dot inside. Every run of so many sentences is hashed and joined globally. Of a
+hash's places the first (by doc_id, hash of the text, position) stays, and the sentences that any other place covers go.
+A parameter, least_words, keeps shorter stretches of covered sentences; it is 0 unless the caller sets it. What repeats
+within one sentence isn't found by this method. Hashes have 64 bits.
+
+A task settles the runs that it meets more than once itself: within a slice of texts, and from slice to slice for runs
+that were common in one before. So the shuffle by hash sees a hot run about once a task, however often the corpus holds it.
 """
 
 from __future__ import annotations
@@ -23,12 +23,32 @@ from pyspark.sql import functions as F
 
 from hoptally.llm.common import Words, map_arrow, mixed, read, row_key, slices, words_of
 
+#: Sentences of a run.
 RUN = 3
-LEAST_WORDS = 25
-#: Sentences of over LONG words are cut before words whose hash is 0 modulo CUT.
-LONG, CUT = 12, 6
+#: The registered query's and the pipeline's parameters: texts that are put together of many one-word sentences hold the same two
+#: or three of them by chance.
+PRODUCTION = {"run": 2, "least_words": 15}
+ENDS = (".", "!", "?", "…")
 #: Closing marks that may follow the end of a sentence.
-CLOSING = "\"')]}»”’"
+CLOSING = "\"')]}»“”’›"
+#: Words (in lower case) whose last dot ends no sentence, besides initials and words with a dot inside.
+ABBREVIATIONS = {
+    "mr.", "mrs.", "ms.", "dr.", "prof.", "st.", "no.", "vs.", "fig.", "approx.", "gen.", "bzw.", "ca.", "nr.", "str.", "hr.", "abs.", "vgl.",
+    "mme.", "mlle.", "env.", "cf.", "sr.", "sra.", "srta.", "dra.", "ud.", "uds.", "núm.", "pág.",
+}
+#: Common runs that a task remembers from slice to slice (a power of two).
+REMEMBERED = 1 << 16
+
+
+def _ends(word: str) -> bool:
+    """Whether a sentence ends with a word."""
+    bare = word.rstrip(CLOSING)
+    if not bare.endswith(ENDS):
+        return False
+    if not bare.endswith("."):
+        return True
+    stem = bare.lstrip("\"'([{«“‘¿¡")
+    return not (stem.lower() in ABBREVIATIONS or (len(stem) == 2 and stem[0].isupper()) or "." in stem.rstrip("."))
 
 
 def sentences(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -37,20 +57,17 @@ def sentences(w: Words) -> tuple[np.ndarray, np.ndarray]:
     ids = coded.indices.to_numpy(zero_copy_only=False)
     kinds = coded.dictionary.to_pylist()
     hashes = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in kinds), np.uint64, len(kinds))
-    ends = np.fromiter((x.rstrip(CLOSING)[-1:] in {".", "!", "?"} for x in kinds), bool, len(kinds))
-    capital = np.fromiter((x[0].isupper() and not x[1:2].isupper() for x in kinds), bool, len(kinds))
-    word = hashes[ids]
-    begins = capital[ids]
-    begins[1:] |= ends[ids[:-1]]
+    ends = np.fromiter(map(_ends, kinds), bool, len(kinds))
+    begins = np.zeros(len(ids), bool)
+    begins[1:] = ends[ids[:-1]]
+    lines = np.concatenate([[0], np.cumsum(w.buf == ord("\n"))])
+    begins[1:] |= lines[w.start[1:]] > lines[w.end[:-1]]
     begins[w.first[:-1][w.counts > 0]] = True
-    at = np.flatnonzero(begins)
-    long = np.repeat(np.diff(np.append(at, len(ids))) > LONG, np.diff(np.append(at, len(ids))))
-    begins |= long & (word % np.uint64(CUT) == 0)
-    return np.flatnonzero(begins), word
+    return np.flatnonzero(begins), hashes[ids]
 
 
-def runs(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each run: its text, the position of its first sentence there, its hash."""
+def runs(w: Words, run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each run of so many sentences: its text, the position of its first sentence there, its hash."""
     at, word = sentences(w)
     if not len(at):
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
@@ -59,22 +76,45 @@ def runs(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     one = mixed(np.add.reduceat(mixed(word) * powers[np.arange(len(word)) - np.repeat(at, size)], at))
     text = w.text_of[at]
     firsts = np.searchsorted(text, np.arange(len(w.counts)))
-    n = len(at) - RUN + 1
+    n = len(at) - run + 1
     if n <= 0:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
     total = np.zeros(n, np.uint64)
-    for k in range(RUN):
+    for k in range(run):
         total = mixed(total * np.uint64(0xD6E8FEB86659FD93) + one[k : k + n])
-    keep = text[:n] == text[RUN - 1 :]
+    keep = text[:n] == text[run - 1 :]
     return text[:n][keep], (np.arange(n) - firsts[text[:n]])[keep], total[keep]
 
 
-def repeats(docs: DataFrame) -> DataFrame:
+class _Common:
+    """The least place known of runs that were common in a slice: a slot for each of REMEMBERED remainders of the hash."""
+
+    def __init__(self) -> None:
+        self.there, self.key = np.zeros(REMEMBERED, bool), np.zeros(REMEMBERED, np.uint64)
+        self.place = [np.zeros(REMEMBERED, np.int64) for _ in range(3)]
+
+    def later(self, key: np.ndarray, place: list[np.ndarray], common: np.ndarray) -> np.ndarray:
+        """Which of these runs, each given once with its least place in a slice, are known from a lower place; learns common ones."""
+        slot = (key % np.uint64(REMEMBERED)).astype(np.int64)
+        known = self.there[slot] & (self.key[slot] == key)
+        lower, same = np.zeros(len(key), bool), np.ones(len(key), bool)
+        for mine, all_ in zip(place, self.place, strict=True):
+            lower |= same & (all_[slot] < mine)
+            same &= all_[slot] == mine
+        put = np.flatnonzero((known & ~lower & ~same) | (common & ~known))
+        self.there[slot[put]], self.key[slot[put]] = True, key[put]
+        for mine, all_ in zip(place, self.place, strict=True):
+            all_[slot[put]] = mine[put]
+        return known & lower
+
+
+def repeats(docs: DataFrame, run: int = RUN) -> DataFrame:
     """_id, _h, pos of every run that isn't the first of its kind; docs as row_key leaves them."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Common()
         for batch in slices(batches, "text"):
-            text, pos, hashed = runs(words_of(batch.column("text")))
+            text, pos, hashed = runs(words_of(batch.column("text")), run)
             ids, hs = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("_id", "_h"))
             order = np.lexsort((hs, ids))
             turn = np.empty(len(order), np.int64)  # of each text among those of the slice; the same for alike rows
@@ -88,19 +128,21 @@ def repeats(docs: DataFrame) -> DataFrame:
             first[1:] = hashed[1:] != hashed[:-1]
             lead = np.maximum.accumulate(np.where(first, np.arange(len(by)), 0)) if len(by) else np.zeros(0, np.int64)
             sure = (turn[text] != turn[text[lead]]) | (pos != pos[lead])
-            stay = first | sure
+            stay, heads = first | sure, np.flatnonzero(first)
+            place = [ids[text[heads]], hs[text[heads]], pos[heads].astype(np.int64)]
+            sure[heads] = known.later(hashed[heads], place, np.diff(np.append(heads, len(by))) > 1)
             key = np.where(sure, mixed(hashed + pos.astype(np.uint64) + ids[text].astype(np.uint64)), hashed)[stay]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (key.astype(np.int64), sure[stay], ids[text[stay]], hs[text[stay]], pos[stay].astype(np.int32))],
                 ["key", "sure", "_id", "_h", "pos"],
             )
 
-    found = map_arrow(docs.select("_id", "_h", "text"), run, "key long, sure boolean, _id long, _h long, pos int")
+    places = map_arrow(docs.select("_id", "_h", "text"), found, "key long, sure boolean, _id long, _h long, pos int")
     rank = F.dense_rank().over(Window.partitionBy("key", "sure").orderBy("_id", "_h", "pos"))
-    return found.withColumn("rank", rank).where("sure or rank > 1").select("_id", "_h", "pos")
+    return places.withColumn("rank", rank).where("sure or rank > 1").select("_id", "_h", "pos")
 
 
-def _cut(texts: pa.Array, positions: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+def _cut(texts: pa.Array, positions: pa.Array, run: int, least_words: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
     """The texts without the passages that the runs at positions cover; words, words removed and passages removed of each."""
     w = words_of(texts)
     at, word = sentences(w)
@@ -109,8 +151,8 @@ def _cut(texts: pa.Array, positions: pa.Array) -> tuple[pa.Array, np.ndarray, np
     firsts = np.searchsorted(text, np.arange(n))
     flat = positions.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     of = np.repeat(np.arange(n), pc.list_value_length(positions).fill_null(0).to_numpy(zero_copy_only=False))
-    covered = np.zeros(m + RUN, bool)
-    for k in range(RUN):
+    covered = np.zeros(m + run, bool)
+    for k in range(run):
         covered[firsts[of] + flat + k] = True
     covered = covered[:m]
     edge = np.ones(m, bool)  # where a stretch of covered or other sentences begins
@@ -118,7 +160,7 @@ def _cut(texts: pa.Array, positions: pa.Array) -> tuple[pa.Array, np.ndarray, np
     begin = np.flatnonzero(edge)
     bounds = np.append(at, len(word))
     begin_word, end_word = bounds[begin], bounds[np.append(begin[1:], m)] if m else np.zeros(0, np.int64)
-    gone = covered[begin] & (end_word - begin_word >= LEAST_WORDS)
+    gone = covered[begin] & (end_word - begin_word >= least_words)
     begin_word, end_word, owner = begin_word[gone], end_word[gone], text[begin[gone]]
     removed, spans = np.zeros(n, np.int64), np.bincount(owner, minlength=n)
     np.add.at(removed, owner, end_word - begin_word)
@@ -135,39 +177,40 @@ def _cut(texts: pa.Array, positions: pa.Array) -> tuple[pa.Array, np.ndarray, np
     return made.cast(pa.string()), w.counts, removed, spans
 
 
-def marked(docs: DataFrame) -> DataFrame:
+def marked(docs: DataFrame, run: int = RUN) -> DataFrame:
     """docs with _id, _h and _pos, the sorted positions of the runs to remove (null if there are none)."""
     keyed = row_key(docs)
-    places = repeats(keyed).groupBy("_id", "_h").agg(F.array_sort(F.collect_set("pos")).alias("_pos"))
+    places = repeats(keyed, run).groupBy("_id", "_h").agg(F.array_sort(F.collect_set("pos")).alias("_pos"))
     return keyed.join(places, ["_id", "_h"], "left")
 
 
-def substring_dedup(docs: DataFrame) -> DataFrame:
+def substring_dedup(docs: DataFrame, run: int = RUN, least_words: int = 0) -> DataFrame:
     """doc_id, the text without repeated passages, n_words, removed_words, removed_spans of every row of docs.
 
-    A null text is empty. Rows that agree in doc_id and text are one document: none of them counts as the other's
+    run: sentences of a run; least_words: stretches of covered sentences with fewer words stay. A null text is empty,
+    and one of white space alone has no sentences and stays as it is; so does one of fewer than run sentences. Rows that agree in doc_id and text are one document: none of them counts as the other's
     earlier copy, and they get the same text. Rows of the same text with other ids are copies, of which the first
     keeps its text. A null doc_id comes after all others. Other columns are ignored; no rows give no rows."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            out = _cut(batch.column("text"), batch.column("_pos"))
+            out = _cut(batch.column("text"), batch.column("_pos"), run, least_words)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), out[0], *(pa.array(x.astype(np.int64)) for x in out[1:])], ["doc_id", "text", "n_words", "removed_words", "removed_spans"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    wide = marked(docs.select("doc_id", F.col("text").cast("string"))).select("doc_id", "text", "_pos")
-    return map_arrow(wide, run, f"doc_id {kind}, text string, n_words long, removed_words long, removed_spans long")
+    wide = marked(docs.select("doc_id", F.col("text").cast("string")), run).select("doc_id", "text", "_pos")
+    return map_arrow(wide, cut, f"doc_id {kind}, text string, n_words long, removed_words long, removed_spans long")
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, run: int = RUN, least_words: int = 0) -> DataFrame:
     """The rows of docs with repeated passages removed from text, n_chars counted anew; all columns of docs, no others.
 
-    A document of which no word is left goes."""
+    A document of which no word is left goes; one that had none stays. Odd rows as in substring_dedup."""
     names, schema = docs.columns, docs.schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            text, words, removed, _ = _cut(batch.column("text"), batch.column("_pos"))
+            text, words, removed, _ = _cut(batch.column("text"), batch.column("_pos"), run, least_words)
             columns = [batch.column(x) for x in names]
             columns[names.index("text")] = text
             if "n_chars" in names:
@@ -175,8 +218,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 columns[k] = pc.utf8_length(text).cast(columns[k].type)
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array((words == 0) | (removed < words)))
 
-    return map_arrow(marked(docs).select(*names, "_pos"), run, schema)
+    return map_arrow(marked(docs, run).select(*names, "_pos"), cut, schema)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(read(spark, sf_dir, "documents"))
+    return substring_dedup(read(spark, sf_dir, "documents"), **PRODUCTION)

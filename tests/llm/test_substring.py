@@ -1,4 +1,9 @@
-from hoptally.llm.substring import substring_dedup, without_repeats
+import re
+
+import pytest
+
+from hoptally.llm import substring
+from hoptally.llm.substring import PRODUCTION, substring_dedup, without_repeats
 
 PASSAGE = " ".join(f"Here sentence number {n} of the passage has nine words." for n in "one two three four five six".split())
 
@@ -8,7 +13,7 @@ def own(k, n=4):
 
 
 def test_passages(spark):
-    rows = [(0, own(0) + " " + PASSAGE + " " + own(90)), (1, own(1) + "\n" + PASSAGE + "\n" + own(91)), (2, own(2) + " and so " + PASSAGE), (3, own(3)), (4, PASSAGE), (5, None), (6, ""), (None, own(5) + " " + PASSAGE),
+    rows = [(0, own(0) + " " + PASSAGE + " " + own(90)), (-2, " \n\t "), (-2, " \n\t "), (1, own(1) + "\n" + PASSAGE + "\n" + own(91)), (2, own(2) + " and so " + PASSAGE), (3, own(3)), (4, PASSAGE), (5, None), (6, ""), (None, own(5) + " " + PASSAGE),
             (7, own(3, 2)), (8, "Of. In. The. It was."), (9, "Of. In. The. It was."), (10, "a " * 50_000 + own(11))]
     docs = spark.createDataFrame([(i, t, "p") for i, t in rows], "doc_id long, text string, pos string")
     out = {r["doc_id"]: r for r in substring_dedup(docs).collect()}
@@ -17,8 +22,12 @@ def test_passages(spark):
     for i in (2, None):
         assert PASSAGE not in out[i]["text"] and out[i]["removed_words"] >= 50
     assert out[4]["text"] == "" and out[4]["removed_spans"] == 1
-    for i in (3, 8, 9):  # nothing repeated, or too little to count
-        assert out[i]["text"] == dict(rows)[i]
+    assert out[3]["text"] == own(3) and out[8]["text"] == dict(rows)[8]
+    assert out[7]["text"] == own(3, 2)  # fewer sentences than a run
+    assert out[9]["text"] == "" and out[9]["removed_words"] == 5  # four short sentences, but a run
+    assert out[-2]["text"] == " \n\t "
+    kept = {r["doc_id"]: r for r in substring_dedup(docs, least_words=6).collect()}
+    assert kept[9]["text"] == dict(rows)[9] and kept[4]["text"] == ""
     assert out[5]["text"] == out[6]["text"] == ""
     left = without_repeats(docs)
     assert left.columns == docs.columns and 4 not in {r["doc_id"] for r in left.collect()}
@@ -31,11 +40,89 @@ def test_copies(spark):
     assert out == [(1, PASSAGE), (1, PASSAGE), (2, "")]  # alike rows are one document; the least id is first
 
 
-def test_no_passage_is_left_twice(spark):
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("Der alte Mann sah den Hund im Garten und die Katze auf dem Dach.", 1),
+        ("We met John Smith in New York City yesterday. It was fine.", 2),
+        ("Dr. Smith (of the U.S.) met J. Doe. Then he left!", 2),
+        ("Er sagte: „Komm!“ Dann ging er z.B. nach Hause. \"Gut.\" Ende", 4),
+        ("¿Qué? ¡No! Está bien… Sí.", 4),
+        ("A heading\nA line without an end\n\nAnd another one.", 3),
+        ("", 0),
+        (" \n ", 0),
+    ],
+)
+def test_sentences(text, want):
+    import pyarrow as pa
+
+    assert len(substring.sentences(substring.words_of(pa.array([text])))[0]) == want
+
+
+def brute_force(rows, run, least_words):
+    """All runs of all documents in a dictionary."""
+    split = {}
+    for i, t in rows:
+        out, cur = [], []
+        for line in (t or "").split("\n"):
+            for w in re.findall(r"[^\x20\x09-\x0D]+", line):
+                cur.append(w)
+                if substring._ends(w):
+                    out, cur = [*out, cur], []
+            if cur:
+                out, cur = [*out, cur], []
+        split[i, t] = out
+    first = {}
+    for (i, t), s in sorted(split.items(), key=lambda x: (2**63 if x[0][0] is None else x[0][0], 0)):
+        for k in range(len(s) - run + 1):
+            first.setdefault(tuple(map(tuple, s[k : k + run])), (i, t, k))
+    removed = {}
+    for (i, t), s in split.items():
+        covered = [False] * len(s)
+        for k in range(len(s) - run + 1):
+            if first[tuple(map(tuple, s[k : k + run]))] != (i, t, k):
+                covered[k : k + run] = [True] * run
+        total, k = 0, 0
+        while k < len(s):
+            j = k
+            while j < len(s) and covered[j] == covered[k]:
+                j += 1
+            words = sum(map(len, s[k:j]))
+            total += words if covered[k] and words >= least_words else 0
+            k = j
+        removed[i] = total
+    return removed
+
+
+@pytest.mark.parametrize(("run", "least_words"), [(3, 0), (2, 0), (2, 15)])
+def test_against_brute_force(spark, run, least_words):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    seen, twice = {}, 0
-    for r in substring_dedup(docs).collect():
-        w = r["text"].split()
-        for x in {tuple(w[k : k + 50]) for k in range(len(w) - 49)}:
-            twice += seen.setdefault(x, r["doc_id"]) != r["doc_id"]
-    assert twice == 0
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert len({i for i, _ in rows}) == len(rows)
+    got = {r["doc_id"]: r["removed_words"] for r in substring_dedup(docs, run, least_words).collect()}
+    assert got == brute_force(rows, run, least_words)
+    assert sum(got.values()) > 100
+
+
+def test_hot_runs_over_many_slices(spark, monkeypatch):
+    """Runs that many slices of a task hold: the same result, and about one place a task is handed on."""
+    monkeypatch.setattr(substring, "slices", lambda batches, column: (b.slice(k, 20) for b in batches for k in range(0, b.num_rows, 20)))
+    rows = [(997 * k % 1000, f"Own text number {k} is here. " + (PASSAGE if k % 3 else f"Nothing {k}. Of that {k}. In here {k}.")) for k in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    got = {r["doc_id"]: r["removed_words"] for r in substring_dedup(docs).collect()}
+    assert got == brute_force(rows, 3, 0)
+
+
+def test_passages_of_over_50_words_go(spark):
+    """What earlier documents hold word for word, over 50 words, is found unless it has fewer whole sentences than a run."""
+    rows = [(r["doc_id"], (r["text"] or "").split()) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    first, later = {}, {}
+    for i, w in sorted(rows):
+        for k in range(len(w) - 50):
+            x = hash(tuple(w[k : k + 51]))
+            if first.setdefault(x, i) != i:
+                later.setdefault(i, set()).update(range(k, k + 51))
+    out = {r["doc_id"]: r["removed_words"] for r in substring_dedup(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), **PRODUCTION).collect()}
+    assert len(later) > 50
+    assert sum(out[i] > 0 for i in later) >= 0.93 * len(later)
+    assert sum(out[i] >= len(x) / 2 for i, x in later.items()) >= 0.88 * len(later)
