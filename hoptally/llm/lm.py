@@ -33,14 +33,15 @@ ALPHA = 0.1
 #: Words that are broadcast, and their most bytes.
 TABLE, TABLE_BYTES = 1 << 18, 64
 #: Classes of a class, and tails.
-WIDTH, TAILS = 16, 256
+WIDTH, TAILS = 8, 256
 #: Rows of weights: one to so many distinct words, within bounds; rows that travel together.
-WORDS_A_ROW, LEAST_ROWS, MOST_ROWS, SHARE = 16, 1 << 12, 1 << 20, 128
+WORDS_A_ROW, LEAST_ROWS, MOST_ROWS, SHARE = 8, 1 << 13, 1 << 21, 256
 ROUNDS, STEP, RATE = 2, 4096, 0.4
-#: Features by how deep a class is, as rows of _history: all four at the root, the last word and the word before it below.
-ROOT, BELOW = (0, 1, 2, 3), (0, 2)
+#: Features by how deep a class is, as rows of history: all four at the root, the last word and the word before it below, and from
+#: there on the last word.
+FEATURES = ((0, 1, 2, 3), (0, 2), (0,))
 #: Bytes of text that a task works on at once.
-AT_ONCE = 8 << 20
+AT_ONCE = 6 << 20
 LN10 = float(np.log(10))
 #: The bias of a class that a node doesn't have.
 NEVER = -1e4
@@ -189,7 +190,7 @@ def _levels(v: Vocabulary, weights: np.ndarray, leaf: np.ndarray, past: np.ndarr
         mine = leaf if some is None else leaf.take(some)
         node = v.node[level].take(mine)
         z, rows = v.bias.take(node, axis=0), []
-        for k in BELOW if level else ROOT:
+        for k in FEATURES[min(level, len(FEATURES) - 1)]:
             rows.append(rows_of(past[k] if some is None else past[k].take(some), node, bits))
             z += weights.take(rows[-1], axis=0)
         np.minimum(z, 60, out=z)
