@@ -7,17 +7,23 @@ the validators are compared and the headers that a 304 may update are merged int
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hoptally.llm.common import read
+from hoptally.llm.common import map_arrow, read
 
 #: Headers of a not-modified response that replace those of the stored one (RFC 9110, 15.4.5).
 PERMITTED = ["cache-control", "content-location", "date", "etag", "expires", "vary"]
 #: Query parameters that don't tell pages apart, besides those that begin with utm_.
 TRACKING = ["ref", "fbclid", "gclid", "sessionid", "session_id"]
-#: Seconds to a stretch of time.
-STRETCH = 86_400
+#: What every record of a WARC file begins with, before the version's last digit.
+BEGINS = b"WARC/1."
+#: Seconds to a stretch of time: what one URL has within it is one group.
+STRETCH = 3_600
 
 
 def canonical_url(url: Column) -> Column:
@@ -31,27 +37,80 @@ def canonical_url(url: Column) -> Column:
     return F.concat(host, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """The response and revisit records of WARC files, compressed or not, in the form that resolve_revisits takes, with body.
-
-    Files are read as a stream of records: plain ones are split among tasks, gzipped ones are a task each, and no task
-    holds more than a record. record_id is a hash of the record's own id. A record without a target or a date has nulls
-    there. A payload that itself has the line that begins a record is cut there."""
-    raw = spark.read.option("lineSep", "WARC/1.0\r\n").text(path).where("length(value) > 0")
-    part = F.split("value", "\r\n\r\n", 3)
-    rows = raw.select(part[0].alias("about"), F.get(part, F.lit(1)).alias("http"), F.get(part, F.lit(2)).alias("body"))
-    of = lambda column, name: F.nullif(F.regexp_extract(column, f"(?im)^{name}:[ \t]*(.*?)[ \t\r]*$", 1), F.lit(""))
-    lines = F.filter(F.split("http", "\r\n"), lambda x: x.contains(":") & ~x.startswith("HTTP/"))
-    pairs = F.transform(lines, lambda x: F.struct(F.lower(F.trim(F.substring_index(x, ":", 1))).alias("key"), F.trim(F.regexp_replace(x, "^[^:]*:", "")).alias("value")))
-    first = F.transform(F.array_distinct(F.transform(pairs, lambda e: e["key"])), lambda k: F.struct(k.alias("key"), F.element_at(F.filter(pairs, lambda o: o["key"] == k), 1)["value"].alias("value")))
-    kind = F.lower(of("about", "WARC-Type"))
-    return rows.where(kind.isin("response", "revisit")).select(
-        F.xxhash64(of("about", "WARC-Record-ID")).alias("record_id"), of("about", "WARC-Target-URI").alias("url"), F.unix_timestamp(F.try_to_timestamp(of("about", "WARC-Date"))).alias("ts"),
-        (kind == "revisit").alias("revisit"), of("http", "ETag").alias("etag"), of("http", "Last-Modified").alias("last_modified"), of("about", "WARC-Payload-Digest").alias("digest"),
-        F.map_from_entries(first).alias("headers"), F.regexp_replace("body", "\r\n\r\n$", "").alias("body"),
+RECORDS = "record_id long, url string, date string, revisit boolean, profile string, etag string, last_modified string, digest string, headers map<string,string>, body binary"
+
+
+def _fields(lines: bytes) -> dict[str, str]:
+    """Named fields by name in lower case; of a repeated one the first."""
+    out: dict[str, str] = {}
+    for line in lines.split(b"\r\n"):
+        name, colon, value = line.decode("utf-8", "replace").partition(":")
+        if colon and not name.startswith("HTTP/"):
+            out.setdefault(name.strip().lower(), value.strip())
+    return out
+
+
+def _record(about: bytes, block: bytes) -> tuple | None:
+    """A row of RECORDS of a response or a revisit; None of other records."""
+    own = _fields(about)
+    kind = own.get("warc-type", "").lower()
+    if kind not in {"response", "revisit"}:
+        return None
+    http, _, body = block.partition(b"\r\n\r\n") if block.startswith(b"HTTP/") else (b"", b"", block)
+    headers = _fields(http)
+    some = lambda x: x or None
+    return (
+        xxhash.xxh3_64_intdigest(own.get("warc-record-id", "")) - (1 << 63), some(own.get("warc-target-uri", "").strip("<>")), some(own.get("warc-date")), kind == "revisit",
+        some(own.get("warc-profile")), some(headers.get("etag")), some(headers.get("last-modified")), some(own.get("warc-payload-digest")), list(headers.items()), body,
     )
 
 
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Puts records together again: what was cut at the words that begin one goes on until the record has its length."""
+    kinds = pa.schema([("record_id", pa.int64()), ("url", pa.string()), ("date", pa.string()), ("revisit", pa.bool_()), ("profile", pa.string()), ("etag", pa.string()),
+                       ("last_modified", pa.string()), ("digest", pa.string()), ("headers", pa.map_(pa.string(), pa.string())), ("body", pa.binary())])
+    file, about, block, missing = None, b"", bytearray(), 0
+
+    def out(row: tuple | None) -> Iterator[pa.RecordBatch]:
+        if row:
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds.types, strict=True)], schema=kinds)
+
+    for batch in batches:
+        for path, value in zip(batch.column("file").to_pylist(), batch.column("value").to_pylist(), strict=True):
+            if path != file:
+                if missing > 0:  # the file ended within it
+                    yield from out(_record(about, bytes(block)))
+                file, missing = path, 0
+            if missing > 0:
+                block += BEGINS + value
+                missing -= len(BEGINS) + len(value)
+            else:
+                about, end, rest = value.partition(b"\r\n\r\n")
+                length = _fields(about).get("content-length", "")
+                if not end or not length.isdigit():
+                    continue
+                block, missing = bytearray(rest), int(length) - len(rest)
+            if missing <= 0:
+                yield from out(_record(about, bytes(block[: len(block) + min(missing, 0)])))
+    if missing > 0:
+        yield from out(_record(about, bytes(block)))
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """The response and revisit records of WARC files (1.0 and 1.1, gzipped or .warc), as resolve_revisits takes them, with body.
+
+    Files are streams of bytes, a task each; a task holds one record at a time, as long as its Content-Length says,
+    whatever its payload looks like. record_id is a hash of the record's own id. A record without a target, date, profile or
+    HTTP headers has nulls there (no headers: an empty map); one that its file cuts short has what is there; one without
+    a length is left out."""
+    # the pass-through codec keeps plain files whole: where a part of one begins, nothing tells a record from a payload like one
+    codecs = ",".join(f"org.apache.hadoop.io.compress.{x}Codec" for x in ("Gzip", "Passthrough"))
+    whole = {f"{x}io.compress.passthrough.extension": ".warc" for x in ("", "org.apache.hadoop.shaded.")}  # as Hadoop names it, and Spark's own copy
+    lines = spark.read.options(**{"io.compression.codecs": codecs, "lineSep": BEGINS.decode()}, **whole).text(path)
+    rows = map_arrow(lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value")), _records, RECORDS)
+    return rows.withColumn("ts", F.unix_timestamp(F.try_to_timestamp("date"))).drop("date")
+
+
 def resolve_revisits(records: DataFrame, stretch: int = STRETCH) -> DataFrame:
     """One row per revisit: record_id, url_key, ts, response_id, status, digest, headers.
 
@@ -60,8 +119,11 @@ def resolve_revisits(records: DataFrame, stretch: int = STRETCH) -> DataFrame:
     several with the latest ts, the one of the greatest record_id. status: resolved; changed, if validators that
     both have differ (ETag before Last-Modified before digest; ETags are compared weakly); unverified, if they have
     none in common; missing, if there is no earlier response. Only a resolved revisit has digest and headers: the
-    response's, with PERMITTED ones of the revisit instead, as sorted lines. A null url or ts is missing; a null
-    revisit counts as a response; a row that stands twice gives two rows. Other columns are ignored."""
+    response's, with PERMITTED ones of the revisit instead, as sorted lines. A null url or ts is missing; null headers are
+    none; a null revisit counts as a response; a row that stands twice gives two rows. If there is a column profile, revisits whose
+    profile isn't that of not-modified ones (same digest) are no revisits here and no responses either. Other columns are ignored."""
+    if "profile" in records.columns:
+        records = records.where(~(F.coalesce("revisit", F.lit(False)) & F.coalesce(~F.col("profile").contains("not-modified"), F.lit(False))))
     r = records.select(
         "record_id", canonical_url(F.col("url")).alias("url_key"), "ts", F.coalesce("revisit", F.lit(False)).alias("revisit"),
         F.regexp_replace("etag", "^W/", "").alias("etag"), "last_modified", "digest", "headers", F.expr(f"ts div {stretch}").alias("stretch"),
