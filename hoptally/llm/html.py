@@ -6,9 +6,11 @@ boosted trees give the chance that a node holds main text. A labelling is consis
 a main one is main too; the likeliest consistent labelling is found from the leaves up, and the text blocks of
 its main nodes are the result.
 
-The trees are trained on a bounded sample of the pages: the pages as they are, where the article element tells what
-is main text, and pages put together anew from their blocks in other layouts (other elements, attribute names, side
-columns, notices, adverts, forms, reader comments), of which the labels are known.
+The trees are trained on a bounded sample of the pages: the pages as they are, where the article or main element tells
+what is main text; these pages in disguise, with that element renamed and attributes taken off or dealt to other
+elements, so that density, depth and siblings have to tell; and pages put together anew from their blocks in other
+layouts (other elements, attribute names, side columns, notices, adverts, forms, reader comments), of which the labels
+are known.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from hoptally.llm.common import map_arrow, read, slices
 
 #: Bounds of the training sample: pages, and characters of a page.
-SAMPLE_PAGES, SAMPLE_CHARS, LAYOUTS = 150, 60_000, 5
+SAMPLE_PAGES, SAMPLE_CHARS, LAYOUTS, DISGUISES = 150, 60_000, 4, 3
 TREES, DEPTH, BINS, RATE, SEED = 80, 4, 32, 0.2, 11
 
 BLOCK = set(
@@ -335,6 +337,22 @@ def labels(page: Page) -> np.ndarray:
     return has
 
 
+_TAG, _NAMED = re.compile(r"<[a-zA-Z][^<>]*>"), re.compile(r"""\s(?:class|id|role|name|itemprop|aria-label)\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)""")
+
+
+def disguised(rng: np.random.Generator, html: str) -> str:
+    """The page with its article and main elements renamed, and the names of elements taken off or dealt to others."""
+    tag = str(rng.choice(["div", "div", "div", "section"]))
+    html = re.sub(r"<(/?)(?:article|main)\b", rf"<\1{tag}", html)
+    names = [x for t in _TAG.findall(html) for x in _NAMED.findall(t)]
+    if rng.random() < 0.5:
+        names = [""] * len(names)
+    else:
+        rng.shuffle(names)
+    given = iter(names)
+    return _TAG.sub(lambda t: _NAMED.sub(lambda _: next(given), t[0]), html)
+
+
 def layout(rng: np.random.Generator, body: list[str], others: list[str]) -> str:
     """A page of the blocks of body as its main text, in a layout drawn at random; others fill the rest."""
     pick = lambda *x: x[rng.integers(len(x))]
@@ -384,19 +402,29 @@ def layout(rng: np.random.Generator, body: list[str], others: list[str]) -> str:
     return f"<html><head><title>{' '.join(words(4))}</title></head><body>{''.join(top)}{main}{''.join(rest)}</body></html>"
 
 
-def train(pages: DataFrame) -> Forest:
-    """Trains on the SAMPLE_PAGES pages of the smallest hash of page_id that have an article and at most SAMPLE_CHARS characters."""
-    usable = pages.where((F.length("html") <= SAMPLE_CHARS) & F.col("html").contains("<article"))
+def marked(html: str) -> str:
+    """A page with its main element marked: the article, else main."""
+    kind = "article" if "<article" in html else "main"
+    return re.sub(rf"<{kind}\b", f'<{kind} data-main="1"', html)
+
+
+def sampled(pages: DataFrame) -> DataFrame:
+    """turn, page_id, html of the SAMPLE_PAGES pages of the smallest hash of page_id that have a main element and at most SAMPLE_CHARS characters."""
+    usable = pages.where((F.length("html") <= SAMPLE_CHARS) & (F.col("html").contains("<article") | F.col("html").contains("<main")))
     chosen = usable.select("page_id", F.xxhash64("page_id").alias("turn")).orderBy("turn", "page_id").limit(SAMPLE_PAGES)
-    rows = usable.join(F.broadcast(chosen), "page_id").select("turn", "page_id", "html").dropDuplicates(["page_id"]).collect()
+    return usable.join(F.broadcast(chosen), "page_id").select("turn", "page_id", "html").dropDuplicates(["page_id"])
+
+
+def train(pages: DataFrame) -> Forest:
+    rows = sampled(pages).collect()
     htmls = [r["html"] for r in sorted(rows, key=lambda r: (r["turn"], r["page_id"]))]
     rng = np.random.default_rng(SEED)
     made: list[Page] = []
     bodies, others = [], []
     for x in htmls:
-        page = Page(re.sub(r"<article\b", '<article data-main="1"', x))
+        page = Page(marked(x))
         mark = labels(page)
-        made.append(page)
+        made += [page, *(Page(disguised(rng, marked(x))) for _ in range(DISGUISES))]
         body = [t for at, t in page.blocks if mark[at]]
         bodies += [body] if body else []
         others += [t for at, t in page.blocks if not mark[at]] + body[:4]
