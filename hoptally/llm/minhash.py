@@ -241,7 +241,9 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def links(docs: DataFrame) -> DataFrame:
     """Links a > b between documents (as _id), with the classes of all candidates that are near copies as their components."""
     keyed = _keyed(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
-    texts = keyed.select("_id", "text")
+    texts = keyed.select("_id", "_h", "text")
+    if keyed.groupBy("_id").count().where("count > 1").limit(1).count():  # else no id stands twice, and this would move all texts for nothing
+        texts = texts.dropDuplicates(["_id", "_h"])
     found = _sketched(keyed)
     own = found.where("of is null")
     lead = written(own.join(own.groupBy("h", "g").agg(F.min("id").alias("lead")), ["h", "g"]))
@@ -249,12 +251,13 @@ def links(docs: DataFrame) -> DataFrame:
     exact = exact.where("id <> of").select(F.greatest("id", "of").alias("a"), F.least("id", "of").alias("b")).distinct()
     alone = lead.where("id = lead")
     bag = alone.select("id", "n", "bag")
+    # sums by bucket are written before they are joined: a bucket may hold any share of the texts, and a join that doesn't follow
+    # from its own sum's shuffle is one whose large buckets Spark can split
     rows = alone.where("n > 0").select("id", "n", F.explode("keys").alias("key"))
-    rows = rows.withColumn("size", F.count("*").over(Window.partitionBy("key"))).where("size > 1")
-    rows = written(rows)
+    rows = written(rows.join(written(rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")), "key"))
     # a text that many buckets have many others of is the likeliest to be near them all
     degree = rows.groupBy("id").agg(F.sum("size").alias("degree"))
-    head = rows.join(degree, "id").groupBy("key").agg(F.max_by(F.struct("id", "n"), F.struct("degree", "id")).alias("head"))
+    head = written(rows.join(degree, "id").groupBy("key").agg(F.max_by(F.struct("id", "n"), F.struct("degree", "id")).alias("head")))
     close = lambda x, y: F.least(x, y) >= SIMILARITY * F.greatest(x, y) - 1e-9
     first = rows.join(head, "key").where((F.col("id") != F.col("head.id")) & close(F.col("n"), F.col("head.n")))
     first = written(_could_be(first.select(F.greatest("id", "head.id").alias("a"), F.least("id", "head.id").alias("b")).distinct(), bag))
@@ -262,7 +265,7 @@ def links(docs: DataFrame) -> DataFrame:
     # whatever shares a bucket and isn't in one class yet is compared too: members of a bucket are dealt to chunks, and chunks meet in pairs
     of = components(near.unionByName(exact), docs.sparkSession)
     rows = rows.join(of.withColumnRenamed("node", "id"), "id", "left").withColumn("class", F.coalesce("component", "id"))
-    open_ = rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key")
+    open_ = written(rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key"))
     rows = written(rows.join(open_, "key").withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int")).withColumn("chunk", F.pmod(F.hash("id"), "chunks")))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     left = rows.select("key", F.col("id").alias("a"), F.col("n").alias("n"), F.col("class").alias("c"), F.col("chunk").alias("i"), other.alias("j"))
@@ -276,13 +279,15 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (least doc_id of the class), class_rows and kept of every row of docs.
 
     Rows of one doc_id are one document. A null text is empty, and empty texts are copies of each other; a row
-    with a null doc_id is told apart by its text, and its class has a null class_id if no other id is in it.
+    with a null doc_id is told apart by its text, and its class has a null class_id if no other id is in it. Texts without
+    words are near copies only if they are the same.
     One row of each class is kept: of the least doc_id (none null), of its texts the one of least hash, and of
     repeated rows one. Other columns are ignored; no rows give no rows."""
     rows = _keyed(docs.select("doc_id", "text")).select("doc_id", "_id", "_h")
     classes = components(links(docs), docs.sparkSession)
     rows = written(rows.join(classes.withColumnRenamed("node", "_id"), "_id", "left").withColumn("class", F.coalesce("component", "_id")))
     per_class = rows.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_rows"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "_id", "_h")).alias("best"))
+    per_class = written(per_class)  # so that the join has a shuffle of its own, whose large classes Spark can split
     out = rows.join(per_class, "class")
     best = (F.col("_id") == F.col("best._id")) & (F.col("_h") == F.col("best._h"))
     one = F.row_number().over(Window.partitionBy("_id", "_h").orderBy(F.lit(0))) == 1

@@ -140,3 +140,41 @@ def test_pairs_at_the_bound_are_found(spark):
         rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
     found = near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).where("class_rows = 2").count()
     assert found >= 0.99 * len(rows)
+
+
+def test_repeated_rows_are_compared_once(spark):
+    rng = random.Random(9)
+    base = text(rng)
+    docs = spark.createDataFrame([(1, " ".join(base))] * 40 + [(2, " ".join(edited(rng, base, 3)))] * 40, "doc_id long, text string")
+    assert minhash.links(docs).distinct().count() == minhash.links(docs).count() == 1
+    out = near_dedup(docs).collect()
+    assert len(out) == 80 and {r["class_rows"] for r in out} == {80} and sum(r["kept"] for r in out) == 1
+
+
+def test_recall_on_the_given_documents(spark):
+    """Classes against those of all pairs that are alike, of the texts of a table whose lengths and bags allow it."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = sorted({(r["doc_id"], r["text"] or "") for r in docs.collect()})
+    bags = np.stack([np.frombuffer(x, np.uint8) for x in minhash.bags(pa.array([t for _, t in rows]))]).astype(np.int16)
+    n = np.array([len(t.encode().split()) for _, t in rows])
+    up = list(range(len(rows)))
+
+    def root(k):
+        while up[k] != k:
+            k = up[k]
+        return k
+
+    for i in range(len(rows)):
+        could = np.flatnonzero((np.abs(bags[:i] - bags[i]).sum(1) <= 2 * np.floor(0.2 * np.maximum(n[:i], n[i]) + 1e-9)) & (n[:i] > 0) & (n[i] > 0))
+        for j in could.tolist():
+            if root(i) != root(j) and alike(rows[i][1], rows[j][1]):
+                a, b = sorted((root(i), root(j)))
+                up[b] = a
+    want = defaultdict(set)
+    for k, (d, t) in enumerate(rows):
+        if t.split():
+            want[root(k)].add(d)
+    whole = {frozenset(x) for x in want.values()}
+    assert sum(len(x) > 1 for x in whole) > 30
+    found = classes(r for r in near_dedup(docs).collect())
+    assert len(whole - found) <= 0.01 * len(whole)
