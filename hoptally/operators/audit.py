@@ -14,11 +14,11 @@ def window_counts(lines: DataFrame, publish_time: Column | None = None) -> DataF
     return lines.withColumn("window", publish_window(ms)).where(ms >= 0).groupBy("stream", "file", "window").agg(F.count("*").alias("n"))
 
 
-def parse_counters(lines: DataFrame) -> DataFrame:
-    """stream#file#window#count lines as rows. Bad lines go; of a window that a file counts twice the greater count stays."""
-    part = F.split("value", "#")
-    rows = lines.select(part[0].alias("stream"), F.get(part, F.lit(1)).alias("file"), F.get(part, F.lit(2)).try_cast("long").alias("window"), F.get(part, F.lit(3)).try_cast("long").alias("n"))
-    return rows.where("file is not null and `window` is not null and n is not null").groupBy("stream", "file", "window").agg(F.max("n").alias("n"))
+def parse_counters(lines: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """stream#file#window#count lines as rows. Bad lines go; of a window that a file counts twice (in one value of the columns `by`) the greater count stays."""
+    part, by = F.split("value", "#"), by or []
+    rows = lines.select(*by, part[0].alias("stream"), F.get(part, F.lit(1)).alias("file"), F.get(part, F.lit(2)).try_cast("long").alias("window"), F.get(part, F.lit(3)).try_cast("long").alias("n"))
+    return rows.where("file is not null and `window` is not null and n is not null").groupBy(*by, "stream", "file", "window").agg(F.max("n").alias("n"))
 
 
 def counters_to_audit(counters: DataFrame, committed: DataFrame) -> DataFrame:
@@ -100,12 +100,13 @@ def packet_stats(packets: DataFrame, start: int, end: int, filter: str | None =
     return rows.groupBy(*keys).agg(F.sum("received").alias("received"), F.sum("sent").alias("sent")).where("received > 0 or sent > 0")
 
 
-def packet_stats_capped(packets: DataFrame, start: int, end: int, tier: str, most: int, group_by: str | None = None, cutoff_h: int = 1, id_col: str = "event_id") -> DataFrame:
+def packet_stats_capped(packets: DataFrame, start: int, end: int, tier: str, most: int, group_by: str | None = None, cutoff_h: int = 1, id_col: str = "event_id", filter: str | None = None) -> DataFrame:
     """packet_stats of the packets up to the one, in order of (timestamp, id), that brings the tier's received to `most`.
 
-    The minute in which that happens is found from sums by minute; only its packets are then put in order."""
-    keys = parse_group_by(group_by)
-    rows = _entries(packets, start, end, cutoff_h).withColumn("minute", publish_window(F.col("timestamp"))).withColumn("mine", F.when(F.upper("tier") == tier.upper(), F.col("received")).otherwise(0))
+    Only packets that pass the filter count; as in packet_stats no cluster is known. The minute in which that happens is found from sums by minute; only its packets are then put in order."""
+    keys = [k for k in parse_group_by(group_by) if k not in {"cluster", "timeinterval"}]
+    known = packets.drop("cluster").withColumn("cluster", F.lit(None).cast("string"))
+    rows = _entries(known, start, end, cutoff_h).where(filter_condition(filter)).withColumn("minute", publish_window(F.col("timestamp"))).withColumn("mine", F.when(F.upper("tier") == tier.upper(), F.col("received")).otherwise(0))
     per_minute = rows.groupBy("minute").agg(F.sum("mine").alias("m"))
     running = per_minute.withColumn("before", F.coalesce(F.sum("m").over(Window.orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     reach = running.where(F.col("before") < most)
@@ -117,10 +118,11 @@ def packet_stats_capped(packets: DataFrame, start: int, end: int, tier: str, mos
     return picked.groupBy(*keys).agg(F.sum("received").alias("received"), F.sum("sent").alias("sent")).where("received > 0 or sent > 0")
 
 
-def all_tiers_complete(tuples: DataFrame, expected: int, tiers: list[str]) -> DataFrame:
-    """One row, complete: whether each of the tiers received exactly what was expected."""
+def all_tiers_complete(tuples: DataFrame, expected: int | DataFrame, tiers: list[str]) -> DataFrame:
+    """One row, complete: whether each of the tiers received exactly what was expected (a number, or the column expected of a one-row table)."""
     per_tier = tuples.where(F.col("tier").isin(tiers)).groupBy("tier").agg(F.sum(received()).alias("received"))
-    return per_tier.agg((F.coalesce(F.sum(F.when(F.col("received") == expected, 1).otherwise(0)), F.lit(0)) == len(tiers)).alias("complete"))
+    rows = per_tier.withColumn("expected", F.lit(expected)) if isinstance(expected, int) else per_tier.join(F.broadcast(expected))  # one row
+    return rows.agg((F.coalesce(F.sum(F.when(F.col("received") == F.col("expected"), 1).otherwise(0)), F.lit(0)) == len(tiers)).alias("complete"))
 
 
 def first_last_time(tuples: DataFrame) -> DataFrame:

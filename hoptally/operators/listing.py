@@ -92,7 +92,7 @@ def validate_streams(local: DataFrame, merged: DataFrame, mirror: DataFrame, wan
     bad = wanted.join(modes, ["stream", "mode", "cluster"], "left_anti").select(F.lit("not configured").alias("finding"), "stream", "cluster", F.col("mode").alias("what"))
     good = wanted.join(modes, ["stream", "mode", "cluster"], "left_semi")
     merges, mirrors = (good.where(F.col("mode") == m).select("stream", F.col("cluster").alias("at")).distinct() for m in ("merge", "mirror"))
-    of = lambda found, finding, what, which: found.join(F.broadcast(which), "stream").select(F.lit(finding).alias("finding"), "stream", F.col("at").alias("cluster"), what.cast("string").alias("what"))
+    of = lambda found, finding, what, which: found.join(which, "stream").select(F.lit(finding).alias("finding"), "stream", F.col("at").alias("cluster"), what.cast("string").alias("what"))
     both = missing_extra_in_mirror(merged, mirror).withColumn("stream", F.element_at(F.split("below", "/"), 1))
     holes = minute_holes(merged.withColumn("cluster", F.lit("all")), True)
     return (

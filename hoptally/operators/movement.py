@@ -20,24 +20,37 @@ def collector_batch(files: DataFrame, checkpoints: DataFrame, now: int, timeout:
     """Files to take of each (stream, collector), oldest first, until `most` non-empty ones are taken; empty ones ride along.
 
     The newest file is left out, as it may still be written to, unless it is older than timeout; names up to the
-    checkpoint (stream, collector, checkpoint) were taken before."""
-    by = Window.partitionBy("stream", "collector")
-    rows = exclude_live_files(files).withColumn("age", F.row_number().over(by.orderBy(F.desc("mtime"), F.desc("name"))))
-    rows = rows.where((F.col("age") > 1) | (F.col("mtime") < now - timeout)).join(checkpoints, ["stream", "collector"], "left")
+    checkpoint (stream, collector, checkpoint) were taken before. Where `most` is reached is found from sums by minute;
+    only that minute's files are then put in order."""
+    key = ["stream", "collector"]
+    files = exclude_live_files(files)
+    newest = files.groupBy(*key).agg(F.max(F.struct("mtime", "name")).alias("newest"))
+    rows = files.join(newest, key).where((F.struct("mtime", "name") < F.col("newest")) | (F.col("mtime") < now - timeout)).join(checkpoints, key, "left")
     rows = rows.where(F.col("checkpoint").isNull() | (F.col("name") > F.col("checkpoint")))
-    full = (F.col("length") > 0).cast("int")
-    before = F.coalesce(F.sum(full).over(by.orderBy("mtime", "name").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.withColumn("before", before).where(F.col("before") < most).select("stream", "collector", "name", "path", "length")
+    rows = rows.withColumns({"full": (F.col("length") > 0).cast("int"), "at": F.col("mtime") - F.col("mtime") % MINUTE})
+    preceding = lambda x, w: F.coalesce(F.sum(x).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = rows.groupBy(*key, "at").agg(F.sum("full").alias("n"))
+    sums = sums.withColumn("upto", preceding("n", Window.partitionBy(*key).orderBy("at"))).where(F.col("upto") < most)
+    rows = rows.join(sums, [*key, "at"])
+    crossing = F.col("upto") + F.col("n") >= most
+    within = rows.where(crossing).withColumn("before", F.col("upto") + preceding("full", Window.partitionBy(*key).orderBy("mtime", "name"))).where(F.col("before") < most)
+    cols = ["stream", "collector", "name", "path", "length"]
+    return rows.where(~crossing).select(*cols).unionByName(within.select(*cols))
 
 
 def collector_checkpoint(batch: DataFrame) -> DataFrame:
     return batch.groupBy("stream", "collector").agg(F.max("name").alias("checkpoint"))
 
 
-def trash_candidates(files: DataFrame, keep: int = KEPT_NAMES) -> DataFrame:
-    """All but the `keep` greatest names of each collector, with their name in the trash."""
-    turn = F.row_number().over(Window.partitionBy("stream", "collector").orderBy(F.desc("name")))
-    return files.withColumn("turn", turn).where(F.col("turn") > keep).select("stream", "collector", "name", F.concat("collector", F.lit("-"), "name").alias("target"))
+def trash_candidates(files: DataFrame, keep: int = KEPT_NAMES, parts: int = 32) -> DataFrame:
+    """All but the `keep` greatest names of each collector, with their name in the trash. A collector's names are put in
+    order in so many parts, and then the greatest of these."""
+    key = ["stream", "collector"]
+    part = F.pmod(F.hash("name", "path"), F.lit(parts))
+    some = files.select(*key, "name", "path", part.alias("part")).withColumn("turn", F.row_number().over(Window.partitionBy(*key, "part").orderBy(F.desc("name"), F.desc("path")))).where(F.col("turn") <= keep)
+    last = some.withColumn("turn", F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("name"), F.desc("path")))).where(F.col("turn") == keep)
+    rest = files.join(last.select(*key, F.struct("name", "path").alias("last")), key).where(F.struct("name", "path") < F.col("last"))
+    return rest.select("stream", "collector", "name", F.concat("collector", F.lit("-"), "name").alias("target"))
 
 
 def last_processed_time(files: DataFrame) -> DataFrame:
@@ -48,7 +61,7 @@ def last_processed_time(files: DataFrame) -> DataFrame:
 
 def next_minutes_batch(minutes: DataFrame, checkpoints: DataFrame, limit: int = BATCH_MINUTES) -> DataFrame:
     """The minutes right after each stream's checkpoint, without a gap, each only if the one after it exists too; limit + 1 at most."""
-    after = minutes.select("stream", "minute").distinct().join(F.broadcast(checkpoints), "stream").where(F.col("minute") > F.col("checkpoint"))
+    after = minutes.select("stream", "minute").distinct().join(checkpoints, "stream").where(F.col("minute") > F.col("checkpoint"))
     by = Window.partitionBy("stream").orderBy("minute")
     rows = after.withColumns({"turn": F.row_number().over(by), "after": F.lead("minute").over(by)})
     return rows.where((F.col("minute") == F.col("checkpoint") + F.col("turn") * MINUTE) & (F.col("after") == F.col("minute") + MINUTE) & (F.col("turn") <= limit + 1)).select("stream", "minute")
@@ -72,7 +85,7 @@ def merge_start(source: DataFrame, merged: DataFrame) -> DataFrame:
     files = source.where("not is_dir").select("stream", "name", F.col("minute").alias("source_minute"))
     known = files.join(merged.where("not is_dir").groupBy("stream", "name").agg(F.max("minute").alias("to")), ["stream", "name"])
     newest = known.groupBy("stream").agg(F.max_by("source_minute", F.struct("to", "name")).alias("last"))
-    gaps = files.join(F.broadcast(newest), "stream").where(F.col("source_minute") == F.col("last")).join(merged.select("stream", "name").distinct(), ["stream", "name"], "left_anti")
+    gaps = files.join(newest, "stream").where(F.col("source_minute") == F.col("last")).join(merged.select("stream", "name").distinct(), ["stream", "name"], "left_anti")
     gaps = gaps.groupBy("stream").agg(F.count("*").alias("missing"))
     out = files.groupBy("stream").agg(F.min("source_minute").alias("first")).join(newest, "stream", "left").join(gaps, "stream", "left")
     return out.select("stream", F.coalesce(F.col("last") + MINUTE, F.col("first")).alias("start"), F.coalesce("missing", F.lit(0)).alias("missing"))
@@ -82,7 +95,7 @@ def mirror_start(source: DataFrame, mirror: DataFrame) -> DataFrame:
     """As merge_start: the mirror's last minute plus one, and the files of that minute that it lacks (names without case)."""
     last = mirror.groupBy("stream").agg(F.max("minute").alias("last"))
     there = mirror.where("not is_dir").select("stream", F.lower("name").alias("lower")).distinct()
-    gaps = source.where("not is_dir").join(F.broadcast(last), "stream").where("minute = last").withColumn("lower", F.lower("name")).join(there, ["stream", "lower"], "left_anti")
+    gaps = source.where("not is_dir").join(last, "stream").where("minute = last").withColumn("lower", F.lower("name")).join(there, ["stream", "lower"], "left_anti")
     out = source.groupBy("stream").agg(F.min("minute").alias("first")).join(last, "stream", "left").join(gaps.groupBy("stream").agg(F.count("*").alias("missing")), "stream", "left")
     return out.select("stream", F.coalesce(F.col("last") + MINUTE, F.col("first")).alias("start"), F.coalesce("missing", F.lit(0)).alias("missing"))
 
@@ -112,10 +125,19 @@ def retention(source: DataFrame, dest: DataFrame, default: int) -> DataFrame:
 
 def purge_plan(listing: DataFrame, hours: DataFrame, now: int, default: int = 24) -> DataFrame:
     """Hours (stream, cluster, hour) whose age, also of those to come, is at least their retention."""
-    have = listing.select("stream", "cluster", (F.col("minute") - F.col("minute") % HOUR).alias("hour")).distinct().join(F.broadcast(hours), ["stream", "cluster"], "left")
+    have = listing.select("stream", "cluster", (F.col("minute") - F.col("minute") % HOUR).alias("hour")).distinct().join(hours, ["stream", "cluster"], "left")
     return have.where(F.floor(F.abs(F.lit(now) - F.col("hour")) / HOUR) >= F.coalesce("hours", F.lit(default))).select("stream", "cluster", "hour")
 
 
+def childless_folders(entries: DataFrame) -> DataFrame:
+    """Year, month and day folders (path, level) that hold nothing, to delete whatever their age. entries: root and path of all files and folders
+    below root/<stream>, is_dir."""
+    depth = F.size(F.split(relative(), "/"))
+    level = F.when(depth == 2, "year").when(depth == 3, "month").when(depth == 4, "day")
+    parents = entries.select(F.regexp_extract("path", "^(.*)/[^/]+$", 1).alias("path")).distinct()
+    return entries.where("is_dir").select("path", level.alias("level")).where("level is not null").distinct().join(parents, "path", "left_anti")
+
+
 def trash_purge_plan(dirs: DataFrame, now: int, hours: int = 24) -> DataFrame:
     """Trash folders (date yyyy-MM-dd, hour HH or null for an empty date) to delete: an empty date counts as its last hour;
     one whose names aren't numbers goes always."""
@@ -130,13 +152,19 @@ def retention_guard(start: int, now: int, hours: int) -> None:
         raise ValueError("the start is older than what is kept")
 
 
-def checkpoint_at(listing: DataFrame, source: DataFrame, dest: DataFrame, stream: str, minute: int) -> DataFrame:
+def starts_too_old(starts: DataFrame, hours: DataFrame, now: int, default: int = 24) -> DataFrame:
+    """retention_guard over a table: the checks (stream, cluster, start) that would begin before what is kept there."""
+    have = starts.join(hours, ["stream", "cluster"], "left")
+    return have.where(F.col("start") < F.lit(now) - F.coalesce("hours", F.lit(default)) * HOUR).select("stream", "cluster", "start")
+
+
+def checkpoint_at(listing: DataFrame, source: DataFrame, dest: DataFrame, stream: str, minute: int | DataFrame) -> DataFrame:
     """stream, mode, cluster, minute: a merge's checkpoint for each cluster that sends the stream, a mirror's for its primary
-    one; only where that minute is listed."""
+    one; only where that minute (a number, or the column at of a one-row table) is listed."""
     merge = source.where(F.col("stream") == stream).select("stream", F.lit("merge").alias("mode"), "cluster")
     mirror = dest.where((F.col("stream") == stream) & F.col("is_primary")).select("stream", F.lit("mirror").alias("mode"), "cluster")
-    there = listing.where(F.col("minute") == minute).select("stream", "cluster", "minute").distinct()
-    return merge.unionByName(mirror).join(there, ["stream", "cluster"]).select("stream", "mode", "cluster", "minute")
+    rows = listing.where(F.col("minute") == minute) if isinstance(minute, int) else listing.join(minute, F.col("minute") == F.col("at"))
+    return merge.unionByName(mirror).join(rows.select("stream", "cluster", "minute").distinct(), ["stream", "cluster"]).select("stream", "mode", "cluster", "minute")
 
 
 def sync_listing(listing: DataFrame, paths: DataFrame | None = None) -> DataFrame:

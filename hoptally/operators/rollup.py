@@ -37,6 +37,12 @@ def timeline_bucket_size(start: int, end: int, configured: int = 60) -> int:
     return max(configured, next((step for most, step in STEPS if days <= most), 1440))
 
 
+def timeline_step(days: Column, configured: int = 60) -> Column:
+    """timeline_bucket_size of a column of days."""
+    steps = reduce(lambda w, x: w.when(days <= x[0], x[1]), STEPS[1:], F.when(days <= STEPS[0][0], STEPS[0][1])).otherwise(1440)
+    return F.greatest(F.lit(configured), steps)
+
+
 def timeline(tuples: DataFrame, start: int, end: int, group_by: str = "timeinterval,tier", filter: str | None = None, configured: int = 60) -> DataFrame:
     """audit sums with the time cut to steps."""
     step = timeline_bucket_size(start, end, configured) * MINUTE
@@ -87,9 +93,20 @@ def rolled_days_start(days: DataFrame, rolled: DataFrame, today: int, till_days:
     return span.join(F.broadcast(inside)).select(start.alias("start"))  # both are one row
 
 
-def rollup_day_range(rolled: DataFrame, start: int, today: int, till_days: int) -> DataFrame:
-    """Days from start to till_days before today that aren't rolled up yet."""
-    return _days(rolled, start, today - today % DAY - till_days * DAY).join(rolled, "day", "left_anti")
+def rollup_day_range(rolled: DataFrame, start: int, today: int, till_days: int, daily_till_days: int | None = None, days: int | None = None) -> DataFrame:
+    """Days from start to till_days before today that aren't rolled up yet.
+
+    daily_till_days: older days are left to the daily rollup, so the hourly one doesn't start before that. days: on
+    demand, so many days from start on; ValueError if start isn't before the last day that may be rolled up."""
+    floor = today - today % DAY
+    last = floor - till_days * DAY
+    if daily_till_days is not None:
+        start = max(start, floor - daily_till_days * DAY)
+    if days is not None:
+        if start >= last:
+            raise ValueError("the start is too new to be rolled up")
+        last = min(last, start + days * DAY)
+    return _days(rolled, start, last).join(rolled, "day", "left_anti")
 
 
 def rollup_status(rolled: DataFrame, first: int, last: int) -> DataFrame:

@@ -63,9 +63,10 @@ def tier_links(nodes: DataFrame, sources: DataFrame) -> DataFrame:
     chain = nodes.sparkSession.createDataFrame(CHAIN, "parent_tier string, child_tier string, by string")
     named = lambda p: nodes.select(*(F.col(c).alias(f"{p}_{c}") for c in ("name", "cluster", "tier"))).distinct()
     up = named("parent").join(F.broadcast(chain), "parent_tier")  # seven rows
-    within = up.where("by <> 'source'").join(named("child"), "child_tier").where(
-        "parent_cluster = child_cluster and (by <> 'host' or parent_name = child_name)"
-    )
+    same = lambda a, b: F.col(a) == F.col(b)
+    child = named("child").withColumnRenamed("child_tier", "own_tier")
+    near = [same("child_tier", "own_tier"), same("parent_cluster", "child_cluster")]
+    within = up.where("by = 'cluster'").join(child, near).unionByName(up.where("by = 'host'").join(child, [*near, same("parent_name", "child_name")]))
     feed = sources.select(F.col("tier").alias("parent_tier"), F.col("cluster").alias("parent_cluster"), F.col("source").alias("child_cluster"))
     across = up.where("by = 'source'").join(feed, ["parent_tier", "parent_cluster"]).join(named("child"), ["child_tier", "child_cluster"])
     cols = [f"{p}_{c}" for p in ("parent", "child") for c in ("name", "cluster", "tier")]
@@ -156,9 +157,30 @@ def tier_count_summary(tuples: DataFrame, source: DataFrame, dest: DataFrame, lo
     return both.select("tier", "received", "sent", F.coalesce("upstream", F.lit(0)).alias("upstream"), verdict.alias("health"))
 
 
-def filter_topology(tuples: DataFrame, streams: list[str]) -> DataFrame:
-    """Nodes as the given streams alone make them."""
-    return topology_nodes(tuples.where(F.col("topic").isin(streams)), [99.0]).drop("stats")
+def cluster_scope(source: DataFrame, dest: DataFrame, cluster: str) -> DataFrame:
+    """The clusters (cluster) that a cluster's data comes from, itself included: a mirror's merge clusters, and all clusters that feed merges."""
+    feeds = source_clusters(source, dest)
+    own = source.sparkSession.createDataFrame([(cluster,)], "cluster string")
+    step = lambda rows, tier: rows.join(feeds.where(F.col("tier") == tier), "cluster").select(F.col("source").alias("cluster"))
+    merges = own.unionByName(step(own, "MIRROR"))
+    return merges.unionByName(step(merges, "MERGE")).distinct()
+
+
+def filter_topology(tuples: DataFrame, streams: list[str] | None = None, cluster: str | None = None, source: DataFrame | None = None, dest: DataFrame | None = None) -> DataFrame:
+    """Nodes as the given streams alone make them (None: all), and of a cluster's scope alone if one is given.
+
+    sources: the clusters that a merge or mirror node gets any of the streams that it still has from; null of other nodes, or without tables."""
+    rows = tuples if streams is None else tuples.where(F.col("topic").isin(streams))
+    if cluster is not None:
+        rows = rows.join(cluster_scope(source, dest, cluster), "cluster", "left_semi")
+    nodes = topology_nodes(rows, [99.0])
+    if source is None or dest is None:
+        return nodes.drop("stats")
+    topics = nodes.where("upper(tier) in ('MERGE', 'MIRROR')").select("name", "cluster", "tier", F.explode("stats.topic").alias("topic"))
+    fed = topic_sources(source.where("enabled"), dest).withColumnRenamed("tier", "kind")
+    lists = topics.join(fed, (F.upper("tier") == F.col("kind")) & (topics["cluster"] == fed["cluster"]) & (topics["topic"] == fed["topic"]))
+    lists = lists.groupBy("name", topics["cluster"], "tier").agg(F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"))
+    return nodes.drop("stats").join(lists, ["name", "cluster", "tier"], "left")
 
 
 def sent_vs_received(tuples: DataFrame) -> DataFrame:

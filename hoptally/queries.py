@@ -168,11 +168,19 @@ def _(spark, d):
     return audit.packet_stats_capped(v.packets(spark, d), MID, MID + m.DAY, "AGENT", 2000, group_by="tier")
 
 
+@_query("packet_stats_capped_filtered", _with(s.PACKETS, f"""SELECT topic, sum(r)::BIGINT received, sum(z)::BIGINT sent FROM (
+  SELECT *, coalesce(sum(CASE WHEN tier = 'AGENT' THEN r ELSE 0 END) OVER (ORDER BY "timestamp", event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) upto FROM (
+    SELECT event_id, "timestamp", tier, topic, sum(CASE WHEN got AND "key" BETWEEN {MID} AND {MID + m.DAY} THEN v ELSE 0 END) r, sum(CASE WHEN NOT got AND "key" BETWEEN {MID} AND {MID + m.DAY} THEN v ELSE 0 END) z
+    FROM pe WHERE "timestamp" BETWEEN {MID - m.HOUR} AND {MID + m.DAY + m.HOUR} AND topic IN ('click', 'view') GROUP BY event_id, "timestamp", tier, topic)) WHERE upto < 1000 GROUP BY topic HAVING sum(r) > 0 OR sum(z) > 0"""))
+def _(spark, d):
+    return audit.packet_stats_capped(v.packets(spark, d), MID, MID + m.DAY, "AGENT", 1000, group_by="cluster,topic", filter="topic=click|view")
+
+
 @_query("all_tiers_complete", _with(s.TUPLES, f"SELECT count(*) FILTER (r = (SELECT sum({s.RECEIVED}) FROM t WHERE tier = 'PUBLISHER')) = 2 complete FROM (SELECT tier, sum({s.RECEIVED}) r FROM t WHERE tier IN ('PUBLISHER', 'MIRROR') GROUP BY tier)"))
 def _(spark, d):
     t = v.tuples(spark, d)
-    expected = t.where("tier = 'PUBLISHER'").agg(F.sum(m.received())).first()[0]
-    return audit.all_tiers_complete(t, expected or 0, ["PUBLISHER", "MIRROR"])
+    expected = t.where("tier = 'PUBLISHER'").agg(F.sum(m.received()).alias("expected"))
+    return audit.all_tiers_complete(t, expected, ["PUBLISHER", "MIRROR"])
 
 
 @_query("first_last_time", _with(s.TUPLES, "SELECT min(timeinterval) AS first, max(timeinterval) AS last FROM t"))
@@ -208,11 +216,10 @@ def _(spark, d):
     return audit.parse_counters(_counter_lines(spark, d)).withColumnRenamed("window", "win")
 
 
-@_query("counters_to_audit", _with(f"{s.EVENTS}, {_LINES}", "SELECT stream, file, count(*) windows, sum(n)::BIGINT total FROM ct WHERE file IN (SELECT 'f' || (event_id % 40) FROM e) GROUP BY stream, file"))
+@_query("counters_to_audit", _with(f"{s.EVENTS}, {_LINES}", "SELECT stream, file, count(*) windows, sum(n)::BIGINT total FROM ct WHERE (stream, file) IN (SELECT (topic, 'f' || (event_id % 40)) FROM e) GROUP BY stream, file"))
 def _(spark, d):
     committed = v.events(spark, d).select(F.col("topic").alias("stream"), F.concat(F.lit("f"), (F.col("event_id") % 40).cast("string")).alias("file"))
-    every = committed.select("file").distinct().join(committed.select("stream").distinct(), F.lit(True))  # 40 names by 5 streams
-    out = audit.counters_to_audit(audit.parse_counters(_counter_lines(spark, d)), every)
+    out = audit.counters_to_audit(audit.parse_counters(_counter_lines(spark, d)), committed)
     return out.select("stream", "file", F.size("received").cast("long").alias("windows"), F.aggregate(F.map_values("received"), F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
 
 
@@ -341,9 +348,8 @@ def _(spark, d):
 
 @_query("timeline_bucket_size", _with(s.EVENTS, f"SELECT CASE WHEN days <= 3 THEN 60 WHEN days <= 7 THEN 120 WHEN days <= 14 THEN 240 WHEN days <= 21 THEN 360 WHEN days <= 30 THEN 480 WHEN days <= 60 THEN 720 ELSE 1440 END AS minutes, count(*) n FROM (SELECT (ms - {START}) // {m.DAY} + 1 AS days FROM e) GROUP BY 1"))
 def _(spark, d):
-    days = v.events(spark, d).select(((F.col("ms") - START) / m.DAY).cast("long").alias("d")).groupBy("d").count()
-    steps = F.create_map(*(x for k in range(400) for x in (F.lit(k), F.lit(rollup.timeline_bucket_size(START, START + (k + 1) * m.DAY)))))
-    return days.groupBy(F.element_at(steps, F.col("d").cast("int")).alias("minutes")).agg(F.sum("count").alias("n"))
+    days = v.events(spark, d).select((((F.col("ms") - START) / m.DAY).cast("long") + 1).alias("days"))
+    return days.groupBy(rollup.timeline_step(F.col("days")).alias("minutes")).agg(F.count("*").alias("n"))
 
 
 _SETS = f"""{s.TUPLES}, gs AS (SELECT (2 - grouping(cluster) - grouping(topic))::INT AS level, tb AS "time", tier, cluster, topic, {s.SUM_MEASURES}
@@ -380,6 +386,16 @@ def _(spark, d):
     return rollup.rollup_day_range(_days(spark, d)[1], START, NOW, 2)
 
 
+@_query("rollup_day_range_hourly", _with(_DAYS, f"SELECT x AS day FROM range({NOW - NOW % m.DAY - 9 * m.DAY}, {NOW - NOW % m.DAY - 2 * m.DAY}, {m.DAY}) r(x) WHERE x NOT IN (SELECT day FROM ro)"))
+def _(spark, d):
+    return rollup.rollup_day_range(_days(spark, d)[1], START, NOW, 2, daily_till_days=9)
+
+
+@_query("rollup_day_range_on_demand", _with(_DAYS, f"SELECT x AS day FROM range({START + 4 * m.DAY}, {START + 11 * m.DAY}, {m.DAY}) r(x) WHERE x NOT IN (SELECT day FROM ro)"))
+def _(spark, d):
+    return rollup.rollup_day_range(_days(spark, d)[1], START + 4 * m.DAY, NOW, 2, days=7)
+
+
 @_query("rollup_status", _with(_DAYS, f"SELECT x AS day FROM range({START}, {END}, {m.DAY}) r(x) WHERE x NOT IN (SELECT day FROM ro)"))
 def _(spark, d):
     return rollup.rollup_status(_days(spark, d)[1], START, END)
@@ -408,10 +424,23 @@ def _(spark, d):
     return topology.vip_nodes(v.tuples(spark, d))
 
 
-@_query("source_clusters", _with(f"{s.CONFIG}, {s.SOURCES}, seen AS (SELECT DISTINCT 'cluster' || (user_id % 2) cluster FROM events)", "SELECT sc.* FROM sc JOIN seen ON seen.cluster = sc.source"))
+_SEEN = f"""{s.EVENTS}, by_ AS (SELECT topic, cluster, count(*) n, min(event_id) first_ FROM e GROUP BY topic, cluster),
+so AS (SELECT topic stream, cluster, n % 5 <> 0 enabled FROM by_), de AS (SELECT topic stream, cluster, row_number() OVER (PARTITION BY topic ORDER BY n DESC, cluster) = 1 is_primary FROM by_)"""
+
+
+def _seen(spark, d):
+    """Sources and destinations as the events show them: a stream's primary cluster is the one with most of its events."""
+    from pyspark.sql import Window
+
+    by = v.events(spark, d).groupBy(F.col("topic").alias("stream"), "cluster").agg(F.count("*").alias("n"))
+    turn = F.row_number().over(Window.partitionBy("stream").orderBy(F.desc("n"), "cluster"))
+    return by.select("stream", "cluster", (F.col("n") % 5 != 0).alias("enabled")), by.select("stream", "cluster", (turn == 1).alias("is_primary"))
+
+
+@_query("source_clusters", _with(_SEEN, """SELECT DISTINCT 'MERGE' tier, de.cluster, so.cluster source FROM de JOIN so USING (stream) WHERE is_primary AND enabled
+UNION SELECT DISTINCT 'MIRROR', de.cluster, p.cluster FROM de JOIN de p USING (stream) WHERE NOT de.is_primary AND p.is_primary"""))
 def _(spark, d):
-    seen = v.events(spark, d).select(F.col("cluster").alias("source")).distinct()
-    return topology.source_clusters(v.stream_source(spark), v.stream_dest(spark)).join(seen, "source").select("tier", "cluster", "source")
+    return topology.source_clusters(*_seen(spark, d))
 
 
 @_query("tier_links", _with(s.NODES, "SELECT * FROM links"))
@@ -475,6 +504,16 @@ def _(spark, d):
     return topology.filter_topology(v.tuples(spark, d), ["click", "view"])
 
 
+@_query("filter_topology_scope", _with(f"""{s.TOPICS}, {s.CONFIG}, {s.SOURCES},
+own AS (SELECT 'cluster1' cluster UNION SELECT source FROM sc WHERE tier = 'MIRROR' AND cluster = 'cluster1'), scope AS (SELECT cluster FROM own UNION SELECT source FROM sc WHERE tier = 'MERGE' AND cluster IN (SELECT cluster FROM own)),
+ft AS (SELECT * FROM tc WHERE topic IN ('view', 'purchase') AND cluster IN (SELECT cluster FROM scope)),
+fs AS (SELECT ft."name", ft.cluster, ft.tier, string_agg(DISTINCT source, ',' ORDER BY source) sources FROM ft JOIN tsrc ON tsrc.tier = ft.tier AND tsrc.cluster = ft.cluster AND tsrc.topic = ft.topic GROUP BY ft."name", ft.cluster, ft.tier)""",
+f"""SELECT n.*, sources FROM (SELECT "name", cluster, tier, received, sent, topics, {s.percentile_sql([99.0])} FROM (SELECT "name", cluster, tier, sum(received)::BIGINT received, sum(sent)::BIGINT sent, count(DISTINCT topic) topics,
+  {', '.join(f'sum({b})::BIGINT {b}' for b in m.BUCKETS)} FROM ft GROUP BY "name", cluster, tier)) n LEFT JOIN fs ON fs."name" = n."name" AND fs.cluster = n.cluster AND fs.tier = n.tier"""))
+def _(spark, d):
+    return topology.filter_topology(v.tuples(spark, d), ["view", "purchase"], "cluster1", v.stream_source(spark), v.stream_dest(spark))
+
+
 @_query("sent_vs_received", _with(s.TOPICS, 'SELECT *, sent <> received mismatch FROM (SELECT "name", cluster, tier, topic, sum(received)::BIGINT received, sum(sent)::BIGINT sent FROM tc WHERE tier IN (\'AGENT\', \'COLLECTOR\') GROUP BY "name", cluster, tier, topic)'))
 def _(spark, d):
     return topology.sent_vs_received(v.tuples(spark, d))
@@ -638,6 +677,34 @@ def _(spark, d):
     return movement.purge_plan(_L(spark, d), hours, NOW)
 
 
+#: Folders of the days that have local files; every third is there without files of its own, and some months and years are bare.
+_FOLDERS = f"""{s.EVENTS}, dy AS (SELECT DISTINCT topic, ms - ms % 86400000 d0 FROM e), fo AS (
+  SELECT 'r/' || topic || '/' || strftime(make_timestamp(d0 * 1000), '%Y/%m/%d') AS path FROM dy UNION SELECT 'r/' || topic || '/' || strftime(make_timestamp(d0 * 1000), '%Y/%m') FROM dy
+  UNION SELECT 'r/' || topic || '/' || strftime(make_timestamp(d0 * 1000), '%Y') FROM dy UNION SELECT 'r/' || topic || '/' || strftime(make_timestamp(d0 * 1000), '%Y/0%d') FROM dy WHERE strftime(make_timestamp(d0 * 1000), '%d') = '09'
+  UNION SELECT 'r/' || topic || '/2019' FROM dy),
+fi AS (SELECT DISTINCT 'r/' || topic || '/' || strftime(make_timestamp(ms * 1000), '%Y/%m/%d') || '/x' AS path FROM e WHERE (ms // 86400000) % 3 <> 0),
+en AS (SELECT path, true is_dir FROM fo UNION ALL SELECT path, false FROM fi)"""
+
+
+@_query("purge_childless", _with(_FOLDERS, """SELECT path, CASE len(string_split(path, '/')) WHEN 3 THEN 'year' WHEN 4 THEN 'month' WHEN 5 THEN 'day' END AS level FROM fo
+WHERE path NOT IN (SELECT regexp_extract(path, '^(.*)/[^/]+$', 1) FROM en)"""))
+def _(spark, d):
+    e = v.events(spark, d)
+    day = lambda p: F.concat(F.lit("r/"), "topic", F.lit("/"), m.minute_text(F.col("ms"), p))
+    dirs = [e.select(day(p).alias("path")) for p in ("yyyy/MM/dd", "yyyy/MM", "yyyy")]
+    dirs += [e.where(m.minute_text(F.col("ms"), "dd") == "09").select(day("yyyy/'0'dd").alias("path")), e.select(F.concat(F.lit("r/"), "topic", F.lit("/2019")).alias("path"))]
+    folders = dirs[0].unionByName(dirs[1]).unionByName(dirs[2]).unionByName(dirs[3]).unionByName(dirs[4]).distinct().withColumn("is_dir", F.lit(True))
+    inside = e.where("(ms div 86400000) % 3 <> 0").select(F.concat(day("yyyy/MM/dd"), F.lit("/x")).alias("path"), F.lit(False).alias("is_dir")).distinct()
+    return movement.childless_folders(folders.unionByName(inside).withColumn("root", F.lit("r")))
+
+
+@_query("retention_guard", _lsql(f'SELECT f.stream, f.cluster, f.st AS "start" FROM (SELECT stream, cluster, max("minute") - (max("minute") - min("minute")) // 2 st FROM ll GROUP BY stream, cluster) f LEFT JOIN re ON re.stream = f.stream AND re.cluster = f.cluster WHERE f.st < {START + 17 * m.DAY} - coalesce(hours, 24) * 3600000', _RET))
+def _(spark, d):
+    hours = movement.retention(v.stream_source(spark), v.stream_dest(spark), 24)
+    starts = _L(spark, d).groupBy("stream", "cluster").agg(F.expr("max(minute) - (max(minute) - min(minute)) div 2").alias("start"))
+    return movement.starts_too_old(starts, hours, START + 17 * m.DAY)
+
+
 def _trash(spark, d):
     hour = F.when(F.col("event_id") % 7 == 0, F.lit(None)).when(F.col("event_id") % 31 == 0, "xx").otherwise(F.date_format(F.timestamp_millis("ms"), "HH"))
     return v.events(spark, d).select(F.date_format(F.timestamp_millis("ms"), "yyyy-MM-dd").alias("date"), hour.alias("hour")).distinct()
@@ -652,8 +719,8 @@ def _(spark, d):
 @_query("checkpoint_at", _lsql('SELECT x.stream, x.mode, x.cluster, k.mn AS "minute" FROM (SELECT stream, \'merge\' AS mode, cluster FROM ss WHERE stream = \'click\' UNION ALL SELECT stream, \'mirror\', cluster FROM sd WHERE stream = \'click\' AND is_primary) x, (SELECT max("minute") mn FROM ll WHERE stream = \'click\') k WHERE EXISTS (SELECT 1 FROM ll WHERE ll.stream = x.stream AND ll.cluster = x.cluster AND ll."minute" = k.mn)', s.CONFIG))
 def _(spark, d):
     rows = _L(spark, d)
-    last = rows.where("stream = 'click'").agg(F.max("minute")).first()[0]
-    return movement.checkpoint_at(rows, v.stream_source(spark), v.stream_dest(spark), "click", last or 0)
+    last = rows.where("stream = 'click'").agg(F.max("minute").alias("at"))
+    return movement.checkpoint_at(rows, v.stream_source(spark), v.stream_dest(spark), "click", last)
 
 
 def _sync_sides(spark, d):
@@ -702,7 +769,7 @@ def _(spark, d):
     return files.collapse_lines(spark.read.parquet(f"{d}/documents.parquet").select(F.explode(F.split("text", "\n")).alias("value")))
 
 
-@_query("read_lines", _with(s.EVENTS, "SELECT topic AS stream, strftime(ts, '%Y/%m/%d/00/00') AS dir, count(*) n FROM e GROUP BY 1, 2"))
+@_query("write_minute_partitions", _with(s.EVENTS, "SELECT topic AS stream, strftime(ts, '%Y/%m/%d/00/00') AS dir, count(*) n FROM e GROUP BY 1, 2"))
 def _(spark, d):
     path = files.scratch(spark)
     lines = v.events(spark, d).select(F.col("event_id").cast("string").alias("value"), F.col("topic").alias("stream"), (F.col("ms") - F.col("ms") % m.DAY).alias("at"))
@@ -711,12 +778,36 @@ def _(spark, d):
     return read.groupBy("stream", "dir").agg(F.count("*").alias("n"))
 
 
-@_query("read_listing", _with(s.EVENTS, f'SELECT DISTINCT topic AS stream, ms - ms % 86400000 AS "minute" FROM e WHERE ms - ms % 86400000 >= {MID} AND ms - ms % 86400000 < {MID + 5 * m.DAY}'))
+@_query("read_lines", _with(s.EVENTS, "SELECT topic AS stream, cluster || '-' || hostname AS collector, count(*) n, sum(event_id)::BIGINT total FROM e GROUP BY 1, 2"))
 def _(spark, d):
+    path = files.scratch(spark)
+    lines = v.events(spark, d).select(F.col("event_id").cast("string").alias("value"), F.col("topic").alias("stream"), F.concat("cluster", F.lit("-"), "hostname").alias("collector"))
+    lines.write.partitionBy("stream", "collector").option("compression", "gzip").text(path)
+    return files.read_lines(spark, path).groupBy("stream", "collector").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("long")).alias("total"))
+
+
+def _emptied(spark, d):
+    """Minute folders of days; in those of every fifth day no file is left."""
     path = files.scratch(spark)
     lines = v.events(spark, d).select(F.col("event_id").cast("string").alias("value"), F.col("topic").alias("stream"), (F.col("ms") - F.col("ms") % m.DAY).alias("at"))
     files.write_minute_partitions(lines, path, F.col("at"))
-    return files.read_listing(spark, path, "c", "r", MID, MID + 5 * m.DAY).select("stream", "minute").distinct()
+    for folder, _ in files._minute_folders(spark, path, None, None):
+        minute = int(folder.split("day=")[1][:2])
+        if minute % 5 == 0:
+            feed._delete(spark, folder)
+            feed._make(spark, folder)
+    return path
+
+
+@_query("read_listing", _with(s.EVENTS, f'SELECT DISTINCT topic AS stream, ms - ms % 86400000 AS "minute", extract(day FROM ts) % 5 = 0 is_dir FROM e WHERE ms - ms % 86400000 >= {MID} AND ms - ms % 86400000 < {MID + 9 * m.DAY}'))
+def _(spark, d):
+    return files.read_listing(spark, _emptied(spark, d), "c", "r", MID, MID + 9 * m.DAY).select("stream", "minute", "is_dir").distinct()
+
+
+@_query("read_listing_holes", _with(s.EVENTS, """SELECT stream, count(*) missing FROM (SELECT topic stream, lead(d0) OVER (PARTITION BY topic ORDER BY d0) nx, d0 FROM (SELECT DISTINCT topic, ms - ms % 86400000 d0 FROM e)) WHERE nx > d0 + 60000 GROUP BY stream"""))
+def _(spark, d):
+    rows = files.read_listing(spark, _emptied(spark, d), "c", "r")
+    return listing.minute_holes(rows, True).groupBy("stream").agg(F.count("*").alias("missing"))
 
 
 @_query("read_write_tuples", _with(s.TUPLES, f"SELECT {s.KEYS}, sent, c0, c600 FROM t WHERE timeinterval >= {MID} AND timeinterval < {MID + 2 * m.DAY}"))
@@ -726,14 +817,26 @@ def _(spark, d):
     return files.read_tuples(spark, path, MID, MID + 2 * m.DAY).select(*m.KEY, "sent", "c0", "c600")
 
 
-@_query("to_timeline_json")
+@_query("to_timeline_json", _with(_SETS, f"""SELECT a.tier, a."time", a.{{r}} all_received, b.cluster, b.{{r}} cluster_received, c.topic, c.{{r}} received, c.sent FROM gs_ a JOIN gs_ b ON b.level = 1 AND b.tier = a.tier AND b."time" = a."time"
+JOIN gs_ c ON c.level = 2 AND c.tier = b.tier AND c."time" = b."time" AND c.cluster = b.cluster WHERE a.level = 0""".replace("{r}", "received").replace("gs_", f"(SELECT level, \"time\", tier, cluster, topic, sent, {s.RECEIVED} received FROM gs)")))
 def _(spark, d):
-    return files.to_timeline_json(rollup.timeline_grouping_sets(v.tuples(spark, d), m.DAY, [99.0]))
+    """The documents, read again."""
+    docs = files.to_timeline_json(rollup.timeline_grouping_sets(v.tuples(spark, d), m.DAY, [99.0]))
+    kind = "struct<tier:string,points:array<struct<time:bigint,received:bigint,sent:bigint,clusters:array<struct<cluster:string,received:bigint,sent:bigint,topics:array<struct<topic:string,received:bigint,sent:bigint>>>>>>>"
+    points = docs.select(F.from_json("json", kind).alias("j")).select("j.tier", F.explode("j.points").alias("p")).select("tier", "p.time", F.col("p.received").alias("all_received"), F.explode("p.clusters").alias("c"))
+    topics = points.select("tier", "time", "all_received", "c.cluster", F.col("c.received").alias("cluster_received"), F.explode("c.topics").alias("t"))
+    return topics.select("tier", "time", "all_received", "cluster", "cluster_received", "t.topic", "t.received", "t.sent")
 
 
-@_query("to_topology_json")
+@_query("to_topology_json", _with(s.TOPICS, f"""SELECT a."name", a.cluster, a.tier, a.received all_received, p99, topic, b.received, b.sent
+FROM (SELECT "name", cluster, tier, received, {s.percentile_sql([99.0])} FROM (SELECT "name", cluster, tier, sum(received)::BIGINT received, {", ".join(f"sum({b})::BIGINT {b}" for b in m.BUCKETS)} FROM tc GROUP BY "name", cluster, tier)) a
+JOIN (SELECT "name", cluster, tier, topic, sum(received)::BIGINT received, sum(sent)::BIGINT sent FROM tc GROUP BY "name", cluster, tier, topic) b ON b."name" = a."name" AND b.cluster = a.cluster AND b.tier = a.tier"""))
 def _(spark, d):
-    return files.to_topology_json(topology.topology_nodes(v.tuples(spark, d), [99.0]))
+    """The documents, read again."""
+    docs = files.to_topology_json(topology.topology_nodes(v.tuples(spark, d), [99.0]))
+    kind = "struct<name:string,cluster:string,tier:string,received:bigint,p99:int,stats:array<struct<topic:string,received:bigint,sent:bigint>>>"
+    rows = docs.select(F.from_json("json", kind).alias("j")).select("j.name", "j.cluster", "j.tier", F.col("j.received").alias("all_received"), "j.p99", F.explode("j.stats").alias("t"))
+    return rows.select("name", "cluster", "tier", "all_received", "p99", "t.topic", "t.received", "t.sent")
 
 
 @_query("stream_feed", _with(_BUILT, f"SELECT * FROM bt WHERE timeinterval >= {START}"))
@@ -745,43 +848,71 @@ def _(spark, d):
     return files.read_tuples(spark, f"{base}/table")
 
 
-@_query("stream_window_counts")
+@_query("stream_late_data", _with(_BUILT, f"SELECT count(*) n, sum(sent)::BIGINT sent, sum({s.RECEIVED})::BIGINT received FROM bt WHERE timeinterval < {MID}"))
 def _(spark, d):
     base = files.scratch(spark)
-    lines = v.events(spark, d).select(F.col("topic").alias("stream"), F.col("hostname").alias("file"), F.timestamp_millis("ms").alias("publish_time"))
-    lines.write.parquet(f"{base}/lines")
-    source = spark.readStream.schema(lines.schema).parquet(f"{base}/lines")
-    out = feed.stream_window_counts(source).writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
-    out.awaitTermination()
-    return spark.read.schema("stream string, file string, window long, n long").parquet(f"{base}/out")
+    v.packets(spark, d).coalesce(1).write.parquet(f"{base}/packets")  # one batch: a key that two batches hold late counts in each
+    source = spark.readStream.schema(spark.read.parquet(f"{base}/packets").schema).parquet(f"{base}/packets")
+    feed.stream_feed(source, f"{base}/table", f"{base}/checkpoint", MID).awaitTermination()
+    return feed.late_tuples(spark, f"{base}/table")
 
 
-@_query("stream_local_ingest", _with(s.EVENTS, "SELECT topic AS stream, count(*) n FROM e WHERE event_id % 2 = 0 GROUP BY topic"))
+@_query("stream_window_counts", _with(s.EVENTS, 'SELECT topic AS stream, hostname AS file, ms - ms % 60000 AS win, count(*) n FROM e GROUP BY 1, 2, 3'))
 def _(spark, d):
     base = files.scratch(spark)
-    lines = v.events(spark, d).select(F.col("event_id").cast("string").alias("value"), F.col("topic").alias("stream"), (F.col("ms") - F.col("ms") % m.DAY).alias("commit_ms"))
+    lines = v.events(spark, d).select(F.col("topic").alias("stream"), F.col("hostname").alias("file"), F.timestamp_millis("ms").alias("publish_time"))
     lines.write.parquet(f"{base}/lines")
     source = spark.readStream.schema(lines.schema).parquet(f"{base}/lines")
-    feed.stream_local_ingest(source, f"{base}/out", f"{base}/checkpoint", lambda x: x.where("cast(value as long) % 2 = 0")).awaitTermination()
-    return files.read_lines(spark, f"{base}/out").groupBy("stream").agg(F.count("*").alias("n"))
+    feed.stream_window_table(source, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return feed.read_window_table(spark, f"{base}/out").withColumnRenamed("window", "win")
+
+
+def _ingested(spark, d):
+    """Events as lines, through the ingest with its counters; its hook appends a digit to each line."""
+    base = files.scratch(spark)
+    lines = v.events(spark, d).select(
+        F.col("event_id").cast("string").alias("value"), F.col("topic").alias("stream"), F.concat("hostname", F.lit(".gz")).alias("file"), F.col("ms").alias("publish_ms"), (F.col("ms") - F.col("ms") % m.DAY).alias("commit_ms")
+    )
+    lines.repartition(6).write.parquet(f"{base}/lines")
+    source = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 3).parquet(f"{base}/lines")
+    feed.stream_local_ingest(source, f"{base}/out", f"{base}/checkpoint", lambda x: x.withColumn("value", F.concat("value", F.lit("7"))), counters=f"{base}/counters").awaitTermination()
+    return base
+
+
+@_query("stream_local_ingest", _with(s.EVENTS, 'SELECT topic AS stream, ms - ms % 86400000 AS "minute", count(*) n, sum(event_id * 10 + 7)::BIGINT total FROM e GROUP BY 1, 2'))
+def _(spark, d):
+    rows = files.read_lines(spark, f"{_ingested(spark, d)}/out").withColumn("minute", m.path_to_minute(F.regexp_replace("path", "(year|month|day|hour|minute)=", "")))
+    return rows.groupBy("stream", "minute").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("long")).alias("total"))
+
+
+@_query("stream_local_counters", _with(s.EVENTS, "SELECT topic AS stream, hostname || '.gz' AS file, count(DISTINCT ms - ms % 60000) AS minutes, count(*) n FROM e GROUP BY 1, 2"))
+def _(spark, d):
+    """The ingest's counters as counters_to_audit gets them; what two batches count for one window adds up."""
+    lines = spark.read.text(f"{_ingested(spark, d)}/counters/batch=*")
+    counted = audit.parse_counters(lines.select("value", F.regexp_extract(F.col("_metadata.file_path"), "/batch=([0-9]+)/", 1).alias("batch")), by=["batch"]).groupBy("stream", "file", "window").agg(F.sum("n").alias("n"))
+    return counted.groupBy("stream", "file").agg(F.count("*").alias("minutes"), F.sum("n").alias("n"))
 
 
-@_query("stream_merge", _with(s.EVENTS, "SELECT topic AS stream, count(*) n, sum(event_id)::BIGINT total FROM e GROUP BY topic"))
+@_query("stream_merge", _with(s.EVENTS, f'SELECT topic AS stream, {MID}::BIGINT AS "minute", count(*) n, sum(event_id)::BIGINT total FROM e GROUP BY topic'))
 def _(spark, d):
     base = files.scratch(spark)
-    lines = v.events(spark, d).select(F.col("event_id").alias("value"), F.col("topic").alias("stream"), "cluster")
+    lines = v.events(spark, d).select(F.col("event_id").cast("string").alias("value"), F.col("topic").alias("stream"), "cluster")
     lines.write.partitionBy("cluster").parquet(f"{base}/roots")
-    roots = [spark.readStream.schema("value long, stream string").parquet(f"{base}/roots/cluster=cluster{k}") for k in (0, 1)]
-    feed.stream_copy(roots, f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return spark.read.schema("value long, stream string").parquet(f"{base}/out").groupBy("stream").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    roots = [spark.readStream.schema("value string, stream string").parquet(f"{base}/roots/cluster=cluster{k}") for k in (0, 1)]
+    feed.stream_merge(roots, f"{base}/out", f"{base}/checkpoint", lambda: MID + 7).awaitTermination()
+    rows = files.read_lines(spark, f"{base}/out").withColumn("minute", m.path_to_minute(F.regexp_replace("path", "(year|month|day|hour|minute)=", "")))
+    return rows.groupBy("stream", "minute").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("long")).alias("total"))
 
 
-@_query("stream_mirror", _with(s.EVENTS, "SELECT topic AS stream, count(*) n, sum(event_id)::BIGINT total FROM e WHERE cluster = 'cluster1' GROUP BY topic"))
+@_query("stream_mirror", _with(s.EVENTS, 'SELECT topic AS stream, ms - ms % 86400000 AS "minute", count(*) n, sum(event_id)::BIGINT total FROM e GROUP BY 1, 2'))
 def _(spark, d):
     base = files.scratch(spark)
-    v.events(spark, d).where("cluster = 'cluster1'").select(F.col("event_id").alias("value"), F.col("topic").alias("stream")).write.parquet(f"{base}/root")
-    feed.stream_copy([spark.readStream.schema("value long, stream string").parquet(f"{base}/root")], f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return spark.read.schema("value long, stream string").parquet(f"{base}/out").groupBy("stream").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    lines = v.events(spark, d)
+    files.write_minute_partitions(lines.select(F.col("event_id").cast("string").alias("value"), F.col("topic").alias("stream"), (F.col("ms") - F.col("ms") % m.DAY).alias("at")), f"{base}/root", F.col("at"))
+    source = spark.readStream.format("text").schema("value string").option("recursiveFileLookup", True).load(f"{base}/root").select("value", F.col("_metadata.file_path").alias("path"))
+    feed.stream_mirror(source, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    rows = files.read_lines(spark, f"{base}/out").withColumn("minute", m.path_to_minute(F.regexp_replace("path", "(year|month|day|hour|minute)=", "")))
+    return rows.groupBy("stream", "minute").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("long")).alias("total"))
 
 
 @_query("sliding_metric_sum", _with(s.EVENTS, "SELECT hostname AS service, 'm' AS metric, topic AS stream, st AS start, sum(n)::BIGINT total FROM (SELECT *, unnest(range(ms - ms % 1800000 - 1800000, ms - ms % 1800000 + 1, 1800000)) st FROM e) GROUP BY 1, 3, 4"))

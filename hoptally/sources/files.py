@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoptally.functions.model import KEY, minute_text, path_to_minute, time_range
+from hoptally.functions.model import DAY, KEY, minute_text, path_to_minute, time_range
 
 LISTING = "cluster string, root string, stream string, minute bigint, name string, path string, is_dir boolean, length bigint, mtime bigint"
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder where all executors can write: below spark.checkpoint.dir, or a temporary one where that is unset."""
+    """A new folder where all executors can write, below spark.checkpoint.dir; where that is unset a temporary one in local mode,
+    and a ValueError on a cluster, whose machines wouldn't share it."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base or tempfile.mkdtemp(prefix='hoptally-')}/{uuid.uuid4().hex}"
 
 
@@ -26,23 +30,35 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """value, stream and file of text files, gzipped or not, below <root>/stream=<name>/."""
+def read_lines(spark: SparkSession, path: str, raw: bool = False) -> DataFrame:
+    """value, stream, collector, file and path of text files, gzipped or not; empty files give no rows.
+
+    Files lie below stream=<name>/ and maybe collector=<name>/ (else collector is null), or, if raw, as <stream>/<collector>/<file>."""
     lines = spark.read.option("recursiveFileLookup", True).text(path)
     at = F.col("_metadata.file_path")
-    return lines.select("value", F.regexp_extract(at, r"/stream=([^/]+)/", 1).alias("stream"), F.element_at(F.split(at, "/"), -1).alias("file"), at.alias("path"))
+    part = F.split(at, "/")
+    named = lambda name: F.nullif(F.regexp_extract(at, f"/{name}=([^/]+)/", 1), F.lit(""))
+    stream, collector = (F.element_at(part, -3), F.element_at(part, -2)) if raw else (F.coalesce(named("stream"), F.lit("")), named("collector"))
+    return lines.select("value", stream.alias("stream"), collector.alias("collector"), F.element_at(part, -1).alias("file"), at.alias("path"))
+
 
+def write_minute_partitions(lines: DataFrame, path: str, commit_minute: F.Column, batch: int | None = None) -> None:
+    """value as gzipped text under stream/year/month/day/hour/minute of the commit minute (epoch milliseconds).
 
-def write_minute_partitions(lines: DataFrame, path: str, commit_minute: F.Column) -> None:
-    """value as gzipped text under stream/year/month/day/hour/minute of the commit minute (epoch milliseconds)."""
+    With a batch its files lie in a folder batch=<id> of their minute, and replace those of the same batch, so that a
+    batch can be written again. Large minutes are split among tasks, small ones share them."""
     parts = {n: minute_text(commit_minute, p) for n, p in (("year", "yyyy"), ("month", "MM"), ("day", "dd"), ("hour", "HH"), ("minute", "mm"))}
-    lines.select("value", "stream", *(c.alias(n) for n, c in parts.items())).repartition("stream", *parts).write.mode("append").partitionBy("stream", *parts).option("compression", "gzip").text(path)
+    rows = lines.select("value", "stream", *(c.alias(n) for n, c in parts.items()), *([] if batch is None else [F.lit(batch).alias("batch")]))
+    by = [c for c in rows.columns if c != "value"]
+    out = rows.hint("rebalance", *by).write.partitionBy(*by).option("compression", "gzip")
+    (out.mode("append") if batch is None else out.mode("overwrite").option("partitionOverwriteMode", "dynamic")).text(path)
 
 
 def write_tuples(tuples: DataFrame, path: str) -> None:
-    """Tuples as Parquet by day; days that they hold are replaced, all others stay."""
+    """Tuples as Parquet by day; days that they hold are replaced, all others stay. Large days are split among tasks."""
     day = F.to_date(F.timestamp_millis("timeinterval"))
-    tuples.withColumn("day", day).repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+    rows = tuples.withColumn("day", day).hint("rebalance", "day")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
 
 
 def read_tuples(spark: SparkSession, path: str, start: int | None = None, end: int | None = None) -> DataFrame:
@@ -50,18 +66,43 @@ def read_tuples(spark: SparkSession, path: str, start: int | None = None, end: i
     rows = spark.read.parquet(path)
     if start is not None and end is not None:
         rows = rows.where(F.col("day").between(F.to_date(F.timestamp_millis(F.lit(start))), F.to_date(F.timestamp_millis(F.lit(end))))).where(time_range(start, end))
-    return rows.drop("day").select(*KEY, *(c for c in rows.columns if c not in {*KEY, "day"}))
+    return rows.drop("day").select(*KEY, *(c for c in rows.columns if c not in {*KEY, "day", "upto"}))
+
+
+def _minute_folders(spark: SparkSession, path: str, start: int | None, end: int | None) -> list[tuple[str, int]]:
+    """The minute folders below path and when they were changed: of all days, or of those that the range touches alone.
+
+    Spark's file sources don't show empty folders, so these are asked for by name: one entry a stream and minute."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    at = fs.Path(path)
+    system = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    days = ["*/*/*"]
+    if start is not None and end is not None:
+        moments = (datetime.fromtimestamp(ms / 1000, UTC) for ms in range(start - start % DAY, end, DAY))
+        days = [t.strftime("{%Y,year=%Y}/{%m,month=%m}/{%d,day=%d}") for t in moments]
+    found = (system.globStatus(fs.Path(at, f"*/{day}/*/*")) for day in days)
+    return [(x.getPath().toString(), x.getModificationTime()) for statuses in found if statuses for x in statuses if x.isDirectory()]
 
 
 def read_listing(spark: SparkSession, path: str, cluster: str, root: str, start: int | None = None, end: int | None = None) -> DataFrame:
-    """The files below path as a listing (LISTING) of the minutes [start, end); without both all of them. Contents aren't read."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    """Files and empty minutes below path as a listing (LISTING) of the minutes [start, end); without both bounds all of them.
+
+    An empty minute is a row with is_dir, its folder's name and path, and no length. Only folders of the days in range are
+    looked through; contents aren't read."""
+    folders = _minute_folders(spark, path, start, end)
     at = F.col("path")
     minute = F.coalesce(path_to_minute(at), path_to_minute(F.regexp_replace(at, "(year|month|day|hour|minute)=", "")))
-    rows = found.select(
-        F.lit(cluster).alias("cluster"), F.lit(root).alias("root"), F.regexp_extract(at, r"/(?:stream=)?([^/]+)/(?:year=)?\d{4}/", 1).alias("stream"), minute.alias("minute"),
-        F.element_at(F.split(at, "/"), -1).alias("name"), at.alias("path"), F.lit(False).alias("is_dir"), "length", F.unix_millis("modificationTime").alias("mtime"),
+    below = F.concat(at, F.lit("/"))
+    stream = F.regexp_extract(below, r"/(?:stream=)?([^/]+)/(?:year=)?\d{4}/", 1)
+    days = sorted({p.rsplit("/", 2)[0] for p, _ in folders}) if start is not None and end is not None else [path]
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(days).select("path", "length", F.unix_millis("modificationTime").alias("mtime")) if days else spark.createDataFrame([], "path string, length long, mtime long")
+    row = lambda df, is_dir: df.select(
+        F.lit(cluster).alias("cluster"), F.lit(root).alias("root"), stream.alias("stream"), minute.alias("minute"), F.element_at(F.split(at, "/"), -1).alias("name"), at.alias("path"),
+        F.lit(is_dir).alias("is_dir"), "length", "mtime",
     )
+    files = row(found, False)
+    dirs = row(spark.createDataFrame(folders, "path string, mtime long").withColumn("length", F.lit(0).cast("long")), True)
+    rows = files.unionByName(dirs.join(files.select("stream", "minute").distinct(), ["stream", "minute"], "left_anti").select(*files.columns))
     return rows if start is None or end is None else rows.where((F.col("minute") >= start) & (F.col("minute") < end))
 
 

@@ -2,70 +2,136 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hoptally.functions.model import DAY
-from hoptally.operators.audit import align_messages, build_tuples, late_tuple_split, upsert_counters
-from hoptally.sources.files import read_tuples, write_minute_partitions, write_tuples
+from hoptally.functions.model import MINUTE, path_to_minute, received
+from hoptally.operators.audit import align_messages, build_tuples, late_tuple_split, upsert_counters, window_counts
+from hoptally.sources.files import settled, write_minute_partitions, write_tuples
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _path(spark: SparkSession, path: str) -> tuple:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    return at, at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    at, system = _path(spark, path)
+    return system.exists(at)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at, system = _path(spark, path)
+    system.delete(at, True)
+
+
+def _make(spark: SparkSession, path: str) -> None:
+    at, system = _path(spark, path)
+    system.mkdirs(at)
 
 
 def stream_feed(packets: DataFrame, table: str, checkpoint: str, boundary: int = 0, trigger: dict | None = None) -> StreamingQuery:
-    """Packets into the fact table at `table`: align, build, drop what is earlier than the boundary, add by key.
+    """Packets into the fact table at `table`: align, build, split off what is earlier than the boundary, add by key.
 
-    A batch first writes its tuples below <table>_batches/batch=<id>, then the days they touch are summed from all
-    batches and replaced. A batch that is run again replaces its own tuples, so nothing counts twice."""
-    parts = f"{table}_batches"
+    A batch reads and replaces the days that it touches, no others. Each stored row says up to which batch its day is summed
+    (upto), and a day that has this batch already is left alone; the new days are written aside first, so that a batch
+    which failed while days were replaced only replaces them again. Nothing counts twice, and nothing of old batches is read.
+    Late tuples aren't added: late_tuples gives how many there were."""
+    staged = f"{table}_staged"
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        kept, _ = late_tuple_split(build_tuples(align_messages(batch)), boundary)
-        kept.withColumn("day", F.col("timeinterval") - F.col("timeinterval") % DAY).write.mode("overwrite").partitionBy("day").parquet(f"{parts}/batch={batch_id}")
-        mine = spark.read.parquet(f"{parts}/batch={batch_id}") if not kept.isEmpty() else None
-        if mine is None:
-            return
-        days = [r["day"] for r in mine.select("day").distinct().collect()]  # the days of a batch
-        all_ = spark.read.option("basePath", parts).parquet(f"{parts}/batch=*").where(F.col("day").isin(days))
-        write_tuples(upsert_counters(all_.limit(0), all_), table)
+        stage = f"{staged}/batch={batch_id}"
+        if not _exists(spark, f"{stage}/_SUCCESS"):
+            kept, late = late_tuple_split(settled(build_tuples(align_messages(batch))), boundary)
+            late.agg(F.count("*").alias("n"), F.sum("sent").alias("sent"), F.sum(received()).alias("received")).write.mode("overwrite").parquet(f"{table}_late/batch={batch_id}")
+            day = F.to_date(F.timestamp_millis("timeinterval"))
+            days = [r["day"] for r in kept.select(day.alias("day")).distinct().collect()]  # the days of a batch
+            if not days:
+                return
+            if _exists(spark, table):
+                stored = spark.read.parquet(table).where(F.col("day").isin(days))
+                done = [r["day"] for r in stored.groupBy("day").agg(F.max("upto").alias("upto")).where(F.col("upto") >= batch_id).select("day").collect()]
+                kept, stored = (x.where(~at.isin(done)) if done else x for x, at in ((kept, day), (stored, F.col("day"))))
+                kept = upsert_counters(stored, kept)
+            kept.withColumn("upto", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(stage)
+        write_tuples(spark.read.parquet(stage), table)
+        _delete(spark, stage)
 
     return packets.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
+def late_tuples(spark: SparkSession, table: str) -> DataFrame:
+    """n, sent and received of the tuples that stream_feed found too late, over all batches."""
+    return spark.read.parquet(f"{table}_late").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "sent", "received")))
+
+
 def stream_window_counts(lines: DataFrame, time: str = "publish_time", delay: str = "10 minutes") -> DataFrame:
-    """Messages by stream, file and minute, sent on when the watermark has passed the minute."""
+    """Messages by stream, file and minute; a minute is closed when the watermark has passed it."""
     counted = lines.withWatermark(time, delay).groupBy("stream", "file", F.window(time, "60 seconds").alias("w")).count()
     return counted.select("stream", "file", F.unix_millis("w.start").alias("window"), F.col("count").alias("n"))
 
 
-def stream_local_ingest(lines: DataFrame, path: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """Lines (value, stream, commit_ms) into minute partitions; transform is the caller's hook on each batch."""
+def stream_window_table(lines: DataFrame, path: str, checkpoint: str, time: str = "publish_time", delay: str = "10 minutes", trigger: dict | None = None) -> StreamingQuery:
+    """stream_window_counts into a table, the minutes that are still open too: a batch writes those that it changed, to its own folder."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        write_minute_partitions(transform(batch) if transform else batch, f"{path}/batch={batch_id}", F.col("commit_ms"))
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    counted = stream_window_counts(lines, time, delay).writeStream.outputMode("update")
+    return counted.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def read_window_table(spark: SparkSession, path: str) -> DataFrame:
+    """The latest count of each minute of stream_window_table; counts only grow."""
+    rows = spark.read.schema("stream string, file string, window long, n long").parquet(f"{path}/batch=*")
+    return rows.groupBy("stream", "file", "window").agg(F.max("n").alias("n"))
+
+
+def stream_local_ingest(lines: DataFrame, path: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None, trigger: dict | None = None, counters: str | None = None) -> StreamingQuery:
+    """Lines (value, stream, commit_ms) into minute partitions; transform is the caller's hook on each batch.
+
+    counters: where a batch's counters go, lines stream#file#window#count by publish minute (of lines with file and
+    publish_ms), as parse_counters reads them. A batch that is run again replaces its own files."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        rows = transform(batch) if transform else batch
+        write_minute_partitions(rows, path, F.col("commit_ms"), batch_id)
+        if counters:
+            text = window_counts(rows).select(F.concat_ws("#", "stream", "file", "window", "n").alias("value"))
+            text.write.mode("overwrite").text(f"{counters}/batch={batch_id}")
 
     return lines.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def stream_copy(sources: list[DataFrame], path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Merge: new rows (stream, minute, value) of several roots into one, by stream. Of a single source it mirrors."""
-    from functools import reduce
+def stream_merge(sources: list[DataFrame], path: str, checkpoint: str, commit_minute: Callable[[], int] | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """New lines (value, stream) of several roots into one, each batch under its commit minute (now, unless given), which grows."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        now = commit_minute() if commit_minute else int(time.time() * 1000)
+        write_minute_partitions(batch, path, F.lit(now - now % MINUTE), batch_id)
 
     rows = reduce(lambda a, b: a.unionByName(b), sources)
-    return rows.writeStream.format("parquet").partitionBy("stream").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(**(trigger or {"availableNow": True})).start()
+    return rows.select("value", "stream").writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def stream_mirror(source: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """New lines of a merged root (value, and path: that of their file) under the stream and minute that they have there."""
+    plain = F.regexp_replace("path", "/(stream|year|month|day|hour|minute)=", "/")
+    rows = source.select("value", F.regexp_extract(plain, r"/([^/]+)/\d{4}/\d{2}/\d{2}/\d{2}/\d{2}/", 1).alias("stream"), path_to_minute(plain).alias("minute"))
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write_minute_partitions(batch.where("minute is not null"), path, F.col("minute"), batch_id)
+
+    return rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def sliding_metric_sum(metrics: DataFrame, seconds: int, slide: int, time: str = "ts") -> DataFrame:
     """Sum of value by service, metric and stream over windows of so many seconds; a stream or a table."""
     w = F.window(time, f"{seconds} seconds", f"{slide} seconds")
     return metrics.groupBy("service", "metric", "stream", w.alias("w")).agg(F.sum("value").alias("total")).select("service", "metric", "stream", F.col("w.start").alias("start"), "total")
-
-
-__all__ = ["read_tuples", "sliding_metric_sum", "stream_copy", "stream_feed", "stream_local_ingest", "stream_window_counts"]

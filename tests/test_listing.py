@@ -81,3 +81,37 @@ def test_names(spark):
     row = spark.createDataFrame([("r/s/2024/01/02/03/04/f", "s-2024-01-02-03-04_7")], "path string, name string")
     at = row.select(m.path_to_minute(F.col("path")), m.file_name_time(F.col("name")), m.path_to_minute(F.lit("x")), m.file_name_time(F.lit("x")), m.path_to_stream(F.col("path"), "r")).first()
     assert at[0] == at[1] == 1_704_164_640_000 and at[2] is None and at[3] == -1 and at[4] == "s"
+
+
+def test_empty_minutes_are_listed(spark, tmp_path):
+    """Minutes 00, 01 (empty) and 03 of a stream, in folders named plainly and by partition."""
+    from hoptally.sources.files import read_listing
+
+    for folder in ("s/2024/01/02/03/00", "s/2024/01/02/03/01", "s/2024/01/02/03/03", "s/2024/01/05/00/00", "stream=t/year=2024/month=01/day=02/hour=03/minute=00"):
+        (tmp_path / folder).mkdir(parents=True)
+    for at in ("s/2024/01/02/03/00/a", "s/2024/01/02/03/03/b", "s/2024/01/05/00/00/c"):
+        (tmp_path / at).write_text("x")
+    day = 1_704_153_600_000
+    rows = read_listing(spark, str(tmp_path), "c", "r", day, day + m.DAY)
+    base = day + 3 * m.HOUR
+    got = sorted((r["stream"], (r["minute"] - base) // MIN, r["name"], r["is_dir"], r["length"]) for r in rows.collect())
+    assert got == [("s", 0, "a", False, 1), ("s", 1, "01", True, 0), ("s", 3, "b", False, 1), ("t", 0, "minute=00", True, 0)]
+    assert [(r["minute"] - base) // MIN for r in listing.minute_holes(rows).collect()] == [2]
+    assert read_listing(spark, str(tmp_path), "c", "r").count() == 5
+    assert read_listing(spark, str(tmp_path), "c", "r", 0, m.DAY).count() == 0
+
+
+def test_childless_folders(spark):
+    rows = [("r/s/2024", True), ("r/s/2024/01", True), ("r/s/2024/01/02", True), ("r/s/2024/01/03", True), ("r/s/2024/01/03/04", True), ("r/s/2023", True), ("r/s", True), ("r/s/2024/02", True), ("r/s/2024/01/03/05", True)]
+    entries = spark.createDataFrame([("r", p, d) for p, d in rows], "root string, path string, is_dir boolean")
+    assert sorted(tuple(r) for r in movement.childless_folders(entries).collect()) == [("r/s/2023", "year"), ("r/s/2024/01/02", "day"), ("r/s/2024/02", "month")]
+
+
+def test_rollup_days(spark):
+    from hoptally.operators import rollup
+
+    rolled = spark.createDataFrame([(12 * m.DAY,)], "day long")
+    days = lambda **k: sorted(r["day"] // m.DAY for r in rollup.rollup_day_range(rolled, 10 * m.DAY, 20 * m.DAY + 5, 2, **k).collect())
+    assert days() == [10, 11, 13, 14, 15, 16, 17] and days(daily_till_days=5) == [15, 16, 17] and days(days=3) == [10, 11] and days(days=99) == days()
+    with pytest.raises(ValueError):
+        rollup.rollup_day_range(rolled, 18 * m.DAY, 20 * m.DAY, 2, days=1)

@@ -14,3 +14,31 @@ def test_feed_counts_nothing_twice(spark, tmp_path):
     # all batches again, as after a failure before their commit
     stream_feed(source(), f"{tmp_path}/table", f"{tmp_path}/c2").awaitTermination()
     assert sorted(map(tuple, read_tuples(spark, f"{tmp_path}/table").collect())) == want
+
+
+def test_feed_after_failures(spark, tmp_path, monkeypatch):
+    """A failure while days are replaced, and one before they are: the batch runs again, and nothing counts twice."""
+    from hoptally.streaming import feed
+
+    packets = views.packets(spark, "/root/testdata/sf0.001")
+    packets.repartition(4).write.parquet(f"{tmp_path}/in")
+    source = lambda: spark.readStream.schema(packets.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    calls = []
+
+    def failing(tuples, path, write=feed.write_tuples):
+        calls.append(path)
+        if len(calls) == 2:
+            raise OSError("before")
+        write(tuples, path)
+        if len(calls) == 4:
+            raise OSError("after")
+
+    monkeypatch.setattr(feed, "write_tuples", failing)
+    for _ in range(3):
+        try:
+            stream_feed(source(), f"{tmp_path}/table", f"{tmp_path}/c").awaitTermination()
+        except Exception:  # noqa: BLE001, S110
+            pass
+    assert len(calls) >= 6
+    want = sorted(map(tuple, build_tuples(align_messages(packets)).collect()))
+    assert sorted(map(tuple, read_tuples(spark, f"{tmp_path}/table").collect())) == want
