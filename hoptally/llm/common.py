@@ -28,9 +28,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, as the session names it; one of our own only where it is unset."""
+    """The folder that all executors share, as the session names it; where it is unset one of our own in local mode, and a
+    ValueError on a cluster, whose machines wouldn't share it."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="hoptally-")
         spark.sparkContext.setCheckpointDir(found)
     return found

@@ -25,6 +25,26 @@ def labels(spark):
     return spark.read.parquet(f"{SF}/labels.parquet")
 
 
+def test_classifier_by_the_difference_alone(spark):
+    """The normalised difference of the sizes, without the other features, tells the classes apart on held-out rows (of the larger table)."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{x}.parquet") for x in ("documents", "labels"))
+    model = classifier.fit(docs, labels)
+    rows = docs.join(labels, "doc_id").where(F.crc32(F.col("doc_id").cast("string")) % 5 == 0).where("quality is not null").select("text", "quality").collect()
+    x = classifier.features(model, [(r["text"] or "").encode() for r in rows])[:, 0]
+    y = np.array([r["quality"] for r in rows])
+    pairs = (x[y == 1][:, None] > x[y == 0][None, :]).mean() + 0.5 * (x[y == 1][:, None] == x[y == 0][None, :]).mean()
+    assert min((y == 0).sum(), (y == 1).sum()) > 50 and pairs > 0.95
+
+
+def test_classifier_with_odd_labels(spark, docs, labels):
+    """Null labels and ids, repeated rows and rows with both labels change nothing."""
+    odd_labels = spark.createDataFrame([(None, 1, 0), (3, None, None), (10**6, 1, 0)], "doc_id long, quality int, toxic int")
+    both = labels.limit(20).select("doc_id", F.lit(0).cast("int").alias("quality"), "toxic").unionByName(labels.limit(20).select("doc_id", F.lit(1).cast("int").alias("quality"), "toxic"))
+    some = labels.join(both.select("doc_id").distinct(), "doc_id", "left_anti")
+    plain = classifier.fit(docs, some)
+    assert classifier.fit(docs, some.unionByName(some).unionByName(odd_labels).unionByName(both)) == plain
+
+
 ODD = [(None, None), (-1, ""), (-2, " \n\t "), (-2, " \n\t "), (-3, "ÀÉ ß  x " * 20_000), (-4, "z" * 100_000)]
 
 
