@@ -237,7 +237,7 @@ def embedding_near_dedup(vectors: DataFrame, cosine: float = COSINE) -> DataFram
     sums = found.groupBy("id").agg(F.sum("links").alias("links"))
     nodes = one.select("label", "k", "l", "id", "weight", "least").join(sums, "id", "left").join(classes.withColumnRenamed("node", "id"), "id", "left")
     linked = nodes.where("component is not null").select("component", "least")
-    least = linked.groupBy("component").agg(F.min("least").alias("lowest"))
+    least = written(linked.groupBy("component").agg(F.min("least").alias("lowest")))  # the join has a shuffle of its own, which Spark can split
     nodes = nodes.join(least, "component", "left").select(
         "label", "k", "l", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("lowest")).alias("lowest"), F.lit(True).alias("usable")
     )
