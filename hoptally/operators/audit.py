@@ -57,7 +57,8 @@ def build_tuples(aligned: DataFrame) -> DataFrame:
     end = F.col("window") + F.col("window_size") * 1000
     latency = F.col("message_time") - end
     n = F.when(latency >= 0, F.col("received")).otherwise(0)
-    return aligned.withColumn("timeinterval", end).groupBy(*KEY).agg(F.sum("sent").alias("sent"), *bucket_sums(latency_bucket(latency), n))
+    rows = aligned.withColumns({"timeinterval": end, "_edge": latency_bucket(latency), "_n": n})  # once a row, not once a bucket
+    return rows.groupBy(*KEY).agg(F.sum("sent").alias("sent"), *bucket_sums(F.col("_edge"), F.col("_n")))
 
 
 def audit_query(tuples: DataFrame, start: int | None = None, end: int | None = None, filter: str | None = None, group_by: str | None = None, percentiles: str | None = None) -> DataFrame:

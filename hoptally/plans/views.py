@@ -33,8 +33,8 @@ def tuple_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def summed(source: DataFrame) -> DataFrame:
     from hoptally.functions.model import latency_bucket
 
-    edge = latency_bucket(F.col("latency_min") * MINUTE)
-    return source.groupBy(*KEY).agg(F.sum("sent").alias("sent"), *bucket_sums(edge, F.col("n")))
+    rows = source.withColumn("_edge", latency_bucket(F.col("latency_min") * MINUTE))
+    return rows.groupBy(*KEY).agg(F.sum("sent").alias("sent"), *bucket_sums(F.col("_edge"), F.col("n")))
 
 
 def tuples(spark: SparkSession, sf_dir: str) -> DataFrame:
