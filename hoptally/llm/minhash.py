@@ -7,9 +7,10 @@ follow edit similarity. Two texts at SIMILARITY itself seldom agree on two shing
 shingle of least hash, and short texts have some of shorter shingles too. Texts that share a sketch are candidates; a banded alignment of their words decides
 (1 - edit distance / words of the longer >= SIMILARITY). Classes are the connected components of verified links.
 
-Copies of a text count once. Within a sketch's bucket the texts are first compared with the one that meets the most others;
-then all of them that aren't in one class yet are compared with each other, in chunks, so that the classes are those of
-all pairs that share a sketch. Pairs whose lengths or bags of words rule out that they are near are not aligned.
+Copies of a text count once. Within a sketch's bucket the texts are first compared with the one that may be near the most
+others; then all of them that aren't in one class yet are compared with each other, in chunks, so that the classes are those
+of all pairs that share a sketch. Pairs are aligned only if their lengths and outlines (bags of words, of long texts
+signatures) let them be near; outlines are compared where the texts of a bucket meet, and no other pair leaves that place.
 """
 
 from __future__ import annotations
@@ -31,8 +32,11 @@ SKETCHES = 24
 SINGLES = 40
 #: Texts of so many words at most also have sketches of one shingle of fewer words: a few edits leave none of SHINGLE words.
 SHORT, SHORT_SHINGLE, SHORT_SINGLES = 40, 2, 16
-#: Cells of a text's bag of words, and members of a bucket that are compared in a task.
-BAG, CHUNK = 256, 1024
+#: Cells of a text's bag of words and bytes of its signature, members of a bucket that meet at once, pairs of them that are looked at at once, and bits by which
+#: texts are picked.
+BAG, CHUNK, PAIRS, BITS = 256, 1024, 400_000, 1 << 22
+#: Words from which on a text has a signature instead of a bag, and the share of its bytes that have to agree (0.43 is expected at SIMILARITY).
+LONG, AGREE = 400, 0.26
 
 _ODD = mixed(np.arange(1, max(SKETCHES, SINGLES, SHORT_SINGLES) + 1, dtype=np.uint64)) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -186,7 +190,7 @@ def _sketched(keyed: DataFrame) -> DataFrame:
             keys, has, counts = keys_of(texts)
             held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], has.sum(1).cumsum()]).astype(np.int32)), pa.array(keys[has].astype(np.int64)))
             none = pa.nulls(len(one), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(ids[one]), none, pa.array(h[one]), pa.array(g[one]), pa.array(counts.astype(np.int64)), pa.array(bags(texts), pa.binary()), held], _SKETCHED)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[one]), none, pa.array(h[one]), pa.array(g[one]), pa.array(counts.astype(np.int64)), outlines(texts, counts), held], _SKETCHED)
             none = [pa.nulls(len(copies[0]), t) for t in (*[pa.int64()] * 3, pa.binary(), pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*copies, *none], _SKETCHED)
 
@@ -209,23 +213,112 @@ def bags(texts: pa.Array) -> list[bytes]:
     return [x.tobytes() for x in np.minimum(got, 255).astype(np.uint8)]
 
 
-def _could_be(pairs: DataFrame, bag: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose bags don't rule out that they are near copies."""
+def signatures(texts: pa.Array) -> list[bytes]:
+    """Of each text the least hash of its occurrence-labelled pairs of words in each of BAG parts of the hashes, a byte each (255: none).
+
+    An edit takes two pairs away and adds two at most, so texts at SIMILARITY share three sevenths of all their pairs at least, and
+    about as many bytes; texts that have nothing but a language in common share few."""
+    labelled, at, _ = shingles(texts, 2)
+    text = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    out = np.full(len(texts) * BAG, 2**64 - 1, np.uint64)
+    np.minimum.at(out, text * BAG + (labelled % np.uint64(BAG)).astype(np.int64), labelled >> np.uint64(8))
+    byte = np.where(out == np.uint64(2**64 - 1), np.uint64(255), out % np.uint64(255)).astype(np.uint8)
+    return [x.tobytes() for x in byte.reshape(len(texts), BAG)]
+
+
+def outlines(texts: pa.Array, n: np.ndarray) -> pa.Array:
+    """bags of texts of fewer than LONG words, whose cells would be all alike for longer ones, and signatures of the others."""
+    long = n >= LONG
+    out = np.empty(len(texts), object)
+    for some, made in ((~long, bags), (long, signatures)):
+        out[some] = made(texts.filter(pa.array(some)))
+    return pa.array(out.tolist(), pa.binary())
+
+
+def could_be(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Which pairs of outlines x, y of texts of n and m words may be those of near copies. Bags never rule out such a pair; signatures
+    do in one of a hundred thousand at SIMILARITY itself, if each edit stands alone. A bag and a signature rule out nothing."""
+    most = np.floor((1 - SIMILARITY) * np.maximum(n, m) + 1e-9)
+    fits = (n >= LONG) != (m >= LONG)
+    long, short = np.flatnonzero((n >= LONG) & (m >= LONG)), np.flatnonzero((n < LONG) & (m < LONG))
+    fits[short] = np.abs(x[short].astype(np.int16) - y[short]).sum(1) <= 2 * most[short]
+    some = (x[long] != 255) | (y[long] != 255)
+    fits[long] = ((x[long] == y[long]) & some).sum(1) >= AGREE * some.sum(1)
+    return fits
+
+
+def _among(members: DataFrame, parts: int, star: bool) -> DataFrame:
+    """Pairs (a, b) of bucket members (key, id, n, class, size, bag) of different classes that may be near copies by their lengths and outlines;
+    star: of each group only those of the member that has most.
+
+    Members are dealt to chunks, and the chunks of a bucket meet in pairs, each in one place, that only what may be near leaves."""
+    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
+    dealt = members.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.hash("id"), "chunks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = dealt.select("key", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "id", "n", "class", "bag")
+    dealt = dealt.repartition(parts, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+
+    def near(held: pa.Table) -> pa.RecordBatch:
+        key, lo, hi, chunk, ids, n, cls = (held.column(c).to_numpy() for c in ("key", "lo", "hi", "chunk", "id", "n", "class"))
+        bag = np.frombuffer(b"".join(held.column("bag").to_pylist()), np.uint8).reshape(-1, BAG)
+        new = np.ones(len(ids), bool)
+        new[1:] = (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
+        group = np.cumsum(new) - 1
+        after = np.append(np.flatnonzero(new)[1:], len(ids))[group] - np.arange(len(ids)) - 1  # of each row, the rows of its group that follow
+        upto, at, out = np.cumsum(after), 0, [np.zeros((2, 0), np.int64)]
+        while at < len(ids):
+            stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, "right")))
+            i = np.repeat(np.arange(at, stop), after[at:stop])
+            j = np.arange(len(i)) - np.repeat(np.cumsum(after[at:stop]) - after[at:stop], after[at:stop]) + i + 1
+            keep = (cls[i] != cls[j]) & ((lo[i] == hi[i]) | (chunk[i] != chunk[j])) & (np.minimum(n[i], n[j]) >= SIMILARITY * np.maximum(n[i], n[j]) - 1e-9)
+            i, j = i[keep], j[keep]
+            for k in range(0, len(i), 65_536):
+                x, y = i[k : k + 65_536], j[k : k + 65_536]
+                fits = could_be(bag[x], bag[y], n[x], n[y])
+                out.append(np.stack([x[fits], y[fits]]))
+            at = stop
+        i, j = np.concatenate(out, axis=1)
+        if star:
+            degree = np.bincount(i, minlength=len(ids)) + np.bincount(j, minlength=len(ids))
+            order = np.lexsort((-ids, degree, group))  # of each group the last: most pairs, then the least id
+            best = order[np.append(np.flatnonzero(np.diff(group[order])), len(order) - 1)][group] if len(order) else order
+            keep = (i == best[i]) | (j == best[i])
+            i, j = i[keep], j[keep]
+        pairs = np.unique(np.stack([np.maximum(ids[i], ids[j]), np.minimum(ids[i], ids[j])]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BAG).astype(np.int16) for c in ("x", "y"))
-            longest = np.maximum(*(batch.column(c).to_numpy(zero_copy_only=False) for c in ("n", "m")))
-            most = np.floor((1 - SIMILARITY) * longest + 1e-9)
-            yield batch.select(["a", "b"]).filter(pa.array(np.abs(x - y).sum(1) <= 2 * most))
-
-    both = pairs.join(bag.select(F.col("id").alias("a"), F.col("bag").alias("x"), "n"), "a")
-    both = both.join(bag.select(F.col("id").alias("b"), F.col("bag").alias("y"), F.col("n").alias("m")), "b")
-    return map_arrow(both.select("a", "b", "x", "y", "n", "m"), run, "a long, b long").distinct()
+            held.append(batch)
+            rows += batch.num_rows
+            if rows < 4 * CHUNK:
+                continue
+            table = pa.Table.from_batches(held).combine_chunks()
+            last = [table.column(c)[-1].as_py() for c in ("key", "lo", "hi")]
+            same = np.logical_and.reduce([table.column(c).to_numpy() == x for c, x in zip(("key", "lo", "hi"), last, strict=True)])
+            cut = int(np.argmax(same))  # the last group may go on
+            if cut:
+                yield near(table.slice(0, cut))
+            held = table.slice(cut).to_batches()
+            rows = table.num_rows - cut
+        if held:
+            yield near(pa.Table.from_batches(held).combine_chunks())
+
+    return map_arrow(dealt, run, "a long, b long").distinct()
+
+
+def _needed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The texts but for most of those whose _id no pair (a, b) has, so that few are moved: by BITS bits, which are broadcast (BITS / 64 rows at most)."""
+    place = lambda x: F.pmod(F.xxhash64(x), F.lit(BITS))
+    one = F.lit(1).cast("long")
+    bits = pairs.select(F.explode(F.array("a", "b")).alias("x")).select(place("x").alias("p"))
+    bits = bits.groupBy(F.expr("p div 64").alias("_word")).agg(F.bit_or(F.call_function("shiftleft", one, (F.col("p") % 64).cast("int"))).alias("_bits"))
+    found = texts.withColumn("_p", place("_id")).withColumn("_word", F.expr("_p div 64")).join(F.broadcast(bits), "_word")
+    return found.where(F.col("_bits").bitwiseAND(F.call_function("shiftleft", one, (F.col("_p") % 64).cast("int"))) != 0).drop("_p", "_word", "_bits")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) that an alignment of their texts (_id, text) finds alike."""
+    """The pairs (a, b), as written, that an alignment of their texts (_id, text) finds alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,13 +326,14 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             keep = [alike(x[i].as_py(), y[i].as_py()) for i in range(batch.num_rows)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    texts = _needed(texts, pairs)
     doubt = pairs.join(texts.select(F.col("_id").alias("a"), F.col("text").alias("x")), "a")
     doubt = doubt.join(texts.select(F.col("_id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
     return written(map_arrow(doubt, run, "a long, b long"))
 
 
 def links(docs: DataFrame) -> DataFrame:
-    """Links a > b between documents (as _id), with the classes of all candidates that are near copies as their components."""
+    """Pairs a > b of documents (as _id) of one class, with the classes of all candidates that are near copies as their components."""
     keyed = _keyed(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
     texts = keyed.select("_id", "_h", "text")
     if keyed.groupBy("_id").count().where("count > 1").limit(1).count():  # else no id stands twice, and this would move all texts for nothing
@@ -250,29 +344,22 @@ def links(docs: DataFrame) -> DataFrame:
     exact = found.where("of is not null").select("id", "of").unionByName(lead.select("id", F.col("lead").alias("of")))
     exact = exact.where("id <> of").select(F.greatest("id", "of").alias("a"), F.least("id", "of").alias("b")).distinct()
     alone = lead.where("id = lead")
-    bag = alone.select("id", "n", "bag")
+    bag = alone.select("id", "bag")
     # sums by bucket are written before they are joined: a bucket may hold any share of the texts, and a join that doesn't follow
     # from its own sum's shuffle is one whose large buckets Spark can split
     rows = alone.where("n > 0").select("id", "n", F.explode("keys").alias("key"))
     rows = written(rows.join(written(rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")), "key"))
-    # a text that many buckets have many others of is the likeliest to be near them all
-    degree = rows.groupBy("id").agg(F.sum("size").alias("degree"))
-    head = written(rows.join(degree, "id").groupBy("key").agg(F.max_by(F.struct("id", "n"), F.struct("degree", "id")).alias("head")))
-    close = lambda x, y: F.least(x, y) >= SIMILARITY * F.greatest(x, y) - 1e-9
-    first = rows.join(head, "key").where((F.col("id") != F.col("head.id")) & close(F.col("n"), F.col("head.n")))
-    first = written(_could_be(first.select(F.greatest("id", "head.id").alias("a"), F.least("id", "head.id").alias("b")).distinct(), bag))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # at first each text only meets the one of its bucket that may be near the most others
+    first = written(_among(rows.withColumn("class", F.col("id")).join(bag, "id"), parts, True))
     near = _verified(first, texts)
-    # whatever shares a bucket and isn't in one class yet is compared too: members of a bucket are dealt to chunks, and chunks meet in pairs
-    of = components(near.unionByName(exact), docs.sparkSession)
-    rows = rows.join(of.withColumnRenamed("node", "id"), "id", "left").withColumn("class", F.coalesce("component", "id"))
+    # whatever shares a bucket and isn't in one class yet is compared too, so that the classes are those of all pairs that share a sketch
+    of = written(components(near.unionByName(exact), docs.sparkSession))
+    rows = rows.join(of.withColumnRenamed("node", "id"), "id", "left").withColumn("class", F.coalesce("component", "id")).drop("component")
     open_ = written(rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key"))
-    rows = written(rows.join(open_, "key").withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int")).withColumn("chunk", F.pmod(F.hash("id"), "chunks")))
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    left = rows.select("key", F.col("id").alias("a"), F.col("n").alias("n"), F.col("class").alias("c"), F.col("chunk").alias("i"), other.alias("j"))
-    right = rows.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("class").alias("d"), F.col("chunk").alias("j"), other.alias("i"))
-    rest = left.join(right, ["key", "i", "j"]).where("a > b and c <> d").where(close(F.col("n"), F.col("m"))).select("a", "b").distinct()
-    rest = _could_be(rest.join(first, ["a", "b"], "left_anti"), bag)
-    return exact.unionByName(near).unionByName(_verified(rest, texts))
+    rest = written(_among(rows.join(open_, "key").join(bag, "id"), parts, False).join(first, ["a", "b"], "left_anti"))
+    star = of.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))  # all links so far, in as few
+    return star.unionByName(_verified(rest, texts))
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:

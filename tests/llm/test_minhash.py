@@ -178,3 +178,23 @@ def test_recall_on_the_given_documents(spark):
     assert sum(len(x) > 1 for x in whole) > 30
     found = classes(r for r in near_dedup(docs).collect())
     assert len(whole - found) <= 0.01 * len(whole)
+
+
+def test_signatures_of_long_texts():
+    """Pairs at the bound pass; texts that only have their commonest words in common don't."""
+    rng = random.Random(10)
+    common = [f"c{k}" for k in range(60)]
+    prose = lambda n: [rng.choice(common) if rng.random() < 0.5 else f"w{rng.randint(0, 5000)}" for _ in range(n)]
+    near, far = [], []
+    for n in (450, 1000, 4000):
+        for _ in range(20):
+            base = prose(n)
+            other = list(base)
+            for at in rng.sample(range(n), n // 5):
+                other[at] = f"x{rng.randint(0, 9**9)}"
+            near.append((" ".join(base), " ".join(other)))
+            far.append((" ".join(base), " ".join(prose(n))))
+    for pairs, want in ((near, True), (far, False)):
+        n = np.array([len(x.split()) for x, _ in pairs])
+        x, y = (np.stack([np.frombuffer(v, np.uint8) for v in minhash.outlines(pa.array(side), n).to_pylist()]) for side in zip(*pairs, strict=True))
+        assert (minhash.could_be(x, y, n, n) == want).all()
