@@ -14,6 +14,7 @@ from hoptally.llm.lm import op2_lm_scoring
 from hoptally.llm.minhash import op4_minhash_near_dedup
 from hoptally.llm.mixing import op10_mixing
 from hoptally.llm.packing import op5_packing
+from hoptally.llm.pii import op13_pii
 from hoptally.llm.quality import OP7_SQL, op7_quality_rules
 from hoptally.llm.substring import op1_substring_dedup
 from hoptally.llm.warc import OP6_SQL, op6_warc_revisits
@@ -31,6 +32,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_mixing": op10_mixing,
+        "op13_pii": op13_pii,
         "pipeline": corpus_pipeline.run,
     }
 
