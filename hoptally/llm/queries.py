@@ -13,6 +13,7 @@ from hoptally.llm.html import op3_html_extraction
 from hoptally.llm.lm import op2_lm_scoring
 from hoptally.llm.minhash import op4_minhash_near_dedup
 from hoptally.llm.mixing import op10_mixing
+from hoptally.llm.negatives import OP11_SQL, op11_hard_negatives
 from hoptally.llm.packing import op5_packing
 from hoptally.llm.pii import op13_pii
 from hoptally.llm.quality import OP7_SQL, op7_quality_rules
@@ -32,10 +33,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_mixing": op10_mixing,
+        "op11_hard_negatives": op11_hard_negatives,
         "op13_pii": op13_pii,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc_revisits": OP6_SQL, "op7_quality_rules": OP7_SQL, "op8_embedding_near_dedup": OP8_SQL}
+    return {"op6_warc_revisits": OP6_SQL, "op7_quality_rules": OP7_SQL, "op8_embedding_near_dedup": OP8_SQL, "op11_hard_negatives": OP11_SQL}
