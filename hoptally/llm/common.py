@@ -39,11 +39,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The same rows read back from Parquet in the shared folder: lineage ends here and lost executors cost nothing."""
+def written(df: DataFrame, row_group: int | None = None) -> DataFrame:
+    """The same rows read back from Parquet in the shared folder: lineage ends here and lost executors cost nothing.
+
+    row_group: bytes that are read at once, for rows that are large."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/hoptally-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("parquet.block.size", row_group) if row_group else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

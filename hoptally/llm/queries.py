@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from hoptally.llm.classifier import op9_quality_classifier
+from hoptally.llm.codes import OP12_SQL, op12_vector_codes
 from hoptally.llm.embedding import OP8_SQL, op8_embedding_near_dedup
 from hoptally.llm.html import op3_html_extraction
 from hoptally.llm.lm import op2_lm_scoring
@@ -34,10 +35,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_classifier": op9_quality_classifier,
         "op10_mixing": op10_mixing,
         "op11_hard_negatives": op11_hard_negatives,
+        "op12_vector_codes": op12_vector_codes,
         "op13_pii": op13_pii,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc_revisits": OP6_SQL, "op7_quality_rules": OP7_SQL, "op8_embedding_near_dedup": OP8_SQL, "op11_hard_negatives": OP11_SQL}
+    return {"op6_warc_revisits": OP6_SQL, "op7_quality_rules": OP7_SQL, "op8_embedding_near_dedup": OP8_SQL, "op11_hard_negatives": OP11_SQL, "op12_vector_codes": OP12_SQL}
