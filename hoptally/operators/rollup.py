@@ -115,8 +115,17 @@ def rollup_status(rolled: DataFrame, first: int, last: int) -> DataFrame:
 
 
 def rollup_swap(tuples: DataFrame, days: DataFrame, length: int = HOUR) -> DataFrame:
-    """The tuples with those of the given days replaced by their rolled rows. Doing it twice changes nothing."""
+    """The tuples with those of the given days replaced by their rolled rows; the rows of other days are neither shuffled nor summed.
+    Doing it twice changes nothing. sources.facts.roll does this to a table."""
+    rows = tuples.select(*KEY, *MEASURES).withColumn("day", F.col("timeinterval") - F.col("timeinterval") % DAY)
+    bucket = F.col("timeinterval") - F.col("timeinterval") % length
+    rolled = rows.join(days.select("day"), "day", "left_semi").withColumn("timeinterval", bucket).groupBy(*KEY).agg(*_sums())
+    return rows.join(days.select("day"), "day", "left_anti").drop("day").unionByName(rolled)
+
+
+def rollup_source(minutes: DataFrame, hours: DataFrame, days: DataFrame) -> DataFrame:
+    """What a daily rollup of the given days reads: the hour rows of days that have some, the minute rows of all others."""
     day = F.col("timeinterval") - F.col("timeinterval") % DAY
-    marked = tuples.withColumn("day", day).join(days.select("day", F.lit(True).alias("_roll")), "day", "left")
-    time = F.when(F.col("_roll"), F.col("timeinterval") - F.col("timeinterval") % length).otherwise(F.col("timeinterval"))
-    return marked.withColumn("timeinterval", time).groupBy(*KEY).agg(*_sums())
+    coarse = hours.withColumn("day", day).join(days.select("day"), "day", "left_semi")
+    fine = minutes.withColumn("day", day).join(days.select("day"), "day", "left_semi").join(data_days(hours), "day", "left_anti")
+    return coarse.drop("day").unionByName(fine.drop("day"))

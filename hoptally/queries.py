@@ -11,7 +11,7 @@ from hoptally.functions import model as m
 from hoptally.operators import audit, listing, movement, rollup, topology
 from hoptally.plans import sql as s
 from hoptally.plans import views as v
-from hoptally.sources import files
+from hoptally.sources import facts, files
 from hoptally.streaming import feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -839,24 +839,90 @@ def _(spark, d):
     return rows.select("name", "cluster", "tier", "all_received", "p99", "t.topic", "t.received", "t.sent")
 
 
+def _packet_stream(spark, d, path, where="true", files_=4, at_once=4):
+    """Packets that pass, as a stream of some files."""
+    packets = v.packets(spark, d).where(where)
+    packets.repartition(files_).write.parquet(path)
+    return spark.readStream.schema(packets.schema).option("maxFilesPerTrigger", at_once).parquet(path)
+
+
 @_query("stream_feed", _with(_BUILT, f"SELECT * FROM bt WHERE timeinterval >= {START}"))
 def _(spark, d):
     base = files.scratch(spark)
-    v.packets(spark, d).write.parquet(f"{base}/packets")
-    source = spark.readStream.schema(spark.read.parquet(f"{base}/packets").schema).option("maxFilesPerTrigger", 4).parquet(f"{base}/packets")
-    feed.stream_feed(source, f"{base}/table", f"{base}/checkpoint", START).awaitTermination()
-    return files.read_tuples(spark, f"{base}/table")
+    feed.stream_feed(_packet_stream(spark, d, f"{base}/packets"), f"{base}/table", f"{base}/checkpoint", START).awaitTermination()
+    return facts.snapshot(spark, f"{base}/table")
 
 
-@_query("stream_late_data", _with(_BUILT, f"SELECT count(*) n, sum(sent)::BIGINT sent, sum({s.RECEIVED})::BIGINT received FROM bt WHERE timeinterval < {MID}"))
+@_query("stream_feed_clusters", _with(_BUILT, "SELECT * FROM bt"))
 def _(spark, d):
+    """A feed for each cluster, in turns, into one table."""
     base = files.scratch(spark)
-    v.packets(spark, d).coalesce(1).write.parquet(f"{base}/packets")  # one batch: a key that two batches hold late counts in each
-    source = spark.readStream.schema(spark.read.parquet(f"{base}/packets").schema).parquet(f"{base}/packets")
-    feed.stream_feed(source, f"{base}/table", f"{base}/checkpoint", MID).awaitTermination()
+    for part in (0, 1):
+        for k in (0, 1):
+            source = _packet_stream(spark, d, f"{base}/packets{k}/{part}", f"cluster = 'cluster{k}' and event_id % 2 = {part}", 2, 1)
+            whole = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{base}/packets{k}")
+            feed.stream_feed(whole, f"{base}/table", f"{base}/checkpoint{k}", parts=3).awaitTermination()
+    return facts.snapshot(spark, f"{base}/table")
+
+
+@_query("stream_late_data", _with(_BUILT, f"SELECT count(*) n, sum(sent)::BIGINT sent, sum({s.RECEIVED})::BIGINT received FROM bt WHERE timeinterval < {MID}"))
+def _(spark, d):
+    base = files.scratch(spark)  # one batch: a key that two batches hold late counts in each
+    feed.stream_feed(_packet_stream(spark, d, f"{base}/packets"), f"{base}/table", f"{base}/checkpoint", MID).awaitTermination()
     return feed.late_tuples(spark, f"{base}/table")
 
 
+def _rolled_between(spark, d):
+    """Packets of even events are fed, the days up to MID are rolled up to hours, and then those of odd events come."""
+    base = files.scratch(spark)
+    for part in (0, 1):
+        _packet_stream(spark, d, f"{base}/packets/{part}", f"event_id % 2 = {part}")
+        whole = spark.readStream.schema(v.packets(spark, d).schema).option("recursiveFileLookup", True).parquet(f"{base}/packets")
+        feed.stream_feed(whole, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+        if not part:
+            facts.roll(spark, f"{base}/table", list(range(START, MID, m.DAY)))
+    return f"{base}/table"
+
+
+_HALVES = f"""{_BUILT}, halves AS (SELECT event_id % 2 half, {s.KEYS}, sum(sent)::BIGINT sent, {", ".join(f"sum(CASE WHEN b = {e} AND lat >= 0 THEN received ELSE 0 END)::BIGINT c{e}" for e in m.EDGES)}
+  FROM (SELECT *, CASE WHEN lat < 0 OR lat >= 36000000 THEN 600 {" ".join(f"WHEN lat >= {e} * 60000 THEN {e}" for e in reversed(m.EDGES[:-1]))} END b FROM lat) GROUP BY ALL)"""
+
+
+@_query("stream_late_moving", _with(_HALVES, f"SELECT count(*) n, sum(sent)::BIGINT sent, sum({s.RECEIVED})::BIGINT received FROM halves WHERE half = 1 AND timeinterval < {MID}"))
+def _(spark, d):
+    """What comes after its day was rolled up is too late for a feed that is running."""
+    return feed.late_tuples(spark, _rolled_between(spark, d))
+
+
+@_query("rollup_swap_table", _with(_HALVES, f"""SELECT CASE WHEN timeinterval >= {START} AND timeinterval < {MID} THEN timeinterval - timeinterval % 3600000 ELSE timeinterval END AS timeinterval, hostname, tier, topic, cluster, {s.SUM_MEASURES}
+FROM halves WHERE half = 0 OR timeinterval >= {MID} GROUP BY 1, 2, 3, 4, 5"""))
+def _(spark, d):
+    """Days of a table swapped for their hours, while a feed goes on."""
+    return facts.snapshot(spark, _rolled_between(spark, d))
+
+
+@_query("rollup_daily_mixed", _with(s.TUPLES, f"""SELECT CASE WHEN timeinterval < {START + 20 * m.DAY} THEN timeinterval - timeinterval % 86400000 WHEN timeinterval < {START + 25 * m.DAY} THEN timeinterval - timeinterval % 3600000 ELSE timeinterval END AS timeinterval, hostname, tier, topic, cluster, {s.SUM_MEASURES}
+FROM t GROUP BY 1, 2, 3, 4, 5"""))
+def _(spark, d):
+    """A table of days, hours and minutes: some days are rolled up to hours, and of these and finer ones some to days, each once."""
+    table = files.scratch(spark)
+    facts.append(v.tuples(spark, d), table, "all", 0)
+    facts.roll(spark, table, [START + k * m.DAY for k in range(0, 25) if k % 3 or k >= 20])
+    facts.roll(spark, table, [START + k * m.DAY for k in range(0, 20)], m.DAY)
+    facts.roll(spark, table, [START + k * m.DAY for k in range(0, 20)])  # these are refused
+    return facts.snapshot(spark, table)
+
+
+@_query("rollup_day_source", _with(f"{_DAYS}, {s.TUPLES.removeprefix(s.EVENTS + ', ')}", f"""SELECT ti AS timeinterval, hostname, tier, topic, cluster, {s.SUM_MEASURES} FROM (SELECT *, CASE WHEN timeinterval - timeinterval % 86400000 IN (SELECT day FROM ro)
+THEN timeinterval - timeinterval % 3600000 ELSE timeinterval END ti FROM t WHERE timeinterval < {START + 14 * m.DAY}) GROUP BY ti, hostname, tier, topic, cluster"""))
+def _(spark, d):
+    """The hours of rolled days and the minutes of others, as the daily rollup reads them."""
+    tuples, (days, rolled) = v.tuples(spark, d), _days(spark, d)
+    in_hours = tuples.withColumn("day", F.col("timeinterval") - F.col("timeinterval") % m.DAY).join(rolled, "day", "left_semi").drop("day")
+    hours = rollup.rollup_interval(in_hours, START - START % m.DAY, END)
+    return rollup.rollup_source(tuples, hours, days.where(F.col("day") < START + 14 * m.DAY))
+
+
 @_query("stream_window_counts", _with(s.EVENTS, 'SELECT topic AS stream, hostname AS file, ms - ms % 60000 AS win, count(*) n FROM e GROUP BY 1, 2, 3'))
 def _(spark, d):
     base = files.scratch(spark)

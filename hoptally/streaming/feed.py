@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import time
+import uuid
+from collections import Counter
 from collections.abc import Callable
 from functools import reduce
 
@@ -11,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hoptally.functions.model import MINUTE, path_to_minute, received
-from hoptally.operators.audit import align_messages, build_tuples, late_tuple_split, upsert_counters, window_counts
-from hoptally.sources.files import settled, write_minute_partitions, write_tuples
+from hoptally.operators.audit import align_messages, build_tuples, window_counts
+from hoptally.sources import facts
+from hoptally.sources.files import write_minute_partitions
 
 
 def _path(spark: SparkSession, path: str) -> tuple:
@@ -35,40 +38,34 @@ def _make(spark: SparkSession, path: str) -> None:
     system.mkdirs(at)
 
 
-def stream_feed(packets: DataFrame, table: str, checkpoint: str, boundary: int = 0, trigger: dict | None = None) -> StreamingQuery:
-    """Packets into the fact table at `table`: align, build, split off what is earlier than the boundary, add by key.
+def _own_name(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the feed that a checkpoint belongs to: made with it, and gone with it."""
+    folder = facts.Folder(spark, checkpoint)
+    folder.create("feed", uuid.uuid4().hex)
+    return folder.read("feed")
 
-    A batch reads and replaces the days that it touches, no others. Each stored row says up to which batch its day is summed
-    (upto), and a day that has this batch already is left alone; the new days are written aside first, so that a batch
-    which failed while days were replaced only replaces them again. Nothing counts twice, and nothing of old batches is read.
-    Late tuples aren't added: late_tuples gives how many there were."""
-    staged = f"{table}_staged"
+
+def stream_feed(packets: DataFrame, table: str, checkpoint: str, boundary: int = 0, trigger: dict | None = None, parts: int = facts.PARTS) -> StreamingQuery:
+    """Packets into the fact table at `table` (sources.facts): align, build, and add as a delta what isn't too late.
+
+    A batch writes its own tuples and a version of the manifest, whatever the table holds; a batch that runs again counts once, as the
+    manifest names the last one of each feed. A feed is a checkpoint: several of them fill one table, and one that starts anew
+    with a new checkpoint counts all that it is given. Too late is what lies before the boundary, the caller's or the table's own, which
+    moves with each rollup. Days that have over `parts` parts are summed into one."""
+    spark = packets.sparkSession
+    feed = _own_name(spark, checkpoint)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        stage = f"{staged}/batch={batch_id}"
-        if not _exists(spark, f"{stage}/_SUCCESS"):
-            kept, late = late_tuple_split(settled(build_tuples(align_messages(batch))), boundary)
-            late.agg(F.count("*").alias("n"), F.sum("sent").alias("sent"), F.sum(received()).alias("received")).write.mode("overwrite").parquet(f"{table}_late/batch={batch_id}")
-            day = F.to_date(F.timestamp_millis("timeinterval"))
-            days = [r["day"] for r in kept.select(day.alias("day")).distinct().collect()]  # the days of a batch
-            if not days:
-                return
-            if _exists(spark, table):
-                stored = spark.read.parquet(table).where(F.col("day").isin(days))
-                done = [r["day"] for r in stored.groupBy("day").agg(F.max("upto").alias("upto")).where(F.col("upto") >= batch_id).select("day").collect()]
-                kept, stored = (x.where(~at.isin(done)) if done else x for x, at in ((kept, day), (stored, F.col("day"))))
-                kept = upsert_counters(stored, kept)
-            kept.withColumn("upto", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(stage)
-        write_tuples(spark.read.parquet(stage), table)
-        _delete(spark, stage)
+        held = facts.append(build_tuples(align_messages(batch)), table, feed, batch_id, boundary)
+        if any(n > parts for n in Counter(p.day for p in held.parts).values()):
+            facts.compact(batch.sparkSession, table, parts)
 
     return packets.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def late_tuples(spark: SparkSession, table: str) -> DataFrame:
-    """n, sent and received of the tuples that stream_feed found too late, over all batches."""
-    return spark.read.parquet(f"{table}_late").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "sent", "received")))
+    """n, sent and received of the tuples that stream_feed found too late, over all feeds and batches."""
+    return facts.late_tuples(spark, table).agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "sent", "received")))
 
 
 def stream_window_counts(lines: DataFrame, time: str = "publish_time", delay: str = "10 minutes") -> DataFrame:
