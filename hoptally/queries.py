@@ -791,11 +791,10 @@ def _emptied(spark, d):
     path = files.scratch(spark)
     lines = v.events(spark, d).select(F.col("event_id").cast("string").alias("value"), F.col("topic").alias("stream"), (F.col("ms") - F.col("ms") % m.DAY).alias("at"))
     files.write_minute_partitions(lines, path, F.col("at"))
-    for folder, _ in files._minute_folders(spark, path, None, None):
-        minute = int(folder.split("day=")[1][:2])
-        if minute % 5 == 0:
-            feed._delete(spark, folder)
-            feed._make(spark, folder)
+    folders = files.read_listing(spark, path, "c", "r").select(F.regexp_extract("path", "^(.*/minute=[^/]+)", 1).alias("at")).distinct()
+    for row in folders.where(F.regexp_extract("at", "/day=([0-9]+)/", 1).cast("int") % 5 == 0).collect():
+        facts.Folder(spark, row["at"]).delete()
+        facts.Folder(spark, row["at"]).make()
     return path
 
 
@@ -959,28 +958,75 @@ def _(spark, d):
     return counted.groupBy("stream", "file").agg(F.count("*").alias("minutes"), F.sum("n").alias("n"))
 
 
-@_query("stream_merge", _with(s.EVENTS, f'SELECT topic AS stream, {MID}::BIGINT AS "minute", count(*) n, sum(event_id)::BIGINT total FROM e GROUP BY topic'))
+@_query("stream_merge_lines", _with(s.EVENTS, f'SELECT topic AS stream, {MID}::BIGINT AS "minute", count(*) n, sum(event_id)::BIGINT total FROM e GROUP BY topic'))
 def _(spark, d):
     base = files.scratch(spark)
     lines = v.events(spark, d).select(F.col("event_id").cast("string").alias("value"), F.col("topic").alias("stream"), "cluster")
     lines.write.partitionBy("cluster").parquet(f"{base}/roots")
     roots = [spark.readStream.schema("value string, stream string").parquet(f"{base}/roots/cluster=cluster{k}") for k in (0, 1)]
-    feed.stream_merge(roots, f"{base}/out", f"{base}/checkpoint", lambda: MID + 7).awaitTermination()
+    feed.stream_merge_lines(roots, f"{base}/out", f"{base}/checkpoint", lambda: MID + 7).awaitTermination()
     rows = files.read_lines(spark, f"{base}/out").withColumn("minute", m.path_to_minute(F.regexp_replace("path", "(year|month|day|hour|minute)=", "")))
     return rows.groupBy("stream", "minute").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("long")).alias("total"))
 
 
-@_query("stream_mirror", _with(s.EVENTS, 'SELECT topic AS stream, ms - ms % 86400000 AS "minute", count(*) n, sum(event_id)::BIGINT total FROM e GROUP BY 1, 2'))
+@_query("stream_mirror_lines", _with(s.EVENTS, 'SELECT topic AS stream, ms - ms % 86400000 AS "minute", count(*) n, sum(event_id)::BIGINT total FROM e GROUP BY 1, 2'))
 def _(spark, d):
     base = files.scratch(spark)
     lines = v.events(spark, d)
     files.write_minute_partitions(lines.select(F.col("event_id").cast("string").alias("value"), F.col("topic").alias("stream"), (F.col("ms") - F.col("ms") % m.DAY).alias("at")), f"{base}/root", F.col("at"))
     source = spark.readStream.format("text").schema("value string").option("recursiveFileLookup", True).load(f"{base}/root").select("value", F.col("_metadata.file_path").alias("path"))
-    feed.stream_mirror(source, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    feed.stream_mirror_lines(source, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     rows = files.read_lines(spark, f"{base}/out").withColumn("minute", m.path_to_minute(F.regexp_replace("path", "(year|month|day|hour|minute)=", "")))
     return rows.groupBy("stream", "minute").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("long")).alias("total"))
 
 
+def _named_minutes(spark, d, path, at, where="true"):
+    """Events as lines of files with names, in 45 minutes from MID on, of which those of %11 = 9 have an empty folder, and the 40th is a gap."""
+    k = F.col("event_id") % 45
+    e = v.events(spark, d).where(where).withColumn("at", F.lit(MID) + k * m.MINUTE).where((k != 40) if at == 0 else (k == 40))
+    name = F.concat("cluster", F.lit("-"), "topic", F.lit("-"), m.minute_text(F.col("at"), "yyyy-MM-dd-HH-mm"), F.lit("_"), (F.col("event_id") % 2).cast("string"), F.lit(".gz"))
+    folder = F.concat_ws("/", "topic", m.minute_text(F.col("at")))
+    spark = files.registered(spark)
+    lines = e.where(k % 11 != 9).select(F.concat_ws("/", folder, name).alias("target"), F.col("event_id").cast("string").alias("value"))
+    lines.repartition("target").sortWithinPartitions("target", "value").write.format("named_lines").mode("append").option("path", path).save()
+    empty = e.where(k % 11 == 9).select(F.lit("").alias("path"), folder.alias("target"), F.lit(True).alias("is_dir")).distinct()
+    empty.write.format("file_copies").mode("append").option("path", path).save()
+
+
+def _named_sql(select, by):
+    """Taken are the minutes of each stream (and root) before which there is no gap and after which there is one more; turn counts them."""
+    at = """strftime(make_timestamp("at" * 1000), '%Y"""
+    ctes = f"""{s.EVENTS}, kk AS (SELECT event_id, topic, cluster, {MID} + event_id % 45 * 60000 AS "at", event_id % 45 kth FROM e), mn AS (SELECT DISTINCT {by}, "at" FROM kk),
+turns AS (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY "at") turn, min("at") OVER (PARTITION BY {by}) "first", lead("at") OVER (PARTITION BY {by} ORDER BY "at") nx FROM mn),
+taken AS (SELECT * FROM turns WHERE "at" = "first" + (turn - 1) * 60000 AND nx = "at" + 60000),
+nf AS (SELECT DISTINCT topic, cluster, "at", kth, topic || '/' || {at}/%m/%d/%H/%M') folder, cluster || '-' || topic || '-' || {at}-%m-%d-%H-%M') || '_' || event_id % 2 || '.gz' "name" FROM kk)"""
+    return _with(ctes, select)
+
+
+@_query("stream_mirror", _named_sql("""SELECT DISTINCT CASE WHEN kth % 11 = 9 THEN folder ELSE folder || '/' || "name" END below, kth % 11 = 9 is_dir FROM nf JOIN taken USING (topic, "at")""", "topic"))
+def _(spark, d):
+    """Files by their paths, and empty minutes; the mirror stops at the gap, and goes on when it is filled."""
+    base = files.scratch(spark)
+    for at in (0, 0, 1):
+        if not facts.Folder(spark, f"{base}/root").names() or at:
+            _named_minutes(spark, d, f"{base}/root", at)
+        feed.stream_mirror(spark, f"{base}/root", f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return files.read_listing(spark, f"{base}/out", "c", "r").select(F.regexp_extract("path", "/out/(.*)$", 1).alias("below"), "is_dir")
+
+
+@_query("stream_merge", _named_sql(f"""SELECT topic AS stream, "name", {MID + m.DAY} + (turn - 1) // 31 * 60000 AS "minute" FROM nf JOIN taken USING (cluster, topic, "at") WHERE kth % 11 <> 9""", "cluster, topic"))
+def _(spark, d):
+    """Files of two roots by their names, in the commit minute of the batch that took them: 31 minutes of each stream at a time."""
+    base, turn = files.scratch(spark), []
+    for k in (0, 1):
+        for at in (0, 1):
+            _named_minutes(spark, d, f"{base}/root{k}", at, f"cluster = 'cluster{k}'")
+    for _ in range(2):
+        turn.append(MID + m.DAY + len(turn) * m.MINUTE)
+        feed.stream_merge(spark, [f"{base}/root0", f"{base}/root1"], f"{base}/out", f"{base}/checkpoint", lambda: turn[-1] + 7).awaitTermination()
+    return files.read_listing(spark, f"{base}/out", "c", "r").select("stream", "name", "minute")
+
+
 @_query("sliding_metric_sum", _with(s.EVENTS, "SELECT hostname AS service, 'm' AS metric, topic AS stream, st AS start, sum(n)::BIGINT total FROM (SELECT *, unnest(range(ms - ms % 1800000 - 1800000, ms - ms % 1800000 + 1, 1800000)) st FROM e) GROUP BY 1, 3, 4"))
 def _(spark, d):
     e = v.events(spark, d).select(F.col("hostname").alias("service"), F.lit("m").alias("metric"), F.col("topic").alias("stream"), F.timestamp_millis("ms").alias("ts"), F.col("n").alias("value"))

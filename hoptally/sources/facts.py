@@ -114,6 +114,9 @@ class Folder:
     def delete(self, name: str = "") -> None:
         self._store.delete(self.at(name), True)
 
+    def make(self, name: str = "") -> None:
+        self._store.mkdirs(self.at(name))
+
 
 def _versions(folder: Folder) -> list[int]:
     return [int(n.removesuffix(".json")) for n in folder.names("_manifest") if n.endswith(".json") and not n.startswith(".")]

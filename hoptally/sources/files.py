@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoptally.functions.model import DAY, KEY, minute_text, path_to_minute, time_range
-
-LISTING = "cluster string, root string, stream string, minute bigint, name string, path string, is_dir boolean, length bigint, mtime bigint"
+from hoptally.functions.model import KEY, minute_text, time_range
+from hoptally.sources.minutes import registered
 
 
 def scratch(spark: SparkSession) -> str:
@@ -69,41 +67,15 @@ def read_tuples(spark: SparkSession, path: str, start: int | None = None, end: i
     return rows.drop("day").select(*KEY, *(c for c in rows.columns if c not in {*KEY, "day"}))
 
 
-def _minute_folders(spark: SparkSession, path: str, start: int | None, end: int | None) -> list[tuple[str, int]]:
-    """The minute folders below path and when they were changed: of all days, or of those that the range touches alone.
-
-    Spark's file sources don't show empty folders, so these are asked for by name: one entry a stream and minute."""
-    fs = spark._jvm.org.apache.hadoop.fs
-    at = fs.Path(path)
-    system = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    days = ["*/*/*"]
-    if start is not None and end is not None:
-        moments = (datetime.fromtimestamp(ms / 1000, UTC) for ms in range(start - start % DAY, end, DAY))
-        days = [t.strftime("{%Y,year=%Y}/{%m,month=%m}/{%d,day=%d}") for t in moments]
-    found = (system.globStatus(fs.Path(at, f"*/{day}/*/*")) for day in days)
-    return [(x.getPath().toString(), x.getModificationTime()) for statuses in found if statuses for x in statuses if x.isDirectory()]
-
-
 def read_listing(spark: SparkSession, path: str, cluster: str, root: str, start: int | None = None, end: int | None = None) -> DataFrame:
     """Files and empty minutes below path as a listing (LISTING) of the minutes [start, end); without both bounds all of them.
 
-    An empty minute is a row with is_dir, its folder's name and path, and no length. Only folders of the days in range are
-    looked through; contents aren't read."""
-    folders = _minute_folders(spark, path, start, end)
-    at = F.col("path")
-    minute = F.coalesce(path_to_minute(at), path_to_minute(F.regexp_replace(at, "(year|month|day|hour|minute)=", "")))
-    below = F.concat(at, F.lit("/"))
-    stream = F.regexp_extract(below, r"/(?:stream=)?([^/]+)/(?:year=)?\d{4}/", 1)
-    days = sorted({p.rsplit("/", 2)[0] for p, _ in folders}) if start is not None and end is not None else [path]
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(days).select("path", "length", F.unix_millis("modificationTime").alias("mtime")) if days else spark.createDataFrame([], "path string, length long, mtime long")
-    row = lambda df, is_dir: df.select(
-        F.lit(cluster).alias("cluster"), F.lit(root).alias("root"), stream.alias("stream"), minute.alias("minute"), F.element_at(F.split(at, "/"), -1).alias("name"), at.alias("path"),
-        F.lit(is_dir).alias("is_dir"), "length", "mtime",
-    )
-    files = row(found, False)
-    dirs = row(spark.createDataFrame(folders, "path string, mtime long").withColumn("length", F.lit(0).cast("long")), True)
-    rows = files.unionByName(dirs.join(files.select("stream", "minute").distinct(), ["stream", "minute"], "left_anti").select(*files.columns))
-    return rows if start is None or end is None else rows.where((F.col("minute") >= start) & (F.col("minute") < end))
+    An empty minute is a row with is_dir, its folder's name and path, and no length. Folders are listed by tasks (sources.minutes), those of
+    the hours in range alone; contents aren't read."""
+    rows = registered(spark).read.format("minute_listing").options(path=path, cluster=cluster, root=root)
+    if start is None or end is None:
+        return rows.load()
+    return rows.options(start=start, end=end).load().where((F.col("minute") >= start) & (F.col("minute") < end))
 
 
 def collapse_lines(lines: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
 from collections import Counter
@@ -12,30 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hoptally.functions.model import MINUTE, path_to_minute, received
+from hoptally.functions.model import MINUTE, minute_text, path_to_minute
 from hoptally.operators.audit import align_messages, build_tuples, window_counts
 from hoptally.sources import facts
 from hoptally.sources.files import write_minute_partitions
-
-
-def _path(spark: SparkSession, path: str) -> tuple:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at, at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    at, system = _path(spark, path)
-    return system.exists(at)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    at, system = _path(spark, path)
-    system.delete(at, True)
-
-
-def _make(spark: SparkSession, path: str) -> None:
-    at, system = _path(spark, path)
-    system.mkdirs(at)
+from hoptally.sources.minutes import LIMIT, registered
 
 
 def _own_name(spark: SparkSession, checkpoint: str) -> str:
@@ -106,8 +88,9 @@ def stream_local_ingest(lines: DataFrame, path: str, checkpoint: str, transform:
     return lines.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def stream_merge(sources: list[DataFrame], path: str, checkpoint: str, commit_minute: Callable[[], int] | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """New lines (value, stream) of several roots into one, each batch under its commit minute (now, unless given), which grows."""
+def stream_merge_lines(sources: list[DataFrame], path: str, checkpoint: str, commit_minute: Callable[[], int] | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """New lines (value, stream) of several roots into one, each batch under its commit minute (now, unless given), which grows; for sources
+    that aren't files. stream_merge keeps files and their names."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
         now = commit_minute() if commit_minute else int(time.time() * 1000)
@@ -117,8 +100,9 @@ def stream_merge(sources: list[DataFrame], path: str, checkpoint: str, commit_mi
     return rows.select("value", "stream").writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def stream_mirror(source: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """New lines of a merged root (value, and path: that of their file) under the stream and minute that they have there."""
+def stream_mirror_lines(source: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """New lines of a merged root (value, and path: that of their file) under the stream and minute that they have there; stream_mirror
+    keeps files, their names, and empty minutes."""
     plain = F.regexp_replace("path", "/(stream|year|month|day|hour|minute)=", "/")
     rows = source.select("value", F.regexp_extract(plain, r"/([^/]+)/\d{4}/\d{2}/\d{2}/\d{2}/\d{2}/", 1).alias("stream"), path_to_minute(plain).alias("minute"))
 
@@ -128,6 +112,56 @@ def stream_mirror(source: DataFrame, path: str, checkpoint: str, trigger: dict |
     return rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
+def minutes_in_order(spark: SparkSession, root: str, checkpoint: str, cluster: str = "", start: int | None = None, limit: int = LIMIT) -> DataFrame:
+    """The listing of a root's minute folders as a stream: each stream's minutes one after the other, a minute only when the next one
+    is there too, limit + 1 at most a batch, and no further than a gap until it is filled. start: the first minute to take."""
+    rows = registered(spark).readStream.format("minutes_in_order").options(path=root, root=root.rstrip("/"), cluster=cluster, limit=limit)
+    rows = rows.option("progress", f"{checkpoint}/minutes/{hashlib.sha256(root.encode()).hexdigest()[:16]}")
+    return (rows if start is None else rows.option("start", start)).load()
+
+
+def _decided(spark: SparkSession, checkpoint: str, batch: int, commit_minute: Callable[[], int] | None) -> int:
+    """A batch's commit minute: settled when it first runs, so that it is the same when it runs again."""
+    now, folder = commit_minute() if commit_minute else int(time.time() * 1000), facts.Folder(spark, checkpoint)
+    folder.create(f"commit_minutes/{batch}", str(now - now % MINUTE))
+    return int(folder.read(f"commit_minutes/{batch}"))
+
+
+def _copied(rows: DataFrame, path: str) -> None:
+    registered(rows.sparkSession)
+    rows.select("path", "target", "is_dir").write.format("file_copies").mode("append").option("path", path).save()
+
+
+def stream_merge(
+    spark: SparkSession, roots: list[str], path: str, checkpoint: str, commit_minute: Callable[[], int] | None = None, start: int | None = None, limit: int = LIMIT, trigger: dict | None = None
+) -> StreamingQuery:
+    """Files of several roots into one, with their names: <stream>/<commit minute>/<name>, the commit minute (now, unless given) being one
+    for a batch. Of files of one name in a batch that of the latest minute stays. Which minutes a batch takes says minutes_in_order.
+
+    Files are copied aside by tasks and put in place together; a batch that failed midway is put in the same minute again, and what
+    is in place stays."""
+    rows = reduce(lambda a, b: a.unionByName(b), [minutes_in_order(spark, r, checkpoint, start=start, limit=limit) for r in roots])
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        at = _decided(batch.sparkSession, checkpoint, batch_id, commit_minute)
+        one = batch.where("not is_dir").groupBy("stream", "name").agg(F.max_by("path", F.struct("minute", "path")).alias("path"))
+        target = F.concat_ws("/", "stream", minute_text(F.lit(at)), "name")
+        _copied(one.select("path", target.alias("target"), F.lit(False).alias("is_dir")), path)
+
+    return rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def stream_mirror(spark: SparkSession, root: str, path: str, checkpoint: str, start: int | None = None, limit: int = LIMIT, trigger: dict | None = None) -> StreamingQuery:
+    """Files and empty minutes of a merged root at the same place below path, minute after minute; put in place as by stream_merge."""
+    below = F.expr("substring(path, length(root) + 2)")
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        _copied(batch.withColumn("target", below), path)
+
+    rows = minutes_in_order(spark, root, checkpoint, start=start, limit=limit)
+    return rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
 def sliding_metric_sum(metrics: DataFrame, seconds: int, slide: int, time: str = "ts") -> DataFrame:
     """Sum of value by service, metric and stream over windows of so many seconds; a stream or a table."""
     w = F.window(time, f"{seconds} seconds", f"{slide} seconds")
