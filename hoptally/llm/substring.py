@@ -25,9 +25,8 @@ from hoptally.llm.common import Words, map_arrow, mixed, read, row_key, slices,
 
 #: Sentences of a run.
 RUN = 3
-#: The registered query's and the pipeline's parameters: texts that are put together of many one-word sentences hold the same two
-#: or three of them by chance.
-PRODUCTION = {"run": 2, "least_words": 15}
+#: The registered query's and the pipeline's parameters: whatever a repeated run covers goes, however short.
+PRODUCTION = {"run": RUN, "least_words": 0}
 ENDS = (".", "!", "?", "…")
 #: Closing marks that may follow the end of a sentence.
 CLOSING = "\"')]}»“”’›"
