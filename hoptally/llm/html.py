@@ -16,10 +16,10 @@ are known.
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import escape
-from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hoptally.llm.common import map_arrow, read, slices
+from hoptally.llm.markup import scan
 
 #: Bounds of the training sample: pages, and characters of a page.
 SAMPLE_PAGES, SAMPLE_CHARS, LAYOUTS, DISGUISES = 150, 60_000, 4, 3
@@ -82,20 +83,42 @@ class Node:
     children: list[int] = field(default_factory=list)
 
 
-class Page(HTMLParser):
-    """The block elements of a page, and its text blocks in page order with the node that each belongs to."""
+class Page:
+    """The block elements of a page, and its text blocks in page order with the node that each belongs to.
+
+    Open elements are known by their tags, so that an end tag doesn't look through those that are open: time is in proportion to the page."""
 
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
         self.nodes = [Node("html", -1, 0, np.zeros(N_TOKENS, bool), False, -1)]
         self.blocks: list[tuple[int, str]] = []
         self.open: list[tuple[str, int]] = [("html", 0)]  # inline elements too, with the block element that they are in
-        self.skip, self.inside = "", []  # the skipped element that is open, and what is open in it
-        self.links, self.run, self.length, self.linked = 0, [], 0, 0
-        self.feed(html)
-        self.close()
+        self.places: dict[str, list[int]] = defaultdict(list)  # where elements of a tag are in open, but for the first
+        self.block_places: list[int] = []
+        self.skip, self.inside, self.within = "", [], Counter()  # the skipped element that is open, and what is open in it
+        self.run, self.linked = [], 0
+        scan(html, self)
         self.flush()
 
+    def push(self, tag: str, node: int) -> None:
+        self.places[tag].append(len(self.open))
+        if tag in BLOCK:
+            self.block_places.append(len(self.open))
+        self.open.append((tag, node))
+
+    def cut(self, k: int) -> None:
+        """Ends all open elements from the k-th on."""
+        while len(self.open) > k:
+            tag, _ = self.open.pop()
+            self.places[tag].pop()
+            if tag in BLOCK:
+                self.block_places.pop()
+
+    def last(self, tag: str) -> int:
+        return self.places[tag][-1] if self.places.get(tag) else 0
+
+    def unskip(self) -> None:
+        self.skip, self.inside, self.within = "", [], Counter()
+
     def flush(self) -> None:
         if not self.run:
             return
@@ -112,17 +135,18 @@ class Page(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "body" or tag == "html":
-            if tag == "body" and not any(t == "body" for t, _ in self.open):
-                self.skip, self.inside = "", []
+            if tag == "body" and not self.last("body"):
+                self.unskip()
             elif tag == "html":
                 return
-        if self.skip == "head" and tag not in HEAD and not SKIP.intersection(self.inside):
-            self.skip, self.inside = "", []  # the body begins
+        if self.skip == "head" and tag not in HEAD and not any(self.within[t] for t in SKIP):
+            self.unskip()  # the body begins
         if self.skip:
             if tag == self.skip and tag in ANEW:
-                self.inside = []
+                self.inside, self.within = [], Counter()
             elif tag not in VOID:
                 self.inside.append(tag)
+                self.within[tag] += 1
             return
         if tag in SKIP:
             self.skip = tag
@@ -142,53 +166,47 @@ class Page(HTMLParser):
             self.nodes.append(Node(tag, parent, self.nodes[parent].depth + 1, own, hidden, mark))
             self.nodes[parent].children.append(len(self.nodes) - 1)
             if tag not in VOID:
-                self.open.append((tag, len(self.nodes) - 1))
+                self.push(tag, len(self.nodes) - 1)
         elif tag == "br":
             self.run.append(" ")
         elif tag not in VOID:
-            self.open.append((tag, self.open[-1][1]))
-            self.links += tag == "a"
+            self.push(tag, self.open[-1][1])
 
     def shut(self, tag: str, fence: set | frozenset = frozenset()) -> None:
-        """Ends the innermost open element of that tag, and what is open in it; not beyond an element of fence."""
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k][0] == tag:
-                self.flush()
-                self.links -= sum(t == "a" for t, _ in self.open[k:])
-                del self.open[k:]
-                return
-            if self.open[k][0] in fence or (tag == "p" and self.open[k][0] in BLOCK):
-                return
+        """Ends the innermost open element of that tag, and what is open in it; not beyond an element of fence, and a p only if it is
+        the innermost block."""
+        k = self.last(tag)
+        if tag == "p" and k and k != self.block_places[-1]:
+            return
+        if k and k > max((self.last(t) for t in fence if t != tag), default=0):
+            self.flush()
+            self.cut(k)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in self.inside:
-            while self.inside.pop() != tag:
-                pass
-            return
+        if self.within[tag]:
+            while True:
+                gone = self.inside.pop()
+                self.within[gone] -= 1
+                if gone == tag:
+                    return
         if self.skip:
-            ends, outer = tag == self.skip, any(t == tag for t, _ in self.open[1:])
+            ends, outer = tag == self.skip, self.last(tag) > 0
             if ends or outer:
-                self.skip, self.inside = "", []
+                self.unskip()
             if ends or not outer:
                 return
         if tag in BLOCK:
             if tag not in {"html", "body"}:
                 self.shut(tag)
-        else:
-            for k in range(len(self.open) - 1, 0, -1):
-                if self.open[k][0] in BLOCK:
-                    return
-                if self.open[k][0] == tag:
-                    self.links -= sum(t == "a" for t, _ in self.open[k:])
-                    del self.open[k:]
-                    return
+        elif (k := self.last(tag)) and k > (self.block_places[-1] if self.block_places else 0):
+            self.cut(k)
 
     def handle_data(self, data: str) -> None:
         if self.skip == "head" and not self.inside and data.strip():
             self.skip = ""
         if not self.skip:
             self.run.append(data)
-            if self.links > 0:
+            if self.places.get("a"):
                 self.linked += len(data.strip())
 
 

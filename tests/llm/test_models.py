@@ -312,3 +312,59 @@ def test_fold(spark):
     assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % 10 for r in rows)
     assert spark.createDataFrame([(None,)], "id long").select(fold("id", 10)).first()[0] == 0
     assert F is not None
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<!--", "<b>", "</q>", "</b>", "<b></q>", "<", "<!", '<a b="', "<title>", "<script>", "</", "<a href='x'>", "&amp;", "<x/>", "<select><b>", "</div>", "<option>"])
+def test_html_of_a_megabyte(unit):
+    """Broken pages take time in proportion to their length: two seconds a megabyte and less, with room for a slow machine."""
+    import time
+
+    from hoptally.llm import html
+
+    took = []
+    for size in (250_000, 1_000_000):
+        page = unit * (size // len(unit))
+        began = time.process_time()
+        html.Page(page)
+        took.append(time.process_time() - began)
+    assert took[1] < 6 and (took[1] < 1 or took[1] < 9 * took[0])
+
+
+def test_html_end_tags_among_many_open_elements():
+    import time
+
+    from hoptally.llm import html
+
+    for page in ("<select>" + "<b>" * 150_000 + "</q>" * 150_000, "<b>" * 150_000 + "</q>" * 150_000 + "</a>" * 10):
+        began = time.process_time()
+        html.Page(page)
+        assert time.process_time() - began < 8
+
+
+def test_html_scanner():
+    from hoptally.llm import markup
+
+    class Sink:
+        def __init__(self):
+            self.out = []
+
+        def handle_starttag(self, tag, attrs):
+            self.out.append((tag, *attrs))
+
+        def handle_endtag(self, tag):
+            self.out.append("/" + tag)
+
+        def handle_data(self, data):
+            self.out.append(data)
+
+    def scanned(html):
+        sink = Sink()
+        markup.scan(html, sink)
+        return [x for k, x in enumerate(sink.out)]
+
+    assert scanned("a&lt;b<P Class=\"x y\" id=z hidden title='&quot;' >c</P >d") == ["a<b", ("p", ("class", "x y"), ("id", "z"), ("hidden", None), ("title", '"')), "c", "/p", "d"]
+    assert scanned("<br/><a href=x/>y</a>") == [("br",), "/br", ("a", ("href", "x/")), "y", "/a"]
+    assert scanned("a<!-- <b> -->b<!doctype x>c<?x ?>d<!-->e</ x>f") == ["a", "b", "c", "d", "e", "f"]
+    assert scanned("<script>if (a<b) '</scr'</SCRIPT >x") == [("script",), "if (a<b) '</scr'", "/script", "x"]
+    assert scanned("<style>x") == [("style",), "x"] and scanned("1 < 2 <3") == ["1 < 2 <3"]
+    assert scanned("a<b c='x") == ["a"] and scanned("a<!-- b") == ["a"] and scanned("a</b") == ["a"] and scanned("") == []
