@@ -12,7 +12,7 @@ from hoptally.operators import audit, listing, movement, rollup, topology
 from hoptally.plans import sql as s
 from hoptally.plans import views as v
 from hoptally.sources import facts, files
-from hoptally.streaming import feed
+from hoptally.streaming import collectors, feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -958,6 +958,68 @@ def _(spark, d):
     return counted.groupBy("stream", "file").agg(F.count("*").alias("minutes"), F.sum("n").alias("n"))
 
 
+def _picked(spark, d):
+    """What the collectors' state takes and trashes: first all files up to a time, as far as those collectors are known then; after that a batch."""
+    base = files.scratch(spark)
+    f = _collector_files(spark, d).drop("event_id")
+    early = (F.col("mtime") < MID) & (F.col("collector") != "cluster0-host0")
+    for part, (rows, most, timeout) in enumerate(((f.where(early), 1 << 40, -(1 << 50)), (f.where(~early), movement.BATCH_FILES, m.HOUR))):
+        rows.coalesce(1).write.mode("append").parquet(f"{base}/events")
+        events = spark.readStream.schema(rows.schema).parquet(f"{base}/events")
+        picked = collectors.pick_files(events, most=most, timeout=timeout, now=NOW)
+        writer = picked.writeStream.outputMode("append").foreachBatch(lambda batch, k, part=part: batch.write.mode("overwrite").parquet(f"{base}/out/part={part}/batch={k}"))
+        writer.option("checkpointLocation", f"{base}/checkpoint").trigger(once=True).start().awaitTermination()
+    return spark.read.schema(collectors.PICKED).option("recursiveFileLookup", True).parquet(f"{base}/out/part=0"), spark.read.schema(collectors.PICKED).option("recursiveFileLookup", True).parquet(f"{base}/out/part=1")
+
+
+@_query("stream_collector_batch", _with(_BATCH, 'SELECT stream, collector, "name", path, length FROM bat'))
+def _(spark, d):
+    return _picked(spark, d)[1].where("action = 'take'").select("stream", "collector", "name", "path", "length")
+
+
+@_query("stream_collector_trash", _with(f"""{_CF}, {_CP}, ag AS (SELECT *, row_number() OVER (PARTITION BY stream, collector ORDER BY mtime DESC, "name" DESC) age, mtime < {MID} AND collector <> 'cluster0-host0' early FROM lf),
+sc AS (SELECT ag.*, coalesce(sum(CASE WHEN length > 0 AND (checkpoint IS NULL OR "name" > checkpoint) THEN 1 ELSE 0 END) OVER (PARTITION BY stream, collector ORDER BY mtime, "name" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) before
+  FROM ag LEFT JOIN cps USING (stream, collector) WHERE NOT early AND (age > 1 OR mtime < {NOW - m.HOUR})),
+ps AS (SELECT stream, collector, "name" FROM ag WHERE early UNION ALL SELECT stream, collector, "name" FROM sc WHERE before < 10)""", 'SELECT stream, collector, "name" FROM ps QUALIFY row_number() OVER (PARTITION BY stream, collector ORDER BY "name" DESC) > 6'))
+def _(spark, d):
+    one, two = _picked(spark, d)
+    return one.unionByName(two).where("action = 'trash'").select("stream", "collector", "name")
+
+
+def _collected(spark, d):
+    """Events as lines of collectors' files, in the order of their ids; all of them are taken, in two triggers."""
+    base = files.scratch(spark)
+    e = v.events(spark, d)
+    name = F.concat("topic", F.lit("-"), m.minute_text(F.col("ms") - F.col("ms") % m.DAY, "yyyy-MM-dd-HH-mm"), F.lit("_0001"))
+    lines = e.select(F.concat_ws("/", "topic", F.concat("cluster", F.lit("-"), "hostname"), F.concat(name, F.lit(".gz"))).alias("target"), F.concat_ws(" ", "ms", "event_id").alias("value"), "ms", "event_id")
+    for part in (0, 1):
+        half = lines.where((F.col("ms") < MID) if part == 0 else (F.col("ms") >= MID))
+        half.repartition("target").sortWithinPartitions("target", "event_id").select("target", "value").write.format("named_lines").mode("append").option("path", f"{base}/raw").save()
+        collectors.stream_collect(
+            collectors.collector_events(spark, f"{base}/raw"), f"{base}/out", f"{base}/counters", f"{base}/trash", f"{base}/checkpoint", publish_time=F.element_at(F.split("value", " "), 1).cast("long"),
+            commit_minute=lambda part=part: MID + part * m.MINUTE + 5, trigger={"once": True}, most=1 << 40, timeout=-(1 << 50), now=NOW,
+        ).awaitTermination()
+    return base
+
+
+_COLLECTED = f"""{s.EVENTS}, cl AS (SELECT *, cluster || '-' || hostname || '-' || topic || '-' || strftime(make_timestamp((ms - ms % 86400000) * 1000), '%Y-%m-%d-%H-%M') || '_0001.gz' AS "name", CASE WHEN ms < {MID} THEN {MID} ELSE {MID + m.MINUTE} END AS "minute" FROM e)"""
+
+
+@_query("stream_collect", _with(_COLLECTED, """SELECT topic AS stream, "minute", "name", count(*) n, min(event_id) AS "first", sum(event_id)::BIGINT total FROM cl GROUP BY 1, 2, 3"""))
+def _(spark, d):
+    """Lines by the names of their files and the minute in which they were committed."""
+    base = _collected(files.registered(spark), d)
+    rows = files.read_lines(spark, f"{base}/out").withColumn("id", F.element_at(F.split("value", " "), 2).cast("long"))
+    by = [F.element_at(F.split("path", "/"), -7).alias("stream"), m.path_to_minute(F.col("path")).alias("minute"), F.col("file").alias("name")]
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), F.min("id").alias("first"), F.sum("id").alias("total"))
+
+
+@_query("stream_collect_counters", _with(_COLLECTED, """SELECT topic AS stream, "name" AS file, ms - ms % 60000 AS win, count(*) n FROM cl GROUP BY 1, 2, 3"""))
+def _(spark, d):
+    base = _collected(files.registered(spark), d)
+    return audit.parse_counters(spark.read.text(f"{base}/counters/batch=*")).withColumnRenamed("window", "win")
+
+
 @_query("stream_merge_lines", _with(s.EVENTS, f'SELECT topic AS stream, {MID}::BIGINT AS "minute", count(*) n, sum(event_id)::BIGINT total FROM e GROUP BY topic'))
 def _(spark, d):
     base = files.scratch(spark)

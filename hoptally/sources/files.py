@@ -28,7 +28,7 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def read_lines(spark: SparkSession, path: str, raw: bool = False) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str], raw: bool = False) -> DataFrame:
     """value, stream, collector, file and path of text files, gzipped or not; empty files give no rows.
 
     Files lie below stream=<name>/ and maybe collector=<name>/ (else collector is null), or, if raw, as <stream>/<collector>/<file>."""
