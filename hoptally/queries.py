@@ -12,7 +12,7 @@ from hoptally.operators import audit, listing, movement, rollup, topology
 from hoptally.plans import sql as s
 from hoptally.plans import views as v
 from hoptally.sources import facts, files
-from hoptally.streaming import collectors, feed
+from hoptally.streaming import collectors, feed, sliding
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -816,8 +816,11 @@ def _(spark, d):
     return files.read_tuples(spark, path, MID, MID + 2 * m.DAY).select(*m.KEY, "sent", "c0", "c600")
 
 
-@_query("to_timeline_json", _with(_SETS, f"""SELECT a.tier, a."time", a.{{r}} all_received, b.cluster, b.{{r}} cluster_received, c.topic, c.{{r}} received, c.sent FROM gs_ a JOIN gs_ b ON b.level = 1 AND b.tier = a.tier AND b."time" = a."time"
-JOIN gs_ c ON c.level = 2 AND c.tier = b.tier AND c."time" = b."time" AND c.cluster = b.cluster WHERE a.level = 0""".replace("{r}", "received").replace("gs_", f"(SELECT level, \"time\", tier, cluster, topic, sent, {s.RECEIVED} received FROM gs)")))
+_TIMELINE = _with(_SETS, f"""SELECT a.tier, a."time", a.{{r}} all_received, b.cluster, b.{{r}} cluster_received, c.topic, c.{{r}} received, c.sent FROM gs_ a JOIN gs_ b ON b.level = 1 AND b.tier = a.tier AND b."time" = a."time"
+JOIN gs_ c ON c.level = 2 AND c.tier = b.tier AND c."time" = b."time" AND c.cluster = b.cluster WHERE a.level = 0""".replace("{r}", "received").replace("gs_", f"(SELECT level, \"time\", tier, cluster, topic, sent, {s.RECEIVED} received FROM gs)"))
+
+
+@_query("to_timeline_json", _TIMELINE)
 def _(spark, d):
     """The documents, read again."""
     docs = files.to_timeline_json(rollup.timeline_grouping_sets(v.tuples(spark, d), m.DAY, [99.0]))
@@ -827,6 +830,17 @@ def _(spark, d):
     return topics.select("tier", "time", "all_received", "cluster", "cluster_received", "t.topic", "t.received", "t.sent")
 
 
+@_query("write_timeline_json", _TIMELINE)
+def _(spark, d):
+    """The documents as they are written in order, read again moment by moment."""
+    path = files.scratch(spark)
+    files.write_timeline_json(rollup.timeline_grouping_sets(v.tuples(spark, d), m.DAY, [99.0]), path)
+    kind = "struct<time:bigint,received:bigint,sent:bigint,clusters:array<struct<cluster:string,received:bigint,sent:bigint,topics:array<struct<topic:string,received:bigint,sent:bigint>>>>>"
+    points = files.read_timeline_points(spark, path).select("tier", F.from_json("point", kind).alias("p")).select("tier", "p.time", F.col("p.received").alias("all_received"), F.explode("p.clusters").alias("c"))
+    topics = points.select("tier", "time", "all_received", "c.cluster", F.col("c.received").alias("cluster_received"), F.explode("c.topics").alias("t"))
+    return topics.select("tier", "time", "all_received", "cluster", "cluster_received", "t.topic", "t.received", "t.sent")
+
+
 @_query("to_topology_json", _with(s.TOPICS, f"""SELECT a."name", a.cluster, a.tier, a.received all_received, p99, topic, b.received, b.sent
 FROM (SELECT "name", cluster, tier, received, {s.percentile_sql([99.0])} FROM (SELECT "name", cluster, tier, sum(received)::BIGINT received, {", ".join(f"sum({b})::BIGINT {b}" for b in m.BUCKETS)} FROM tc GROUP BY "name", cluster, tier)) a
 JOIN (SELECT "name", cluster, tier, topic, sum(received)::BIGINT received, sum(sent)::BIGINT sent FROM tc GROUP BY "name", cluster, tier, topic) b ON b."name" = a."name" AND b.cluster = a.cluster AND b.tier = a.tier"""))
@@ -1093,3 +1107,32 @@ def _(spark, d):
 def _(spark, d):
     e = v.events(spark, d).select(F.col("hostname").alias("service"), F.lit("m").alias("metric"), F.col("topic").alias("stream"), F.timestamp_millis("ms").alias("ts"), F.col("n").alias("value"))
     return feed.sliding_metric_sum(e, 3600, 1800).withColumn("start", F.unix_millis("start"))
+
+
+_SLIDING = _with(s.EVENTS, """SELECT service, metric, stream, "second", sum(v) OVER (PARTITION BY service, metric, stream ORDER BY "second" RANGE BETWEEN 7199 PRECEDING AND CURRENT ROW)::BIGINT total
+FROM (SELECT hostname AS service, 'm' AS metric, topic AS stream, ms // 1000 AS "second", sum(n) v FROM e GROUP BY 1, 2, 3, 4)""")
+
+
+def _metrics(spark, d):
+    return v.events(spark, d).select(F.col("hostname").alias("service"), F.lit("m").alias("metric"), F.col("topic").alias("stream"), F.timestamp_millis("ms").alias("ts"), F.col("n").alias("value"))
+
+
+@_query("sliding_sums", _SLIDING)
+def _(spark, d):
+    """Of each second with values what the last two hours add up to."""
+    return sliding.sliding_sums(_metrics(spark, d), 7200)
+
+
+@_query("stream_sliding_sums", _SLIDING)
+def _(spark, d):
+    """The same as a stream that gets ten days at a time."""
+    base, metrics = files.scratch(spark), _metrics(spark, d)
+    for k in range(3):
+        inside = (F.unix_millis("ts") >= START + k * 10 * m.DAY) & (F.unix_millis("ts") < START + (k + 1) * 10 * m.DAY) if k < 2 else F.unix_millis("ts") >= START + 20 * m.DAY
+        metrics.where(inside).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        source = spark.readStream.schema(metrics.schema).parquet(f"{base}/in")
+        totals = sliding.stream_sliding_sums(source, 7200)
+        writer = totals.writeStream.outputMode("update").foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{base}/out/batch={n}"))
+        writer.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.schema("service string, metric string, stream string, second bigint, total double, batch int").parquet(f"{base}/out")
+    return rows.groupBy("service", "metric", "stream", "second").agg(F.max_by("total", "batch").cast("long").alias("total"))

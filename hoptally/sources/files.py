@@ -83,12 +83,37 @@ def collapse_lines(lines: DataFrame) -> DataFrame:
     return lines.select(F.trim("value").alias("value")).distinct()
 
 
-def to_timeline_json(series: DataFrame) -> DataFrame:
-    """One document a tier from timeline_grouping_sets: by time its sums, clusters and their topics."""
+def _timeline_points(series: DataFrame) -> DataFrame:
+    """tier, time and point: the JSON of a moment, with its clusters and their topics."""
     topics = series.where("level = 2").groupBy("tier", "time", "cluster").agg(F.array_sort(F.collect_list(F.struct("topic", "received", "sent"))).alias("topics"))
     clusters = series.where("level = 1").join(topics, ["tier", "time", "cluster"]).groupBy("tier", "time").agg(F.array_sort(F.collect_list(F.struct("cluster", "received", "sent", "topics"))).alias("clusters"))
-    points = series.where("level = 0").join(clusters, ["tier", "time"]).groupBy("tier").agg(F.array_sort(F.collect_list(F.struct("time", "received", "sent", "clusters"))).alias("points"))
-    return points.select("tier", F.to_json(F.struct("tier", "points")).alias("json"))
+    return series.where("level = 0").join(clusters, ["tier", "time"]).select("tier", "time", F.to_json(F.struct("time", "received", "sent", "clusters")).alias("point"))
+
+
+def to_timeline_json(series: DataFrame) -> DataFrame:
+    """One document a tier from timeline_grouping_sets: by time its sums, clusters and their topics. A document is a row, so this is for
+    series that fit in one; write_timeline_json is for all others."""
+    points = _timeline_points(series).groupBy("tier").agg(F.array_sort(F.collect_list(F.struct("time", "point"))).alias("points"))
+    head = F.concat(F.lit('{"tier":'), F.regexp_extract(F.to_json(F.struct("tier")), "^.[^:]*:(.*).$", 1), F.lit(',"points":['))
+    return points.select("tier", F.concat(head, F.array_join("points.point", ","), F.lit("]}")).alias("json"))
+
+
+def write_timeline_json(series: DataFrame, path: str) -> None:
+    """The documents of to_timeline_json, written in order by tasks, however long they are: path/tier=<tier>/part-*.txt, which one after
+    the other are the tier's document, a line a moment. Nothing holds more than a moment of a document."""
+    points = settled(_timeline_points(series))
+    ends = points.groupBy("tier").agg(F.min("time").alias("first"), F.max("time").alias("last"))
+    head = F.concat(F.lit('{"tier":'), F.regexp_extract(F.to_json(F.struct("tier")), "^.[^:]*:(.*).$", 1), F.lit(',"points":['))
+    line = F.concat(F.when(F.col("time") == F.col("first"), head).otherwise(","), "point", F.when(F.col("time") == F.col("last"), "]}").otherwise(""))
+    rows = points.join(F.broadcast(ends), "tier").select("tier", "time", line.alias("value"))  # a row a tier
+    rows.repartitionByRange("tier", "time").sortWithinPartitions("tier", "time").select("tier", "value").write.partitionBy("tier").text(path)
+
+
+def read_timeline_points(spark: SparkSession, path: str) -> DataFrame:
+    """tier and point (JSON) of all moments of the documents, in no order."""
+    lines = spark.read.text(path)
+    point = F.regexp_replace("value", r'^(\{"tier":.*?,"points":\[|,)(?=\{"time":)', "")
+    return lines.select("tier", F.when(F.col("value").endswith("}]}]}]}"), F.regexp_replace(point, r"\]\}$", "")).otherwise(point).alias("point"))
 
 
 def to_topology_json(nodes: DataFrame) -> DataFrame:
