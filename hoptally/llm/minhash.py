@@ -34,7 +34,9 @@ SINGLES = 40
 SHORT, SHORT_SHINGLE, SHORT_SINGLES = 40, 2, 16
 #: Cells of a text's bag of words and bytes of its signature, members of a bucket that meet at once, pairs of them that are looked at at once, and bits by which
 #: texts are picked.
-BAG, CHUNK, PAIRS, BITS = 256, 1024, 400_000, 1 << 22
+BAG, CHUNK, PAIRS, BITS = 256, 4096, 400_000, 1 << 22
+#: Chunks of a bucket beyond which they are made by length, so that each meets those of near lengths alone.
+BANDED = 3
 #: Words from which on a text has a signature instead of a bag, and the share of its bytes that have to agree (0.43 is expected at SIMILARITY).
 LONG, AGREE = 400, 0.26
 
@@ -251,10 +253,19 @@ def _among(members: DataFrame, parts: int, star: bool) -> DataFrame:
     """Pairs (a, b) of bucket members (key, id, n, class, size, bag) of different classes that may be near copies by their lengths and outlines;
     star: of each group only those of the member that has most.
 
-    Members are dealt to chunks, and the chunks of a bucket meet in pairs, each in one place, that only what may be near leaves."""
-    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
-    dealt = members.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.hash("id"), "chunks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    dealt = dealt.select("key", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "id", "n", "class", "bag")
+    Members are dealt to chunks, and the chunks of a bucket meet in pairs, each in one place, that only what may be near leaves. The
+    chunks of large buckets are of one band of lengths, and meet those of the same band and the next ones: texts further apart in length
+    aren't near."""
+    chunks = F.ceil(F.col("size") / CHUNK).cast("long")
+    few = members.where(chunks <= BANDED).withColumn("chunks", chunks)
+    few = few.withColumn("chunk", F.pmod(F.hash("id"), "chunks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    many = members.where(chunks > BANDED).withColumn("band", F.floor(F.log(F.col("n").cast("double")) / -np.log(SIMILARITY) + 1e-9).cast("long"))
+    bands = written(many.groupBy("key", "band").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("chunks")))
+    beside = bands.select("key", F.col("band").alias("from"), F.explode(F.expr("transform(sequence(0L, chunks - 1), x -> shiftleft(band, 20) + x)")).alias("other"))
+    beside = beside.withColumn("band", F.explode(F.expr("sequence(from - 1, from + 1)"))).groupBy("key", "band").agg(F.collect_list("other").alias("others"))  # a number a chunk
+    many = many.join(bands.join(beside, ["key", "band"]), ["key", "band"]).withColumn("chunk", F.expr("shiftleft(band, 20) + pmod(hash(id), chunks)")).withColumn("other", F.explode("others"))
+    cols = ["key", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "id", "n", "class", "bag"]
+    dealt = few.select(*cols).unionByName(many.select(*cols))
     dealt = dealt.repartition(parts, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
 
     def near(held: pa.Table) -> pa.RecordBatch:

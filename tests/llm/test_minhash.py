@@ -198,3 +198,23 @@ def test_signatures_of_long_texts():
         n = np.array([len(x.split()) for x, _ in pairs])
         x, y = (np.stack([np.frombuffer(v, np.uint8) for v in minhash.outlines(pa.array(side), n).to_pylist()]) for side in zip(*pairs, strict=True))
         assert (minhash.could_be(x, y, n, n) == want).all()
+
+
+def test_chunks_by_length_lose_nothing(spark, monkeypatch):
+    """The same pairs, whether a bucket's texts meet all at once, in chunks, or in chunks by length."""
+    rng = random.Random(12)
+    core = [f"core{k}" for k in range(60)]
+    rows = []
+    for i in range(260):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([2, 8, 15, 40, 90, 200]))]
+        rows.append((i, " ".join(core + own)))
+        if i % 5 == 0:
+            rows.append((1000 + i, " ".join(core + [w if rng.random() > 0.05 else "x" for w in own])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for chunk, banded in ((4096, 3), (32, 100), (8, 1), (32, 0)):
+        monkeypatch.setattr(minhash, "CHUNK", chunk)
+        monkeypatch.setattr(minhash, "BANDED", banded)
+        found.append(sorted(map(tuple, minhash.near_dedup(docs).collect())))
+    assert found[0] == found[1] == found[2] == found[3]
+    assert len({r for r in found[0]}) == len(rows)
