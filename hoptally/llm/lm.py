@@ -37,9 +37,8 @@ WIDTH, TAILS = 8, 256
 #: Rows of weights: one to so many distinct words, within bounds; rows that travel together.
 WORDS_A_ROW, LEAST_ROWS, MOST_ROWS, SHARE = 8, 1 << 13, 1 << 21, 256
 ROUNDS, STEP, RATE = 2, 4096, 0.4
-#: Features by how deep a class is, as rows of history: all four at the root, the last word and the word before it below, and from
-#: there on the last word.
-FEATURES = ((0, 1, 2, 3), (0, 2), (0,))
+#: Features by how deep a class is, as rows of history: all four at the root, the last word and the word before it at all levels below.
+FEATURES = ((0, 1, 2, 3), (0, 2))
 #: Bytes of text that a task works on at once.
 AT_ONCE = 6 << 20
 LN10 = float(np.log(10))

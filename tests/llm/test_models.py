@@ -177,11 +177,17 @@ def test_mixing(spark, docs, labels):
     residual = (p * (tokens * rate)[:, None]).sum(0) / tokens.sum() - want
     slope = p @ residual + mixing.RIDGE * (rate - 1)
     assert np.abs(slope[rate > 0]).max() < 1e-5 and (slope[rate == 0] > -1e-5).all()
-    # and against many plain steps of projected gradient, which come slowly to the same rates
-    by, r, scale = tokens / tokens.sum(), rate.copy(), 1 / ((p * tokens[:, None] / tokens.sum()).T @ p).trace()
-    for _ in range(200):
-        r = np.maximum(0, r - scale * (p @ ((p * (by * r)[:, None]).sum(0) - want) + mixing.RIDGE * (r - 1)))
-    assert np.abs(r - rate).max() < 1e-3
+    # and against projected gradient steps on the rates themselves, from 1 on, with momentum that starts anew where it overshoots
+    by, step = tokens / tokens.sum(), 1 / ((p * tokens[:, None] / tokens.sum()).T @ p).trace()
+    r = v = np.ones(len(p))
+    turn = 1.0
+    for _ in range(20_000):
+        then = np.maximum(0, v - step * (p @ ((p * (by * v)[:, None]).sum(0) - want) + mixing.RIDGE * (v - 1)))
+        if ((v - then) * by) @ (then - r) > 0:
+            turn = 1.0
+        after = (1 + np.sqrt(1 + 4 * turn * turn)) / 2
+        r, v, turn = then, then + (turn - 1) / after * (then - r), after
+    assert np.abs(np.ones(len(p)) - rate).max() > 0.1 and np.abs(r - rate).max() < 1e-3
     assert len(mixing.mix(odd(spark), labels).collect()) == len(ODD)
     some = labels.limit(0).unionByName(spark.createDataFrame([(1, 1, 0), (1, 0, 1), (2, None, None), (None, 1, 0), (3, 1, None)], labels.schema), allowMissingColumns=True)
     assert mixing.labelled(some).collect() == [(1, 2)]  # toxic before the rest; rows without an id or both labels go
