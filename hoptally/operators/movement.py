@@ -176,10 +176,18 @@ def sync_listing(listing: DataFrame, paths: DataFrame | None = None) -> DataFram
     return rows.withColumn("below", relative())
 
 
-def sync_plan(source: DataFrame, target: DataFrame, overwrite: bool = False, update: bool = False) -> DataFrame:
-    """below, length and action (copy, skip or conflict) of every source row (below, is_dir, length, checksum)."""
-    have = target.select("below", F.col("is_dir").alias("t_dir"), F.col("length").alias("t_length"), F.col("checksum").alias("t_sum"), F.lit(True).alias("there"))
-    differs = (F.col("length") != F.col("t_length")) | ~F.col("checksum").eqNullSafe(F.col("t_sum"))
+def sync_plan(source: DataFrame, target: DataFrame, overwrite: bool = False, update: bool = False, preserve_blocks: bool = False, skip_checksums: bool = False) -> DataFrame:
+    """below, length and action (copy, skip or conflict) of every source row (below, is_dir, length, checksum).
+
+    What is there is copied again with overwrite, or with update if it differs in length, in checksum (unless skip_checksums), or, where
+    preserve_blocks asks for the source's, in block_size, which both sides then have."""
+    more = [F.col("block_size").alias("t_block")] if preserve_blocks else []
+    have = target.select("below", F.col("is_dir").alias("t_dir"), F.col("length").alias("t_length"), F.col("checksum").alias("t_sum"), F.lit(True).alias("there"), *more)
+    differs = F.col("length") != F.col("t_length")
+    if not skip_checksums:
+        differs = differs | ~F.col("checksum").eqNullSafe(F.col("t_sum"))
+    if preserve_blocks:
+        differs = differs | ~F.col("block_size").eqNullSafe(F.col("t_block"))
     again = F.lit(overwrite) | (F.lit(update) & differs)
     action = F.when(F.col("there").isNull(), "copy").when(F.col("is_dir") != F.col("t_dir"), "conflict").when(F.col("is_dir"), "skip").when(again, "copy").otherwise("skip")
     return source.join(have, "below", "left").select("below", "length", action.alias("action"))

@@ -739,6 +739,15 @@ def _(spark, d):
     return movement.sync_plan(*_sync_sides(spark, d), update=True)
 
 
+@_query("sync_plan_blocks", _lsql("""SELECT a.below, a.length, CASE WHEN b.below IS NULL THEN 'copy' WHEN td THEN 'conflict' WHEN a.length <> tl OR a.length % 3 = 0 THEN 'copy' ELSE 'skip' END AS action
+FROM a LEFT JOIN b ON a.below = b.below""", _SYNC))
+def _(spark, d):
+    """Block sizes are to be the source's, whatever the checksums: those of every third length differ."""
+    source, target = _sync_sides(spark, d)
+    blocks = F.when(F.col("length") % 3 == 0, 64).otherwise(128)
+    return movement.sync_plan(source.withColumn("block_size", blocks), target.withColumn("block_size", F.lit(128)), update=True, preserve_blocks=True, skip_checksums=True)
+
+
 @_query("copy_summary", _lsql("SELECT action, count(*) paths, sum(length)::BIGINT bytes FROM pl GROUP BY action", _SYNC))
 def _(spark, d):
     return movement.copy_summary(movement.sync_plan(*_sync_sides(spark, d), update=True))
