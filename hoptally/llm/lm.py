@@ -37,6 +37,8 @@ WIDTH, TAILS = 8, 256
 #: Rows of weights: one to so many distinct words, within bounds; rows that travel together.
 WORDS_A_ROW, LEAST_ROWS, MOST_ROWS, SHARE = 8, 1 << 13, 1 << 21, 256
 ROUNDS, STEP, RATE = 2, 4096, 0.4
+#: Tokens that are scored at once.
+SCORED = 1 << 15
 #: Features by how deep a class is, as rows of history: all four at the root, the last word and the word before it at all levels below.
 FEATURES = ((0, 1, 2, 3), (0, 2))
 #: Bytes of text that a task works on at once.
@@ -199,11 +201,11 @@ def _levels(v: Vocabulary, weights: np.ndarray, leaf: np.ndarray, past: np.ndarr
 def log_prob(weights: np.ndarray, v: Vocabulary, b: Batch) -> np.ndarray:
     """Of each token, ln of the chance of its leaf."""
     out, past, leaf = np.zeros(len(b.code)), history(b), v.leaf.take(b.code)
-    for low in range(0, len(leaf), STEP):
-        part = slice(low, low + STEP)
+    for low in range(0, len(leaf), SCORED):
+        part = slice(low, low + SCORED)
         sums = out[part]
         for some, _, at, z, e in _levels(v, weights, leaf[part], past[:, part]):
-            found = z.ravel().take(at) - np.log(e @ _ONES)
+            found = z.reshape(-1).take(at) - np.log(e @ _ONES)
             if some is None:
                 sums += found
             else:
