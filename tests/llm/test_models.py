@@ -138,7 +138,7 @@ def test_lm_score_against_plain_steps(spark, docs, monkeypatch):
             for level in range(v.depth[leaf]):
                 node = int(v.node[level][leaf])
                 z = v.bias[node].astype(float)
-                for j in lm.FEATURES[min(level, 2)]:
+                for j in lm.FEATURES[min(level, len(lm.FEATURES) - 1)]:
                     x = (features[j] + node * salt) * odd & top
                     x = (x ^ x >> 32) * salt & top
                     z = z + weights[x >> (64 - bits)]
