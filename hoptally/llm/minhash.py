@@ -8,9 +8,10 @@ shingle of least hash, and short texts have some of shorter shingles too. Texts
 (1 - edit distance / words of the longer >= SIMILARITY). Classes are the connected components of verified links.
 
 Copies of a text count once. Within a sketch's bucket the texts are first compared with the one that may be near the most
-others; then all of them that aren't in one class yet are compared with each other, in chunks, so that the classes are those
-of all pairs that share a sketch. Pairs are aligned only if their lengths and outlines (bags of words, of long texts
-signatures) let them be near; outlines are compared where the texts of a bucket meet, and no other pair leaves that place.
+others, then each with the one of another class that is likeliest near it; then all of them that aren't in one class yet are compared
+with each other, in chunks, so that the classes are those of all pairs that share a sketch. Pairs are aligned only if their lengths and
+outlines (bags of words, of long texts signatures too) let them be near; outlines are compared where the texts of a bucket meet, no other
+pair leaves that place, and of the buckets that a pair shares it leaves the first alone.
 """
 
 from __future__ import annotations
@@ -32,12 +33,12 @@ SKETCHES = 24
 SINGLES = 40
 #: Texts of so many words at most also have sketches of one shingle of fewer words: a few edits leave none of SHINGLE words.
 SHORT, SHORT_SHINGLE, SHORT_SINGLES = 40, 2, 16
-#: Cells of a text's bag of words and bytes of its signature, members of a bucket that meet at once, pairs of them that are looked at at once, and bits by which
+#: Cells of a text's bag of words and bytes of its signature, cells of a long text's bag (a multiple of BAG), members of a bucket that meet at once, pairs of them that are looked at at once, and bits by which
 #: texts are picked.
-BAG, CHUNK, PAIRS, BITS = 256, 4096, 400_000, 1 << 22
+BAG, WIDE, CHUNK, PAIRS, BITS = 256, 512, 4096, 400_000, 1 << 22
 #: Chunks of a bucket beyond which they are made by length, so that each meets those of near lengths alone.
 BANDED = 3
-#: Words from which on a text has a signature instead of a bag, and the share of its bytes that have to agree (0.43 is expected at SIMILARITY).
+#: Words from which on a text has a signature and a bag of WIDE cells, and the share of its bytes that have to agree (0.43 is expected at SIMILARITY).
 LONG, AGREE = 400, 0.26
 
 _ODD = mixed(np.arange(1, max(SKETCHES, SINGLES, SHORT_SINGLES) + 1, dtype=np.uint64)) | np.uint64(1)
@@ -202,16 +203,16 @@ def _sketched(keyed: DataFrame) -> DataFrame:
 _SKETCHED = ["id", "of", "h", "g", "n", "bag", "keys"]
 
 
-def bags(texts: pa.Array) -> list[bytes]:
-    """Of each text how many of its words fall in each of BAG cells (255 at most).
+def bags(texts: pa.Array, cells: int = BAG) -> list[bytes]:
+    """Of each text how many of its words fall in each of so many cells (255 at most).
 
-    An edit changes two cells by one at most, so texts whose bags differ by more than twice an edit distance are
-    further apart than that: the comparison drops pairs, but never a near one."""
+    An edit changes two cells by one at most, and takes one word away or adds one, so texts whose bags and lengths differ by more than
+    twice an edit distance together are further apart than that: the comparison drops pairs, but never a near one."""
     w = words_of(texts)
     coded = w.array.dictionary_encode()
     kinds = coded.dictionary.to_pylist()
-    cell = np.fromiter((xxhash.xxh3_64_intdigest(x) % BAG for x in kinds), np.int64, len(kinds))[coded.indices.to_numpy(zero_copy_only=False)]
-    got = np.bincount(w.text_of * BAG + cell, minlength=len(texts) * BAG).reshape(len(texts), BAG)
+    cell = np.fromiter((xxhash.xxh3_64_intdigest(x) % cells for x in kinds), np.int64, len(kinds))[coded.indices.to_numpy(zero_copy_only=False)]
+    got = np.bincount(w.text_of * cells + cell, minlength=len(texts) * cells).reshape(len(texts), cells)
     return [x.tobytes() for x in np.minimum(got, 255).astype(np.uint8)]
 
 
@@ -229,29 +230,59 @@ def signatures(texts: pa.Array) -> list[bytes]:
 
 
 def outlines(texts: pa.Array, n: np.ndarray) -> pa.Array:
-    """bags of texts of fewer than LONG words, whose cells would be all alike for longer ones, and signatures of the others."""
+    """bags of texts of fewer than LONG words; of the others, whose words fill BAG cells much alike, signatures and bags of WIDE cells."""
     long = n >= LONG
     out = np.empty(len(texts), object)
-    for some, made in ((~long, bags), (long, signatures)):
-        out[some] = made(texts.filter(pa.array(some)))
+    few, many = (texts.filter(pa.array(x)) for x in (~long, long))
+    out[~long] = bags(few)
+    out[long] = [x + y for x, y in zip(signatures(many), bags(many, WIDE), strict=True)]
     return pa.array(out.tolist(), pa.binary())
 
 
+def _matrix(bag: pa.ChunkedArray, n: np.ndarray) -> np.ndarray:
+    """The outlines of texts of n words, a row each."""
+    raw, long = bag.to_pylist(), n >= LONG
+    out = np.zeros((len(n), BAG + WIDE * bool(long.any())), np.uint8)
+    for some, width in ((~long, BAG), (long, BAG + WIDE)):
+        at = np.flatnonzero(some)
+        if len(at):
+            out[at, :width] = np.frombuffer(b"".join([raw[k] for k in at]), np.uint8).reshape(-1, width)
+    return out
+
+
+def apart(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Half of what the bags of outlines x, y of texts of n and m words differ by, and their lengths: their edit distance at least."""
+    out = np.abs(n - m)
+    long, other = n >= LONG, m >= LONG
+    for some, wide in ((~long & ~other, False), (long & other, True)):
+        at = np.flatnonzero(some)
+        a, b = (z[at, BAG:] if wide else z[at, :BAG] for z in (x, y))
+        out[at] += np.abs(a.astype(np.int16) - b).sum(1)
+    for some, a, b in ((long & ~other, x, y), (~long & other, y, x)):  # cells of the wide bag that fall in one of the other
+        at = np.flatnonzero(some)
+        if len(at):
+            folded = np.minimum(a[at, BAG:].reshape(-1, WIDE // BAG, BAG).sum(1, dtype=np.int16), 255)
+            out[at] += np.abs(folded - b[at, :BAG]).sum(1)
+    return out / 2
+
+
 def could_be(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Which pairs of outlines x, y of texts of n and m words may be those of near copies. Bags never rule out such a pair; signatures
-    do in one of a hundred thousand at SIMILARITY itself, if each edit stands alone. A bag and a signature rule out nothing."""
+    do in one of a hundred thousand at SIMILARITY itself, if each edit stands alone."""
     most = np.floor((1 - SIMILARITY) * np.maximum(n, m) + 1e-9)
-    fits = (n >= LONG) != (m >= LONG)
-    long, short = np.flatnonzero((n >= LONG) & (m >= LONG)), np.flatnonzero((n < LONG) & (m < LONG))
-    fits[short] = np.abs(x[short].astype(np.int16) - y[short]).sum(1) <= 2 * most[short]
-    some = (x[long] != 255) | (y[long] != 255)
-    fits[long] = ((x[long] == y[long]) & some).sum(1) >= AGREE * some.sum(1)
+    fits = np.ones(len(n), bool)
+    long = np.flatnonzero((n >= LONG) & (m >= LONG))
+    some = (x[long, :BAG] != 255) | (y[long, :BAG] != 255)
+    fits[long] = ((x[long, :BAG] == y[long, :BAG]) & some).sum(1) >= AGREE * some.sum(1)
+    left = np.flatnonzero(fits)
+    fits[left] = apart(x[left], y[left], n[left], m[left]) <= most[left]
     return fits
 
 
-def _among(members: DataFrame, parts: int, star: bool) -> DataFrame:
-    """Pairs (a, b) of bucket members (key, id, n, class, size, bag) of different classes that may be near copies by their lengths and outlines;
-    star: of each group only those of the member that has most.
+def _among(members: DataFrame, parts: int, only: str = "") -> DataFrame:
+    """Pairs (a, b) of bucket members (key, before, id, n, class, size, bag) of different classes that may be near copies by their lengths and
+    outlines, but for those that share a bucket of before; only: "hub", of each group those of the member that has most; "likeliest", the
+    likeliest pair of each member.
 
     Members are dealt to chunks, and the chunks of a bucket meet in pairs, each in one place, that only what may be near leaves. The
     chunks of large buckets are of one band of lengths, and meet those of the same band and the next ones: texts further apart in length
@@ -264,13 +295,13 @@ def _among(members: DataFrame, parts: int, star: bool) -> DataFrame:
     beside = bands.select("key", F.col("band").alias("from"), F.explode(F.expr("transform(sequence(0L, chunks - 1), x -> shiftleft(band, 20) + x)")).alias("other"))
     beside = beside.withColumn("band", F.explode(F.expr("sequence(from - 1, from + 1)"))).groupBy("key", "band").agg(F.collect_list("other").alias("others"))  # a number a chunk
     many = many.join(bands.join(beside, ["key", "band"]), ["key", "band"]).withColumn("chunk", F.expr("shiftleft(band, 20) + pmod(hash(id), chunks)")).withColumn("other", F.explode("others"))
-    cols = ["key", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "id", "n", "class", "bag"]
+    cols = ["key", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "id", "n", "class", "bag", "before"]
     dealt = few.select(*cols).unionByName(many.select(*cols))
     dealt = dealt.repartition(parts, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
 
     def near(held: pa.Table) -> pa.RecordBatch:
         key, lo, hi, chunk, ids, n, cls = (held.column(c).to_numpy() for c in ("key", "lo", "hi", "chunk", "id", "n", "class"))
-        bag = np.frombuffer(b"".join(held.column("bag").to_pylist()), np.uint8).reshape(-1, BAG)
+        bag = _matrix(held.column("bag"), n)
         new = np.ones(len(ids), bool)
         new[1:] = (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
         group = np.cumsum(new) - 1
@@ -288,7 +319,18 @@ def _among(members: DataFrame, parts: int, star: bool) -> DataFrame:
                 out.append(np.stack([x[fits], y[fits]]))
             at = stop
         i, j = np.concatenate(out, axis=1)
-        if star:
+        if only != "hub" and len(i):
+            before = held.column("before")
+            known = {r: frozenset(before[r].as_py()) for r in np.unique(np.concatenate([i, j])).tolist()}
+            here = np.fromiter((known[x].isdisjoint(known[y]) for x, y in zip(i.tolist(), j.tolist(), strict=True)), bool, len(i))
+            i, j = i[here], j[here]
+        if only == "likeliest":
+            score = np.concatenate([apart(bag[x], bag[y], n[x], n[y]) / np.maximum(n[x], n[y]) for x, y in ((i[k : k + 65_536], j[k : k + 65_536]) for k in range(0, max(len(i), 1), 65_536))])
+            row = np.concatenate([i, j])
+            order = np.lexsort((np.tile(score, 2), row))
+            best = np.unique(order[np.append(True, np.diff(row[order]) != 0)] % len(i)) if len(i) else i
+            i, j = i[best], j[best]
+        if only == "hub":
             degree = np.bincount(i, minlength=len(ids)) + np.bincount(j, minlength=len(ids))
             order = np.lexsort((-ids, degree, group))  # of each group the last: most pairs, then the least id
             best = order[np.append(np.flatnonzero(np.diff(group[order])), len(order) - 1)][group] if len(order) else order
@@ -361,16 +403,22 @@ def links(docs: DataFrame) -> DataFrame:
     rows = alone.where("n > 0").select("id", "n", F.explode("keys").alias("key"))
     rows = written(rows.join(written(rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")), "key"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # at first each text only meets the one of its bucket that may be near the most others
-    first = written(_among(rows.withColumn("class", F.col("id")).join(bag, "id"), parts, True))
-    near = _verified(first, texts)
-    # whatever shares a bucket and isn't in one class yet is compared too, so that the classes are those of all pairs that share a sketch
-    of = written(components(near.unionByName(exact), docs.sparkSession))
-    rows = rows.join(of.withColumnRenamed("node", "id"), "id", "left").withColumn("class", F.coalesce("component", "id")).drop("component")
-    open_ = written(rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key"))
-    rest = written(_among(rows.join(open_, "key").join(bag, "id"), parts, False).join(first, ["a", "b"], "left_anti"))
-    star = of.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))  # all links so far, in as few
-    return star.unionByName(_verified(rest, texts))
+    # at first each text only meets the one of its bucket that may be near the most others, then its likeliest partner of another class
+    nothing = F.array().cast("array<long>")
+    pairs = written(_among(rows.withColumns({"class": F.col("id"), "before": nothing}).join(bag, "id"), parts, "hub"))
+    done, star = pairs, exact
+    # in the end whatever shares a bucket and isn't in one class yet is compared, so that the classes are those of all pairs that share a sketch
+    for only in ("likeliest", ""):
+        of = written(components(star.unionByName(_verified(pairs, texts)), docs.sparkSession))
+        star = of.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))  # all links so far, in as few
+        rows = rows.select("id", "n", "key", "size").join(of.withColumnRenamed("node", "id"), "id", "left").withColumn("class", F.coalesce("component", "id")).drop("component")
+        open_ = written(rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key"))
+        rows = written(rows.join(open_, "key"))
+        keys = rows.groupBy("id").agg(F.collect_list("key").alias("keys"))  # as many as a text has sketches at most
+        members = rows.join(keys.join(bag, "id"), "id").withColumn("before", F.expr("filter(keys, x -> x < key)")).drop("keys")
+        pairs = written(_among(members, parts, only).join(done, ["a", "b"], "left_anti"))
+        done = done.unionByName(pairs)
+    return star.unionByName(_verified(pairs, texts))
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:

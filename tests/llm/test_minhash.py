@@ -218,3 +218,50 @@ def test_chunks_by_length_lose_nothing(spark, monkeypatch):
         found.append(sorted(map(tuple, minhash.near_dedup(docs).collect())))
     assert found[0] == found[1] == found[2] == found[3]
     assert len({r for r in found[0]}) == len(rows)
+
+
+def test_outlines_around_the_length_of_signatures():
+    """Texts of just under and over LONG words: near pairs pass, and those that only share a core of 70 % don't."""
+    rng = random.Random(13)
+    words = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    near, far = [], []
+    for _ in range(60):
+        base = words(rng.randrange(330, 480))
+        other = list(base)
+        for _ in range(len(base) // 6):
+            k = rng.randrange(len(other))
+            other[k : k + rng.randrange(2)] = words(rng.randrange(2))
+        near.append((base, other))
+        far.append((base[:280] + words(rng.choice([110, 130])), base[:280] + words(rng.choice([110, 130]))))
+    for pairs, least, most in ((near, 1, 1), (far, 0, 0.3)):
+        n, m = (np.array([len(x) for x in side]) for side in zip(*pairs, strict=True))
+        x, y = (minhash._matrix(minhash.outlines(pa.array([" ".join(t) for t in side]), k), k) for side, k in zip(zip(*pairs, strict=True), (n, m), strict=True))
+        assert ((n >= minhash.LONG) != (m >= minhash.LONG)).any()
+        assert least <= minhash.could_be(x, y, n, m).mean() <= most
+    assert all(minhash.alike(" ".join(a), " ".join(b)) for a, b in near)
+
+
+def test_a_pair_leaves_one_bucket(spark, monkeypatch):
+    """Versions near an original but not near each other share many buckets: each pair is met in one of them, and none is lost."""
+    rng = random.Random(14)
+    base = text(rng, 150)
+    rows = []
+    for k in range(30):
+        at = set(rng.sample(range(150), 20))
+        rows.append((k, " ".join(f"v{rng.randint(0, 9**8)}" if j in at else w for j, w in enumerate(base))))
+    texts = pa.array([t for _, t in rows])
+    keys, has, n = minhash.keys_of(texts)
+    held = [sorted(keys[k][has[k]].astype(np.int64).tolist()) for k in range(30)]
+    bag = minhash.outlines(texts, n).to_pylist()
+    share = {(b, a) for a in range(30) for b in range(a + 1, 30) if set(held[a]) & set(held[b])}
+    size = lambda key: sum(key in h for h in held)
+    rows = [(key, [x for x in held[k] if x < key], k, int(n[k]), k, size(key), bag[k]) for k in range(30) for key in held[k]]
+    members = spark.createDataFrame(rows, "key long, before array<long>, id long, n long, class long, size long, bag binary")
+    made = []
+    monkeypatch.setattr(minhash, "map_arrow", lambda df, run, schema: made.append(df.mapInArrow(run, schema)) or made[-1])
+    got = sorted(map(tuple, minhash._among(members, 4).collect()))
+    assert made[0].count() == len(got)  # not once a bucket
+    outlines = minhash._matrix(pa.chunked_array([pa.array(bag)]), n)
+    could = {(b, a) for b, a in share if minhash.could_be(outlines[[a]], outlines[[b]], n[[a]], n[[b]])[0]}
+    assert set(got) == could
+    assert len(got) > 50
