@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +34,9 @@ SKETCHES = 24
 SINGLES = 40
 #: Texts of so many words at most also have sketches of one shingle of fewer words: a few edits leave none of SHINGLE words.
 SHORT, SHORT_SHINGLE, SHORT_SINGLES = 40, 2, 16
-#: Cells of a text's bag of words and bytes of its signature, cells of a long text's bag (a multiple of BAG), members of a bucket that meet at once, pairs of them that are looked at at once, and bits by which
-#: texts are picked.
-BAG, WIDE, CHUNK, PAIRS, BITS = 256, 512, 4096, 400_000, 1 << 22
+#: Cells of a text's bag of words and bytes of its signature, cells of a long text's bag (a multiple of BAG), members of a bucket that meet at once, pairs of them that are looked at at once, pairs whose outlines
+#: are compared at once (their copies take 3 KB a pair at most), and bits by which texts are picked.
+BAG, WIDE, CHUNK, PAIRS, COMPARED, BITS = 256, 512, 4096, 1 << 16, 4096, 1 << 22
 #: Chunks of a bucket beyond which they are made by length, so that each meets those of near lengths alone.
 BANDED = 3
 #: Words from which on a text has a signature and a bag of WIDE cells, and the share of its bytes that have to agree (0.43 is expected at SIMILARITY).
@@ -43,34 +44,70 @@ LONG, AGREE = 400, 0.26
 
 _ODD = mixed(np.arange(1, max(SKETCHES, SINGLES, SHORT_SINGLES) + 1, dtype=np.uint64)) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Words of at most so many bytes are hashed at once, and the first 0 to 8 of eight bytes.
+WORD = 64
+_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
-def shingles(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Occurrence-labelled shingle hashes of all texts in text order, where each text's begin, and words of each text.
+@dataclass
+class Hashed:
+    """A hash of each word of some texts, and of each text its first word (and the end)."""
 
-    A text of fewer than width words has one shingle of all its words; one without words has none."""
+    word: np.ndarray
+    first: np.ndarray
+
+    @property
+    def counts(self) -> np.ndarray:
+        return np.diff(self.first)
+
+    def only(self, some: np.ndarray) -> Hashed:
+        """Of these texts alone."""
+        counts = self.counts
+        return Hashed(self.word[np.repeat(some, counts)], np.concatenate([[0], np.cumsum(counts[some])]))
+
+
+def hashed(texts: pa.Array) -> Hashed:
+    """Words are hashed eight bytes at a time, those of over WORD bytes one by one."""
     w = words_of(texts)
-    coded = w.array.dictionary_encode()
-    kinds = coded.dictionary.to_pylist()
-    word = mixed(np.fromiter((xxhash.xxh3_64_intdigest(x) for x in kinds), np.uint64, len(kinds)))[coded.indices.to_numpy(zero_copy_only=False)]
-    counts = w.counts
+    at = np.frombuffer(w.array.buffers()[1], np.int64)[: len(w.array) + 1]
+    data = np.concatenate([np.frombuffer(w.array.buffers()[2], np.uint8), np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    start, size = at[:-1], np.diff(at)
+    out = size.astype(np.uint64)
+    for k in range(0, min(int(size.max(initial=0)), WORD), 8):
+        some = np.flatnonzero(size > k)
+        x = eight[start[some] + k] & _BYTES[np.minimum(size[some] - k, 8)]
+        out[some] = mixed(out[some] * np.uint64(0xD6E8FEB86659FD93) + x)
+    for k in np.flatnonzero(size > WORD).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(data[at[k] : at[k + 1]])
+    return Hashed(mixed(out), w.first)
+
+
+def shingles(words: Hashed, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrence-labelled shingle hashes of all texts in text order, and where each text's begin.
+
+    A text of fewer than width words has one shingle of all its words; one without words has none."""
+    word, counts = words.word, words.counts
     size = np.where(counts > 0, np.maximum(counts - width + 1, 1), 0)
     at = np.concatenate([[0], np.cumsum(size)])
     text = np.repeat(np.arange(len(counts)), size)
-    begin = w.first[:-1][text] + np.arange(at[-1]) - at[:-1][text]
-    stop = w.first[1:][text]
+    begin = words.first[:-1][text] + np.arange(at[-1]) - at[:-1][text]
+    stop = words.first[1:][text]
     out = np.zeros(len(text), np.uint64)
     for k in range(width):
         inside = begin + k < stop
         out = mixed(out * np.uint64(0xD6E8FEB86659FD93) + np.where(inside, word[np.minimum(begin + k, max(len(word) - 1, 0))], np.uint64(k)))
     own = mixed(out + text.astype(np.uint64) * _STEP)  # the same only for the same shingle of the same text
-    order = np.argsort(own, kind="stable")
-    first = np.ones(len(own), bool)
+    order = np.argsort(own)
+    same = own[order][1:] == own[order][:-1]
+    again = np.sort(order[np.append(same, False) | np.append(False, same)]) if len(own) else order  # most stand once
+    order = again[np.argsort(own[again], kind="stable")]
+    first = np.ones(len(order), bool)
     first[1:] = own[order][1:] != own[order][:-1]
-    lead = np.maximum.accumulate(np.where(first, np.arange(len(own)), 0)) if len(own) else order
-    occurrence = np.empty(len(own), np.uint64)
-    occurrence[order] = (np.arange(len(own)) - lead).astype(np.uint64)
-    return mixed(out + occurrence * _STEP), at, counts
+    lead = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0)) if len(order) else order
+    occurrence = np.zeros(len(own), np.uint64)
+    occurrence[order] = (np.arange(len(order)) - lead).astype(np.uint64)
+    return mixed(out + occurrence * _STEP), at
 
 
 def sketches(labelled: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -101,16 +138,16 @@ def singles(labelled: np.ndarray, at: np.ndarray, many: int) -> np.ndarray:
     return np.stack([mixed(np.minimum.reduceat(labelled * _ODD[k], starts)) if len(starts) else np.zeros(0, np.uint64) for k in range(many)], 1)
 
 
-def keys_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The keys of each text, a column a sketch; which of them it has; and words of each text."""
-    labelled, at, counts = shingles(texts)
+def keys_of(texts: pa.Array, words: Hashed | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys of each text, a column a sketch; which of them it has; and words of each text. words: those of the texts, if known."""
+    words = words or hashed(texts)
+    (labelled, at), counts = shingles(words), words.counts
     some, short = counts > 0, (counts > 0) & (counts <= SHORT)
     kinds = SKETCHES, SINGLES, SHORT_SINGLES
     keys = np.zeros((len(counts), sum(kinds)), np.uint64)
     keys[some, :SKETCHES] = sketches(labelled, at)
     keys[some, SKETCHES:-SHORT_SINGLES] = singles(labelled, at, SINGLES)
-    few = texts.filter(pa.array(short))
-    keys[short, -SHORT_SINGLES:] = singles(*shingles(few, SHORT_SHINGLE)[:2], SHORT_SINGLES)
+    keys[short, -SHORT_SINGLES:] = singles(*shingles(words.only(short), SHORT_SHINGLE), SHORT_SINGLES)
     has = np.stack([some] * (SKETCHES + SINGLES) + [short] * SHORT_SINGLES, 1)
     return mixed(keys + np.arange(1, sum(kinds) + 1, dtype=np.uint64) * _STEP), has, counts
 
@@ -190,10 +227,11 @@ def _sketched(keyed: DataFrame) -> DataFrame:
             copies = pa.array(ids[order][~first]), pa.array(ids[lead][~first])
             one = np.sort(order[first])
             texts = batch.column("text").take(pa.array(one))
-            keys, has, counts = keys_of(texts)
+            words = hashed(texts)
+            keys, has, counts = keys_of(texts, words)
             held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], has.sum(1).cumsum()]).astype(np.int32)), pa.array(keys[has].astype(np.int64)))
             none = pa.nulls(len(one), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(ids[one]), none, pa.array(h[one]), pa.array(g[one]), pa.array(counts.astype(np.int64)), outlines(texts, counts), held], _SKETCHED)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[one]), none, pa.array(h[one]), pa.array(g[one]), pa.array(counts.astype(np.int64)), outlines(texts, counts, words), held], _SKETCHED)
             none = [pa.nulls(len(copies[0]), t) for t in (*[pa.int64()] * 3, pa.binary(), pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*copies, *none], _SKETCHED)
 
@@ -203,37 +241,37 @@ def _sketched(keyed: DataFrame) -> DataFrame:
 _SKETCHED = ["id", "of", "h", "g", "n", "bag", "keys"]
 
 
-def bags(texts: pa.Array, cells: int = BAG) -> list[bytes]:
+def bags(texts: pa.Array | Hashed, cells: int = BAG) -> list[bytes]:
     """Of each text how many of its words fall in each of so many cells (255 at most).
 
     An edit changes two cells by one at most, and takes one word away or adds one, so texts whose bags and lengths differ by more than
     twice an edit distance together are further apart than that: the comparison drops pairs, but never a near one."""
-    w = words_of(texts)
-    coded = w.array.dictionary_encode()
-    kinds = coded.dictionary.to_pylist()
-    cell = np.fromiter((xxhash.xxh3_64_intdigest(x) % cells for x in kinds), np.int64, len(kinds))[coded.indices.to_numpy(zero_copy_only=False)]
-    got = np.bincount(w.text_of * cells + cell, minlength=len(texts) * cells).reshape(len(texts), cells)
+    words = texts if isinstance(texts, Hashed) else hashed(texts)
+    many, cell = len(words.counts), (words.word % np.uint64(cells)).astype(np.int64)
+    got = np.bincount(np.repeat(np.arange(many) * cells, words.counts) + cell, minlength=many * cells).reshape(many, cells)
     return [x.tobytes() for x in np.minimum(got, 255).astype(np.uint8)]
 
 
-def signatures(texts: pa.Array) -> list[bytes]:
+def signatures(words: Hashed) -> list[bytes]:
     """Of each text the least hash of its occurrence-labelled pairs of words in each of BAG parts of the hashes, a byte each (255: none).
 
     An edit takes two pairs away and adds two at most, so texts at SIMILARITY share three sevenths of all their pairs at least, and
     about as many bytes; texts that have nothing but a language in common share few."""
-    labelled, at, _ = shingles(texts, 2)
-    text = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    out = np.full(len(texts) * BAG, 2**64 - 1, np.uint64)
+    labelled, at = shingles(words, 2)
+    many = len(at) - 1
+    text = np.repeat(np.arange(many), np.diff(at))
+    out = np.full(many * BAG, 2**64 - 1, np.uint64)
     np.minimum.at(out, text * BAG + (labelled % np.uint64(BAG)).astype(np.int64), labelled >> np.uint64(8))
     byte = np.where(out == np.uint64(2**64 - 1), np.uint64(255), out % np.uint64(255)).astype(np.uint8)
-    return [x.tobytes() for x in byte.reshape(len(texts), BAG)]
+    return [x.tobytes() for x in byte.reshape(many, BAG)]
 
 
-def outlines(texts: pa.Array, n: np.ndarray) -> pa.Array:
-    """bags of texts of fewer than LONG words; of the others, whose words fill BAG cells much alike, signatures and bags of WIDE cells."""
-    long = n >= LONG
+def outlines(texts: pa.Array, n: np.ndarray, words: Hashed | None = None) -> pa.Array:
+    """bags of texts of fewer than LONG words; of the others, whose words fill BAG cells much alike, signatures and bags of WIDE cells.
+    words: those of the texts, if known."""
+    long, words = n >= LONG, words or hashed(texts)
     out = np.empty(len(texts), object)
-    few, many = (texts.filter(pa.array(x)) for x in (~long, long))
+    few, many = words.only(~long), words.only(long)
     out[~long] = bags(few)
     out[long] = [x + y for x, y in zip(signatures(many), bags(many, WIDE), strict=True)]
     return pa.array(out.tolist(), pa.binary())
@@ -250,6 +288,14 @@ def _matrix(bag: pa.ChunkedArray, n: np.ndarray) -> np.ndarray:
     return out
 
 
+def _sums(rows: np.ndarray) -> np.ndarray:
+    """The sum of each row of bytes (a multiple of 8, 2048 at most), in lanes of 16 bits."""
+    x = np.ascontiguousarray(rows).view(np.uint64)
+    low = np.uint64(0x00FF00FF00FF00FF)
+    x = ((x & low) + (x >> np.uint64(8) & low)).sum(1)
+    return sum((x >> np.uint64(k) & np.uint64(0xFFFF)).astype(np.int64) for k in (0, 16, 32, 48))
+
+
 def apart(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Half of what the bags of outlines x, y of texts of n and m words differ by, and their lengths: their edit distance at least."""
     out = np.abs(n - m)
@@ -257,12 +303,12 @@ def apart(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndar
     for some, wide in ((~long & ~other, False), (long & other, True)):
         at = np.flatnonzero(some)
         a, b = (z[at, BAG:] if wide else z[at, :BAG] for z in (x, y))
-        out[at] += np.abs(a.astype(np.int16) - b).sum(1)
+        out[at] += _sums(np.maximum(a, b) - np.minimum(a, b))
     for some, a, b in ((long & ~other, x, y), (~long & other, y, x)):  # cells of the wide bag that fall in one of the other
         at = np.flatnonzero(some)
         if len(at):
-            folded = np.minimum(a[at, BAG:].reshape(-1, WIDE // BAG, BAG).sum(1, dtype=np.int16), 255)
-            out[at] += np.abs(folded - b[at, :BAG]).sum(1)
+            folded = np.minimum(a[at, BAG:].reshape(-1, WIDE // BAG, BAG).sum(1, dtype=np.int16), 255).astype(np.uint8)
+            out[at] += _sums(np.maximum(folded, b[at, :BAG]) - np.minimum(folded, b[at, :BAG]))
     return out / 2
 
 
@@ -273,12 +319,28 @@ def could_be(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.n
     fits = np.ones(len(n), bool)
     long = np.flatnonzero((n >= LONG) & (m >= LONG))
     some = (x[long, :BAG] != 255) | (y[long, :BAG] != 255)
-    fits[long] = ((x[long, :BAG] == y[long, :BAG]) & some).sum(1) >= AGREE * some.sum(1)
+    fits[long] = _sums(((x[long, :BAG] == y[long, :BAG]) & some).view(np.uint8)) >= AGREE * _sums(some.view(np.uint8))
     left = np.flatnonzero(fits)
     fits[left] = apart(x[left], y[left], n[left], m[left]) <= most[left]
     return fits
 
 
+def _band(n: F.Column) -> F.Column:
+    """By length, so that near copies are in one band or in bands that follow each other."""
+    return F.floor(F.log(n.cast("double")) / -np.log(SIMILARITY) + 1e-9).cast("int")
+
+
+def _with_near_lengths(rows: DataFrame) -> DataFrame:
+    """The rows (id, n, key) with the size of their key's bucket, but for those of which no other of the bucket is near in length: exactly so of
+    two, by the bands that are there of more."""
+    one, band = F.lit(1).cast("long"), F.least(_band(F.col("n")), F.lit(62))
+    per = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("n").alias("low"), F.max("n").alias("high"), F.bit_or(F.call_function("shiftleft", one, band)).alias("bands"))
+    per = written(per.where((F.col("size") > 1) & ((F.col("size") > 2) | (F.col("low") >= SIMILARITY * F.col("high") - 1e-9))))
+    there = lambda k: F.call_function("shiftright", F.col("bands"), k).bitwiseAND(one) == 1
+    several = F.col("size") > F.bit_count("bands")  # some band has two
+    return rows.join(per, "key").where(several | there(F.least(band + 1, F.lit(63))) | there(F.greatest(band - 1, F.lit(0)))).select("id", "n", "key", "size")
+
+
 def _among(members: DataFrame, parts: int, only: str = "") -> DataFrame:
     """Pairs (a, b) of bucket members (key, before, id, n, class, size, bag) of different classes that may be near copies by their lengths and
     outlines, but for those that share a bucket of before; only: "hub", of each group those of the member that has most; "likeliest", the
@@ -290,7 +352,7 @@ def _among(members: DataFrame, parts: int, only: str = "") -> DataFrame:
     chunks = F.ceil(F.col("size") / CHUNK).cast("long")
     few = members.where(chunks <= BANDED).withColumn("chunks", chunks)
     few = few.withColumn("chunk", F.pmod(F.hash("id"), "chunks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    many = members.where(chunks > BANDED).withColumn("band", F.floor(F.log(F.col("n").cast("double")) / -np.log(SIMILARITY) + 1e-9).cast("long"))
+    many = members.where(chunks > BANDED).withColumn("band", _band(F.col("n")).cast("long"))
     bands = written(many.groupBy("key", "band").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("chunks")))
     beside = bands.select("key", F.col("band").alias("from"), F.explode(F.expr("transform(sequence(0L, chunks - 1), x -> shiftleft(band, 20) + x)")).alias("other"))
     beside = beside.withColumn("band", F.explode(F.expr("sequence(from - 1, from + 1)"))).groupBy("key", "band").agg(F.collect_list("other").alias("others"))  # a number a chunk
@@ -299,45 +361,74 @@ def _among(members: DataFrame, parts: int, only: str = "") -> DataFrame:
     dealt = few.select(*cols).unionByName(many.select(*cols))
     dealt = dealt.repartition(parts, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
 
-    def near(held: pa.Table) -> pa.RecordBatch:
+    def near(held: pa.Table) -> Iterator[pa.RecordBatch]:
         key, lo, hi, chunk, ids, n, cls = (held.column(c).to_numpy() for c in ("key", "lo", "hi", "chunk", "id", "n", "class"))
-        bag = _matrix(held.column("bag"), n)
+        bag, before = _matrix(held.column("bag"), n), held.column("before").combine_chunks()
+        known, known_at = before.values.to_numpy(), before.offsets.to_numpy()
         new = np.ones(len(ids), bool)
         new[1:] = (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
         group = np.cumsum(new) - 1
         after = np.append(np.flatnonzero(new)[1:], len(ids))[group] - np.arange(len(ids)) - 1  # of each row, the rows of its group that follow
-        upto, at, out = np.cumsum(after), 0, [np.zeros((2, 0), np.int64)]
-        while at < len(ids):
-            stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, "right")))
-            i = np.repeat(np.arange(at, stop), after[at:stop])
-            j = np.arange(len(i)) - np.repeat(np.cumsum(after[at:stop]) - after[at:stop], after[at:stop]) + i + 1
+        upto = np.cumsum(after)
+
+        def may_be(i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            """Those of the pairs that may be near, COMPARED looked at at once."""
             keep = (cls[i] != cls[j]) & ((lo[i] == hi[i]) | (chunk[i] != chunk[j])) & (np.minimum(n[i], n[j]) >= SIMILARITY * np.maximum(n[i], n[j]) - 1e-9)
             i, j = i[keep], j[keep]
-            for k in range(0, len(i), 65_536):
-                x, y = i[k : k + 65_536], j[k : k + 65_536]
+            for k in range(0, len(i), COMPARED):
+                x, y = i[k : k + COMPARED], j[k : k + COMPARED]
                 fits = could_be(bag[x], bag[y], n[x], n[y])
-                out.append(np.stack([x[fits], y[fits]]))
-            at = stop
-        i, j = np.concatenate(out, axis=1)
-        if only != "hub" and len(i):
-            before = held.column("before")
-            known = {r: frozenset(before[r].as_py()) for r in np.unique(np.concatenate([i, j])).tolist()}
-            here = np.fromiter((known[x].isdisjoint(known[y]) for x, y in zip(i.tolist(), j.tolist(), strict=True)), bool, len(i))
-            i, j = i[here], j[here]
-        if only == "likeliest":
-            score = np.concatenate([apart(bag[x], bag[y], n[x], n[y]) / np.maximum(n[x], n[y]) for x, y in ((i[k : k + 65_536], j[k : k + 65_536]) for k in range(0, max(len(i), 1), 65_536))])
-            row = np.concatenate([i, j])
-            order = np.lexsort((np.tile(score, 2), row))
-            best = np.unique(order[np.append(True, np.diff(row[order]) != 0)] % len(i)) if len(i) else i
-            i, j = i[best], j[best]
+                if fits.any():
+                    yield x[fits], y[fits]
+
+        def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            at = 0
+            while at < len(ids):
+                stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, "right")))
+                i = np.repeat(np.arange(at, stop), after[at:stop])
+                yield from may_be(i, np.arange(len(i)) - np.repeat(np.cumsum(after[at:stop]) - after[at:stop], after[at:stop]) + i + 1)
+                at = stop
+
+        def here() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            """The pairs that share no bucket of before; those of one row follow each other."""
+            keys_of = lambda r: known[known_at[r] : known_at[r + 1]].tolist()
+            for i, j in pairs():
+                fresh, last, own = np.ones(len(i), bool), -1, frozenset()
+                for k, (a, b) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
+                    if a != last:
+                        last, own = a, frozenset(keys_of(a))
+                    fresh[k] = own.isdisjoint(keys_of(b))
+                yield i[fresh], j[fresh]
+
+        def found(i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+            both = np.unique(np.stack([np.maximum(ids[i], ids[j]), np.minimum(ids[i], ids[j])]), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+
         if only == "hub":
-            degree = np.bincount(i, minlength=len(ids)) + np.bincount(j, minlength=len(ids))
+            degree = np.zeros(len(ids), np.int64)
+            for i, j in pairs():
+                np.add.at(degree, i, 1)
+                np.add.at(degree, j, 1)
             order = np.lexsort((-ids, degree, group))  # of each group the last: most pairs, then the least id
             best = order[np.append(np.flatnonzero(np.diff(group[order])), len(order) - 1)][group] if len(order) else order
-            keep = (i == best[i]) | (j == best[i])
-            i, j = i[keep], j[keep]
-        pairs = np.unique(np.stack([np.maximum(ids[i], ids[j]), np.minimum(ids[i], ids[j])]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+            some = np.flatnonzero((degree > 0) & (best != np.arange(len(ids))))
+            met = list(may_be(some, best[some]))
+            if met:
+                yield found(*np.concatenate(met, axis=1))
+        elif only == "likeliest":
+            least, partner = np.full(len(ids), np.inf), np.full(len(ids), -1)
+            for i, j in here():
+                score = np.tile(apart(bag[i], bag[j], n[i], n[j]) / np.maximum(n[i], n[j]), 2)
+                row, other = np.concatenate([i, j]), np.concatenate([j, i])
+                order = np.lexsort((score, row))
+                first = order[np.append(True, np.diff(row[order]) != 0)] if len(order) else order
+                first = first[score[first] < least[row[first]]]
+                least[row[first]], partner[row[first]] = score[first], other[first]
+            some = np.flatnonzero(partner >= 0)
+            yield found(some, partner[some])
+        else:
+            for i, j in here():
+                yield found(i, j)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -351,11 +442,11 @@ def _among(members: DataFrame, parts: int, only: str = "") -> DataFrame:
             same = np.logical_and.reduce([table.column(c).to_numpy() == x for c, x in zip(("key", "lo", "hi"), last, strict=True)])
             cut = int(np.argmax(same))  # the last group may go on
             if cut:
-                yield near(table.slice(0, cut))
+                yield from near(table.slice(0, cut).combine_chunks())
             held = table.slice(cut).to_batches()
             rows = table.num_rows - cut
         if held:
-            yield near(pa.Table.from_batches(held).combine_chunks())
+            yield from near(pa.Table.from_batches(held).combine_chunks())
 
     return map_arrow(dealt, run, "a long, b long").distinct()
 
@@ -393,19 +484,19 @@ def links(docs: DataFrame) -> DataFrame:
         texts = texts.dropDuplicates(["_id", "_h"])
     found = _sketched(keyed)
     own = found.where("of is null")
-    lead = written(own.join(own.groupBy("h", "g").agg(F.min("id").alias("lead")), ["h", "g"]))
+    lead = own.select("id", "h", "g").join(own.groupBy("h", "g").agg(F.min("id").alias("lead")), ["h", "g"]).where("id <> lead")
+    lead = written(lead)  # copies in other slices; what is wide stays where it was written
     exact = found.where("of is not null").select("id", "of").unionByName(lead.select("id", F.col("lead").alias("of")))
     exact = exact.where("id <> of").select(F.greatest("id", "of").alias("a"), F.least("id", "of").alias("b")).distinct()
-    alone = lead.where("id = lead")
-    bag = alone.select("id", "bag")
+    bag = own.select("id", F.col("n").alias("words"), "bag")  # an id may have several texts: each bag goes with its number of words
     # sums by bucket are written before they are joined: a bucket may hold any share of the texts, and a join that doesn't follow
     # from its own sum's shuffle is one whose large buckets Spark can split
-    rows = alone.where("n > 0").select("id", "n", F.explode("keys").alias("key"))
-    rows = written(rows.join(written(rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")), "key"))
+    rows = own.where("n > 0").join(lead, ["id", "h", "g"], "left_anti").select("id", "n", F.explode("keys").alias("key"))
+    rows = written(_with_near_lengths(rows))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # at first each text only meets the one of its bucket that may be near the most others, then its likeliest partner of another class
     nothing = F.array().cast("array<long>")
-    pairs = written(_among(rows.withColumns({"class": F.col("id"), "before": nothing}).join(bag, "id"), parts, "hub"))
+    pairs = written(_among(rows.withColumns({"class": F.col("id"), "before": nothing}).join(bag, "id").where("n = words"), parts, "hub"))
     done, star = pairs, exact
     # in the end whatever shares a bucket and isn't in one class yet is compared, so that the classes are those of all pairs that share a sketch
     for only in ("likeliest", ""):
@@ -415,7 +506,7 @@ def links(docs: DataFrame) -> DataFrame:
         open_ = written(rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key"))
         rows = written(rows.join(open_, "key"))
         keys = rows.groupBy("id").agg(F.collect_list("key").alias("keys"))  # as many as a text has sketches at most
-        members = rows.join(keys.join(bag, "id"), "id").withColumn("before", F.expr("filter(keys, x -> x < key)")).drop("keys")
+        members = rows.join(keys.join(bag, "id"), "id").where("n = words").withColumn("before", F.expr("filter(keys, x -> x < key)")).drop("keys")
         pairs = written(_among(members, parts, only).join(done, ["a", "b"], "left_anti"))
         done = done.unionByName(pairs)
     return star.unionByName(_verified(pairs, texts))

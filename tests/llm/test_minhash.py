@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -265,3 +266,36 @@ def test_a_pair_leaves_one_bucket(spark, monkeypatch):
     could = {(b, a) for b, a in share if minhash.could_be(outlines[[a]], outlines[[b]], n[[a]], n[[b]])[0]}
     assert set(got) == could
     assert len(got) > 50
+
+
+def test_a_bucket_of_long_texts_takes_little_memory(spark, monkeypatch):
+    """Outlines of a large bucket's pairs are copied a few thousand at a time, and the pairs of near copies aren't held at once."""
+    rng = np.random.default_rng(15)
+    many = 1000
+    bag = [x.tobytes() for x in np.concatenate([np.full((many, 256), 7), rng.integers(0, 4, (many, 512))], axis=1).astype(np.uint8)]
+    members = spark.createDataFrame([], "key long, before array<long>, id long, n long, class long, size long, bag binary")
+    for only, like in (("", False), ("likeliest", False), ("hub", True)):
+        runs = []
+        monkeypatch.setattr(minhash, "map_arrow", lambda df, run, schema, runs=runs: runs.append(run) or spark.createDataFrame([], schema))
+        minhash._among(members, 4, only)
+        one = pa.array([1] * many)
+        ids, n = pa.array(range(many)), pa.array([1000] * many)
+        held = pa.array(bag[:1] * many if like else bag, pa.binary())
+        batch = pa.RecordBatch.from_arrays([one, one, one, one, ids, n, ids, held, pa.array([[]] * many, pa.list_(pa.int64()))], ["key", "lo", "hi", "chunk", "id", "n", "class", "bag", "before"])
+        tracemalloc.start()
+        try:
+            made = sum(b.num_rows for b in runs[0](iter([batch])))
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        assert made == (many - 1 if like else 0)
+        assert peak < 100e6
+
+
+def test_an_id_with_a_short_and_a_long_text(spark):
+    """Each of an id's texts meets others by its own outline."""
+    rng = random.Random(16)
+    short, long = text(rng, 120), text(rng, 600)
+    rows = [(1, " ".join(short)), (1, " ".join(long)), (2, " ".join(edited(rng, short, 2))), (3, " ".join(edited(rng, long, 5))), (4, " ".join(text(rng, 120)))]
+    found = near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert classes(found) == {frozenset({1, 2, 3}), frozenset({4})}
