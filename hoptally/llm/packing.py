@@ -26,8 +26,8 @@ from hoptally.llm.common import map_arrow, read, slices, written
 
 WINDOW = 1024
 VOCABULARY = "byte_bpe_50k.json"
-#: Distinct words whose ids a worker keeps.
-CACHED = 200_000
+#: Distinct words whose ids a worker keeps (about 200 bytes each).
+CACHED = 500_000
 #: New pieces to a call.
 JOINED = 256
 #: Unicode's white space beyond ASCII, and the separators 0x1C-0x1F: next to these a text isn't cut at spaces.
@@ -163,7 +163,7 @@ class Tokenizer:
         code = (np.cumsum(seen) - 1)[code]
         values = pieces.dictionary.take(pa.array(used // 2)).to_pylist()
         ids = self.ids([" " + v if c % 2 else v for v, c in zip(values, used.tolist(), strict=True)])
-        size = np.array([len(x) for x in ids], np.int64) // self.kind.itemsize
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
         flat, at = np.frombuffer(b"".join(ids), self.kind), np.cumsum(size) - size
         each = size[code]
         ends = np.concatenate([[0], np.cumsum(each)])
@@ -179,7 +179,7 @@ class Tokenizer:
 
     def ids(self, pieces: list[str]) -> list[bytes]:
         known = self.known
-        got = [known.get(p) for p in pieces]
+        got = list(map(known.get, pieces))
         new = [i for i, x in enumerate(got) if x is None]
         spaced = [i for i in new if pieces[i][:1] == " "]
         for at in range(0, len(spaced), JOINED):

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer as Reader
@@ -104,3 +105,18 @@ def test_pack(spark):
             at += length
         assert at <= 1024
     assert pack(docs.limit(0)).count() == 0
+
+
+def test_words_that_were_met_are_not_encoded_again(monkeypatch):
+    """A worker keeps the ids of more words than its first few million bytes of text hold; they are those of the whole text."""
+    reader = Tokenizer(None)
+    words = [f"w{k}" for k in range(220_000)]
+    texts = pa.array(["x " + " ".join(words[k : k + 2000]) for k in range(0, len(words), 2000)])
+    first, at = reader.flat(texts)
+    again = []
+    encode = reader.encode
+    monkeypatch.setattr(reader, "encode", lambda x: again.extend(x) or encode(x))
+    second, _ = reader.flat(texts)
+    assert (first == second).all()
+    assert not again
+    assert (first[: at[1]] == encode(texts[:1].to_pylist())[0]).all()
