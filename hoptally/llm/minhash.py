@@ -7,11 +7,11 @@ follow edit similarity. Two texts at SIMILARITY itself seldom agree on two shing
 shingle of least hash, and short texts have some of shorter shingles too. Texts that share a sketch are candidates; a banded alignment of their words decides
 (1 - edit distance / words of the longer >= SIMILARITY). Classes are the connected components of verified links.
 
-Copies of a text count once. Within a sketch's bucket the texts are first compared with the one that may be near the most
-others, then each with the one of another class that is likeliest near it; then all of them that aren't in one class yet are compared
-with each other, in chunks, so that the classes are those of all pairs that share a sketch. Pairs are aligned only if their lengths and
-outlines (bags of words, of long texts signatures too) let them be near; outlines are compared where the texts of a bucket meet, no other
-pair leaves that place, and of the buckets that a pair shares it leaves the first alone.
+Copies of a text count once. Pairs are aligned only if their lengths and outlines (bags of words, of long texts signatures too) let them be
+near; outlines are compared where the texts of a sketch's bucket meet, in chunks, and no other pair leaves that place. A bucket of few such
+pairs is done with when these are aligned, which most are at once. In others the texts are first compared with the one that may be near the
+most others, then each with the one of another class that is likeliest near it; then all of them that aren't in one class yet are compared
+with each other, so that the classes are those of all pairs that share a sketch. Of the buckets that a pair still shares it leaves the first alone.
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ SHORT, SHORT_SHINGLE, SHORT_SINGLES = 40, 2, 16
 BAG, WIDE, CHUNK, PAIRS, COMPARED, BITS = 256, 512, 4096, 1 << 16, 4096, 1 << 22
 #: Chunks of a bucket beyond which they are made by length, so that each meets those of near lengths alone.
 BANDED = 3
+#: Members of a group by which the one that has most pairs is told, where the group has more than twice as many; cells that are moved count to so many.
+PIVOTS, CAP = 64, 15
 #: Words from which on a text has a signature and a bag of WIDE cells, and the share of its bytes that have to agree (0.43 is expected at SIMILARITY).
 LONG, AGREE = 400, 0.26
 
@@ -231,7 +233,8 @@ def _sketched(keyed: DataFrame) -> DataFrame:
             keys, has, counts = keys_of(texts, words)
             held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], has.sum(1).cumsum()]).astype(np.int32)), pa.array(keys[has].astype(np.int64)))
             none = pa.nulls(len(one), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(ids[one]), none, pa.array(h[one]), pa.array(g[one]), pa.array(counts.astype(np.int64)), outlines(texts, counts, words), held], _SKETCHED)
+            bag = packed(outlines(texts, counts, words), counts)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[one]), none, pa.array(h[one]), pa.array(g[one]), pa.array(counts.astype(np.int64)), bag, held], _SKETCHED)
             none = [pa.nulls(len(copies[0]), t) for t in (*[pa.int64()] * 3, pa.binary(), pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*copies, *none], _SKETCHED)
 
@@ -277,14 +280,27 @@ def outlines(texts: pa.Array, n: np.ndarray, words: Hashed | None = None) -> pa.
     return pa.array(out.tolist(), pa.binary())
 
 
+def packed(bag: pa.Array, n: np.ndarray) -> pa.Array:
+    """The outlines of texts of n words as they are moved: those of fewer than LONG words with two cells to a byte, CAP at most each.
+
+    An edit changes a capped cell by one at most too, so these never rule out a near pair either."""
+    raw, some = bag.to_pylist(), np.flatnonzero(n < LONG)
+    cells = np.minimum(np.frombuffer(b"".join([raw[k] for k in some]), np.uint8).reshape(-1, BAG), CAP)
+    for k, x in zip(some, cells[:, ::2] | cells[:, 1::2] << 4, strict=True):
+        raw[k] = x.tobytes()
+    return pa.array(raw, pa.binary())
+
+
 def _matrix(bag: pa.ChunkedArray, n: np.ndarray) -> np.ndarray:
-    """The outlines of texts of n words, a row each."""
+    """The outlines of texts of n words, packed or not, a row each."""
     raw, long = bag.to_pylist(), n >= LONG
     out = np.zeros((len(n), BAG + WIDE * bool(long.any())), np.uint8)
-    for some, width in ((~long, BAG), (long, BAG + WIDE)):
+    half = np.fromiter((len(x) == BAG // 2 for x in raw), bool, len(raw))
+    for some, width in ((half, BAG // 2), (~long & ~half, BAG), (long, BAG + WIDE)):
         at = np.flatnonzero(some)
         if len(at):
-            out[at, :width] = np.frombuffer(b"".join([raw[k] for k in at]), np.uint8).reshape(-1, width)
+            cells = np.frombuffer(b"".join([raw[k] for k in at]), np.uint8).reshape(-1, width)
+            out[at, : max(width, BAG)] = np.stack([cells & CAP, cells >> 4], 2).reshape(-1, BAG) if width < BAG else cells
     return out
 
 
@@ -307,8 +323,9 @@ def apart(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndar
     for some, a, b in ((long & ~other, x, y), (~long & other, y, x)):  # cells of the wide bag that fall in one of the other
         at = np.flatnonzero(some)
         if len(at):
-            folded = np.minimum(a[at, BAG:].reshape(-1, WIDE // BAG, BAG).sum(1, dtype=np.int16), 255).astype(np.uint8)
-            out[at] += _sums(np.maximum(folded, b[at, :BAG]) - np.minimum(folded, b[at, :BAG]))
+            folded = np.minimum(a[at, BAG:].reshape(-1, WIDE // BAG, BAG).sum(1, dtype=np.int16), CAP).astype(np.uint8)
+            few = np.minimum(b[at, :BAG], CAP)  # packed or not
+            out[at] += _sums(np.maximum(folded, few) - np.minimum(folded, few))
     return out / 2
 
 
@@ -343,8 +360,9 @@ def _with_near_lengths(rows: DataFrame) -> DataFrame:
 
 def _among(members: DataFrame, parts: int, only: str = "") -> DataFrame:
     """Pairs (a, b) of bucket members (key, before, id, n, class, size, bag) of different classes that may be near copies by their lengths and
-    outlines, but for those that share a bucket of before; only: "hub", of each group those of the member that has most; "likeliest", the
-    likeliest pair of each member.
+    outlines, but for those that share a bucket of before. only: of a group with more pairs than members, "hub", those of the member that has
+    most, "likeliest", the likeliest pair of each member; a third column, which has nothing to do with the first two, then has the keys of
+    the buckets that may have other pairs.
 
     Members are dealt to chunks, and the chunks of a bucket meet in pairs, each in one place, that only what may be near leaves. The
     chunks of large buckets are of one band of lengths, and meet those of the same band and the next ones: texts further apart in length
@@ -362,14 +380,24 @@ def _among(members: DataFrame, parts: int, only: str = "") -> DataFrame:
     dealt = dealt.repartition(parts, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
 
     def near(held: pa.Table) -> Iterator[pa.RecordBatch]:
+        group = np.zeros(held.num_rows, np.int64)
+        for c in ("key", "lo", "hi"):
+            x = held.column(c).to_numpy()
+            group[1:] |= x[1:] != x[:-1]
+        group = np.cumsum(group)
+        order = np.lexsort((held.column("class").to_numpy(), group))  # members of one class follow each other, and don't meet
+        held = held.take(pa.array(order)).combine_chunks()
         key, lo, hi, chunk, ids, n, cls = (held.column(c).to_numpy() for c in ("key", "lo", "hi", "chunk", "id", "n", "class"))
         bag, before = _matrix(held.column("bag"), n), held.column("before").combine_chunks()
         known, known_at = before.values.to_numpy(), before.offsets.to_numpy()
-        new = np.ones(len(ids), bool)
-        new[1:] = (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
-        group = np.cumsum(new) - 1
-        after = np.append(np.flatnonzero(new)[1:], len(ids))[group] - np.arange(len(ids)) - 1  # of each row, the rows of its group that follow
-        upto = np.cumsum(after)
+        members = np.bincount(group)
+        start = np.cumsum(members) - members
+        last = np.append((group[1:] != group[:-1]) | (cls[1:] != cls[:-1]), True)
+        begin = np.flatnonzero(last)[np.cumsum(last) - last] + 1  # of each row, the first of the next class
+        after = (start + members)[group] - begin  # and how many of its group follow from there
+        large = only == "hub" and members > 2 * PIVOTS
+        if only == "hub":
+            after[large[group]] = 0
 
         def may_be(i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             """Those of the pairs that may be near, COMPARED looked at at once."""
@@ -382,53 +410,74 @@ def _among(members: DataFrame, parts: int, only: str = "") -> DataFrame:
                     yield x[fits], y[fits]
 
         def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            at = 0
+            at, upto = 0, np.cumsum(after)
             while at < len(ids):
                 stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, "right")))
                 i = np.repeat(np.arange(at, stop), after[at:stop])
-                yield from may_be(i, np.arange(len(i)) - np.repeat(np.cumsum(after[at:stop]) - after[at:stop], after[at:stop]) + i + 1)
+                yield from may_be(i, np.arange(len(i)) - np.repeat(np.cumsum(after[at:stop]) - after[at:stop], after[at:stop]) + begin[i])
                 at = stop
 
+        def with_pivots() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            """Members of large groups with PIVOTS of their group that lie evenly in it."""
+            some, each = np.flatnonzero(large[group]), PAIRS // PIVOTS
+            for k in range(0, len(some), each):
+                i = np.repeat(some[k : k + each], PIVOTS)
+                of, turn = group[i], np.tile(np.arange(PIVOTS), len(i) // PIVOTS)
+                yield from may_be(i, start[of] + members[of] * turn // PIVOTS)
+
         def here() -> Iterator[tuple[np.ndarray, np.ndarray]]:
             """The pairs that share no bucket of before; those of one row follow each other."""
             keys_of = lambda r: known[known_at[r] : known_at[r + 1]].tolist()
             for i, j in pairs():
-                fresh, last, own = np.ones(len(i), bool), -1, frozenset()
+                fresh, at, own = np.ones(len(i), bool), -1, frozenset()
                 for k, (a, b) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
-                    if a != last:
-                        last, own = a, frozenset(keys_of(a))
+                    if a != at:
+                        at, own = a, frozenset(keys_of(a))
                     fresh[k] = own.isdisjoint(keys_of(b))
                 yield i[fresh], j[fresh]
 
-        def found(i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+        def found(i: np.ndarray, j: np.ndarray, open_: np.ndarray | None = None) -> pa.RecordBatch:
             both = np.unique(np.stack([np.maximum(ids[i], ids[j]), np.minimum(ids[i], ids[j])]), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+            cols = [*both] if open_ is None else [*both, np.unique(key[start[open_]])]
+            rows = max(map(len, cols))
+            return pa.RecordBatch.from_arrays([pa.array(np.pad(x, (0, rows - len(x))), mask=np.arange(rows) >= len(x)) for x in cols], ["a", "b", "key"][: len(cols)])
 
-        if only == "hub":
-            degree = np.zeros(len(ids), np.int64)
-            for i, j in pairs():
+        if not only:
+            for i, j in here():
+                yield found(i, j)
+            return
+        many, whole = np.zeros(len(members), np.int64), []  # pairs of each group; those of groups of few
+        degree = np.zeros(len(ids), np.int64)
+        least, partner = np.full(len(ids), np.inf), np.full(len(ids), -1)
+        for i, j in pairs() if only == "hub" else here():
+            many += np.bincount(group[i], minlength=len(many))
+            few = many[group[i]] <= members[group[i]]
+            whole.append((i[few], j[few]))
+            if only == "hub":
                 np.add.at(degree, i, 1)
                 np.add.at(degree, j, 1)
+                continue
+            score = np.tile(apart(bag[i], bag[j], n[i], n[j]) / np.maximum(n[i], n[j]), 2)
+            row, other = np.concatenate([i, j]), np.concatenate([j, i])
+            order = np.lexsort((score, row))
+            first = order[np.append(True, np.diff(row[order]) != 0)] if len(order) else order
+            first = first[score[first] < least[row[first]]]
+            least[row[first]], partner[row[first]] = score[first], other[first]
+        open_ = many > members
+        whole = [(i[few], j[few]) for i, j in whole for few in [~open_[group[i]]]]
+        if only == "hub":
+            open_ |= large
+            for i, _ in with_pivots():
+                np.add.at(degree, i, 1)
             order = np.lexsort((-ids, degree, group))  # of each group the last: most pairs, then the least id
             best = order[np.append(np.flatnonzero(np.diff(group[order])), len(order) - 1)][group] if len(order) else order
-            some = np.flatnonzero((degree > 0) & (best != np.arange(len(ids))))
-            met = list(may_be(some, best[some]))
-            if met:
-                yield found(*np.concatenate(met, axis=1))
-        elif only == "likeliest":
-            least, partner = np.full(len(ids), np.inf), np.full(len(ids), -1)
-            for i, j in here():
-                score = np.tile(apart(bag[i], bag[j], n[i], n[j]) / np.maximum(n[i], n[j]), 2)
-                row, other = np.concatenate([i, j]), np.concatenate([j, i])
-                order = np.lexsort((score, row))
-                first = order[np.append(True, np.diff(row[order]) != 0)] if len(order) else order
-                first = first[score[first] < least[row[first]]]
-                least[row[first]], partner[row[first]] = score[first], other[first]
-            some = np.flatnonzero(partner >= 0)
-            yield found(some, partner[some])
+            some = np.flatnonzero((degree[best] > 0) & (best != np.arange(len(ids))) & open_[group])
+            whole += may_be(some, best[some])
         else:
-            for i, j in here():
-                yield found(i, j)
+            some = np.flatnonzero((partner >= 0) & open_[group])
+            whole.append((some, partner[some]))
+        i, j = np.concatenate([np.zeros((2, 0), np.int64), *whole], axis=1)
+        yield found(i, j, np.flatnonzero(open_))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -448,17 +497,24 @@ def _among(members: DataFrame, parts: int, only: str = "") -> DataFrame:
         if held:
             yield from near(pa.Table.from_batches(held).combine_chunks())
 
-    return map_arrow(dealt, run, "a long, b long").distinct()
+    return map_arrow(dealt, run, "a long, b long, key long") if only else map_arrow(dealt, run, "a long, b long").distinct()
 
 
-def _needed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The texts but for most of those whose _id no pair (a, b) has, so that few are moved: by BITS bits, which are broadcast (BITS / 64 rows at most)."""
+def _marked(texts: DataFrame, ids: DataFrame, by: str) -> DataFrame:
+    """The texts with _in: false for most of those whose `by` isn't one of the ids (x), true for all others, so that few are moved: by BITS bits,
+    which are broadcast (BITS / 64 rows at most)."""
     place = lambda x: F.pmod(F.xxhash64(x), F.lit(BITS))
     one = F.lit(1).cast("long")
-    bits = pairs.select(F.explode(F.array("a", "b")).alias("x")).select(place("x").alias("p"))
+    bits = ids.select(place("x").alias("p"))
     bits = bits.groupBy(F.expr("p div 64").alias("_word")).agg(F.bit_or(F.call_function("shiftleft", one, (F.col("p") % 64).cast("int"))).alias("_bits"))
-    found = texts.withColumn("_p", place("_id")).withColumn("_word", F.expr("_p div 64")).join(F.broadcast(bits), "_word")
-    return found.where(F.col("_bits").bitwiseAND(F.call_function("shiftleft", one, (F.col("_p") % 64).cast("int"))) != 0).drop("_p", "_word", "_bits")
+    found = texts.withColumn("_p", place(by)).withColumn("_word", F.expr("_p div 64")).join(F.broadcast(bits), "_word", "left")
+    hit = F.coalesce("_bits", F.lit(0)).bitwiseAND(F.call_function("shiftleft", one, (F.col("_p") % 64).cast("int"))) != 0
+    return found.withColumn("_in", hit).drop("_p", "_word", "_bits")
+
+
+def _needed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The texts but for most of those whose _id no pair (a, b) has."""
+    return _marked(texts, pairs.select(F.explode(F.array("a", "b")).alias("x")), "_id").where("_in").drop("_in")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -491,25 +547,34 @@ def links(docs: DataFrame) -> DataFrame:
     bag = own.select("id", F.col("n").alias("words"), "bag")  # an id may have several texts: each bag goes with its number of words
     # sums by bucket are written before they are joined: a bucket may hold any share of the texts, and a join that doesn't follow
     # from its own sum's shuffle is one whose large buckets Spark can split
-    rows = own.where("n > 0").join(lead, ["id", "h", "g"], "left_anti").select("id", "n", F.explode("keys").alias("key"))
-    rows = written(_with_near_lengths(rows))
+    one = _marked(own.where("n > 0").select("id", "h", "g", "n", "keys"), lead.select(F.col("id").alias("x")), "id")
+    one = one.where("not _in").unionByName(one.where("_in").join(lead, ["id", "h", "g"], "left_anti"))
+    rows = written(_with_near_lengths(one.select("id", "n", F.explode("keys").alias("key"))))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # at first each text only meets the one of its bucket that may be near the most others, then its likeliest partner of another class
     nothing = F.array().cast("array<long>")
-    pairs = written(_among(rows.withColumns({"class": F.col("id"), "before": nothing}).join(bag, "id").where("n = words"), parts, "hub"))
-    done, star = pairs, exact
-    # in the end whatever shares a bucket and isn't in one class yet is compared, so that the classes are those of all pairs that share a sketch
-    for only in ("likeliest", ""):
-        of = written(components(star.unionByName(_verified(pairs, texts)), docs.sparkSession))
+    members = rows.withColumns({"class": F.col("id"), "before": nothing}).join(bag, "id").where("n = words")
+    star, done = exact, None
+    # what is open is compared again, in the end all that shares a bucket and isn't in one class yet, so that the classes are those of all pairs that share a sketch
+    for only in ("hub", "likeliest", ""):
+        met = written(_among(members, parts, only))
+        pairs = met.select("a", "b").where("a is not null").distinct()
+        pairs = written(pairs.join(done, ["a", "b"], "left_anti") if done else pairs)
+        star = star.unionByName(_verified(pairs, texts))
+        if not only or met.where("key is not null").isEmpty():
+            break
+        done = done.unionByName(pairs) if done else pairs
+        of = written(components(star, docs.sparkSession))
         star = of.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))  # all links so far, in as few
-        rows = rows.select("id", "n", "key", "size").join(of.withColumnRenamed("node", "id"), "id", "left").withColumn("class", F.coalesce("component", "id")).drop("component")
+        rows = rows.select("id", "n", "key", "size").join(met.select("key").where("key is not null").distinct(), "key", "left_semi")
+        rows = rows.join(of.withColumnRenamed("node", "id"), "id", "left").withColumn("class", F.coalesce("component", "id")).drop("component")
+        rows = written(rows)
         open_ = written(rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key"))
+        if open_.isEmpty():
+            break
         rows = written(rows.join(open_, "key"))
         keys = rows.groupBy("id").agg(F.collect_list("key").alias("keys"))  # as many as a text has sketches at most
         members = rows.join(keys.join(bag, "id"), "id").where("n = words").withColumn("before", F.expr("filter(keys, x -> x < key)")).drop("keys")
-        pairs = written(_among(members, parts, only).join(done, ["a", "b"], "left_anti"))
-        done = done.unionByName(pairs)
-    return star.unionByName(_verified(pairs, texts))
+    return star
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:

@@ -299,3 +299,46 @@ def test_an_id_with_a_short_and_a_long_text(spark):
     rows = [(1, " ".join(short)), (1, " ".join(long)), (2, " ".join(edited(rng, short, 2))), (3, " ".join(edited(rng, long, 5))), (4, " ".join(text(rng, 120)))]
     found = near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert classes(found) == {frozenset({1, 2, 3}), frozenset({4})}
+
+
+def first_meeting(spark, monkeypatch, bag, keys):
+    """What the first comparison lets out of a task that has these outlines of texts of 100 words, in buckets of these keys, and how many pairs it looks at."""
+    runs, looked, could_be = [], [], minhash.could_be
+    monkeypatch.setattr(minhash, "map_arrow", lambda df, run, schema: runs.append(run) or spark.createDataFrame([], schema))
+    monkeypatch.setattr(minhash, "could_be", lambda x, y, n, m: looked.append(len(x)) or could_be(x, y, n, m))
+    minhash._among(spark.createDataFrame([], "key long, before array<long>, id long, n long, class long, size long, bag binary"), 4, "hub")
+    many = len(bag)
+    one, ids, n = pa.array([0] * many), pa.array(range(many)), pa.array([100] * many)
+    batch = pa.RecordBatch.from_arrays([pa.array(keys), one, one, one, ids, n, ids, pa.array(bag, pa.binary()), pa.array([[]] * many, pa.list_(pa.int64()))], ["key", "lo", "hi", "chunk", "id", "n", "class", "bag", "before"])
+    out = pa.Table.from_batches(list(runs[0](iter([batch]))))
+    pairs = {(a, b) for a, b in zip(out["a"].to_pylist(), out["b"].to_pylist(), strict=True) if a is not None}
+    return pairs, set(out["key"].to_pylist()) - {None}, sum(looked)
+
+
+def test_a_large_bucket_of_near_copies_takes_time_in_proportion(spark, monkeypatch):
+    many = 2000
+    pairs, open_, looked = first_meeting(spark, monkeypatch, [bytes([1] * 100 + [0] * 156)] * many, [1] * many)
+    assert len(pairs) == many - 1 and open_ == {1}
+    assert looked <= 100 * many
+
+
+def test_a_bucket_of_few_near_pairs_is_done_with_at_once(spark, monkeypatch):
+    """All pairs that may be near leave a bucket of few; what has more comes back."""
+    rng = np.random.default_rng(17)
+    far = [bytes(x) for x in rng.integers(0, 9, (6, 256), np.uint8)]
+    bag = [far[0], far[0], far[1], far[2], far[2], far[3], *[far[4]] * 5]
+    pairs, open_, _ = first_meeting(spark, monkeypatch, bag, [1] * 6 + [2] * 5)
+    assert {(1, 0), (4, 3)} <= pairs and open_ == {2}
+    assert len(pairs) == 6
+
+
+def test_packed_outlines_never_rule_out_more_than_edits():
+    rng = random.Random(18)
+    texts = [["a"] * 40 + text(rng, rng.randint(300, 395)) for _ in range(40)]
+    others = [[*x, *text(rng, 60)] for x in texts]
+    n, m = (np.array([len(x) for x in side]) for side in (texts, others))
+    x, y = (minhash._matrix(minhash.packed(minhash.outlines(pa.array([" ".join(t) for t in side]), k), k), k) for side, k in ((texts, n), (others, m)))
+    assert ((n < minhash.LONG) & (m >= minhash.LONG)).any()
+    width = max(x.shape[1], y.shape[1])
+    x, y = (np.pad(z, ((0, 0), (0, width - z.shape[1]))) for z in (x, y))
+    assert (minhash.apart(x, y, n, m) <= 60).all()
