@@ -153,25 +153,32 @@ def _stars(edges: DataFrame) -> bool:
     return ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1").isEmpty()
 
 
+def nearer_stars(edges: DataFrame) -> DataFrame:
+    """Edges (a, b), a > b, with the same components as those given, which are of that kind, and nearer to stars: a round of large-star and small-star.
+
+    Hubs are joined by (node, salt), so that no task gets all of one."""
+    salt = 16
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    spread = low.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    large = (
+        both.where("b > a").withColumn("s", F.pmod(F.hash("b"), F.lit(salt))).join(spread, ["a", "s"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    )
+    large = written(large.where("a <> b"))  # an edge of each at most
+    low = large.groupBy("a").agg(F.min("b").alias("m"))
+    spread = low.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    small = large.withColumn("s", F.pmod(F.hash("b"), F.lit(salt))).join(spread, ["a", "s"])
+    small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
+    return small.where("a <> b").distinct()
+
+
 def components(edges: DataFrame, spark: SparkSession) -> DataFrame:
     """node, component (the smallest node reachable) of every node of the edges (a, b).
 
     Alternates large-star and small-star until only stars are left; each round is written to the shared folder, and nothing but
-    whether it was the last reaches the driver. Hubs are joined by (node, salt), so that no task gets all of one."""
+    whether it was the last reaches the driver."""
     cur = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    salt = 16
     while not _stars(cur):
-        both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        spread = low.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        large = (
-            both.where("b > a").withColumn("s", F.pmod(F.hash("b"), F.lit(salt))).join(spread, ["a", "s"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        )
-        large = written(large.where("a <> b").distinct())
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        spread = low.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        small = large.withColumn("s", F.pmod(F.hash("b"), F.lit(salt))).join(spread, ["a", "s"])
-        small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        cur = written(small.where("a <> b").distinct())
+        cur = written(nearer_stars(cur))
     star = cur.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
     return star.unionByName(cur.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hoptally.llm.common import components, map_arrow, mixed, read, slices, words_of, written
+from hoptally.llm.common import components, map_arrow, mixed, nearer_stars, read, slices, words_of, written
 
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES = 24
@@ -34,9 +35,9 @@ SKETCHES = 24
 SINGLES = 40
 #: Texts of so many words at most also have sketches of one shingle of fewer words: a few edits leave none of SHINGLE words.
 SHORT, SHORT_SHINGLE, SHORT_SINGLES = 40, 2, 16
-#: Cells of a text's bag of words and bytes of its signature, cells of a long text's bag (a multiple of BAG), members of a bucket that meet at once, pairs of them that are looked at at once, pairs whose outlines
+#: Cells of a text's bag of words and bytes of its signature, cells of a long text's bag (a multiple of BAG), cells of the bag that rules out most pairs (BAG is a multiple), members of a bucket that meet at once, pairs of them that are looked at at once, pairs whose outlines
 #: are compared at once (their copies take 3 KB a pair at most), and bits by which texts are picked.
-BAG, WIDE, CHUNK, PAIRS, COMPARED, BITS = 256, 512, 4096, 1 << 16, 4096, 1 << 22
+BAG, WIDE, COARSE, CHUNK, PAIRS, COMPARED, BITS = 256, 512, 32, 4096, 1 << 16, 4096, 1 << 22
 #: Chunks of a bucket beyond which they are made by length, so that each meets those of near lengths alone.
 BANDED = 3
 #: Members of a group by which the one that has most pairs is told, where the group has more than twice as many; cells that are moved count to so many.
@@ -198,13 +199,21 @@ def edit_distance_within(a: list, b: list, most: int) -> int:
 def alike(a: str, b: str) -> bool:
     """Whether two texts are near copies of each other."""
     x, y = a.encode().split(), b.encode().split()
-    longest = max(len(x), len(y))
+    longest, least = max(len(x), len(y)), min(len(x), len(y))
     most = int((1 - SIMILARITY) * longest + 1e-9)
-    if min(len(x), len(y)) < longest - most:
+    if least < longest - most:
         return False
+    if sum(map(ne, x, y)) + longest - least <= most:  # an alignment place by place will do
+        return True
     if (Counter(x) & Counter(y)).total() < longest - most:  # what isn't common has to be edited
         return False
-    return edit_distance_within(x, y, most) <= most
+    same = 0
+    while same < least and x[same] == y[same]:
+        same += 1
+    end = 0
+    while end < least - same and x[-1 - end] == y[-1 - end]:
+        end += 1
+    return edit_distance_within(x[same : len(x) - end], y[same : len(y) - end], most) <= most
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -329,6 +338,14 @@ def apart(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndar
     return out / 2
 
 
+def coarse(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Bags of COARSE cells, from outlines x of texts of n words; those of texts within an edit distance differ by no more than their bags may."""
+    cells, long = np.minimum(x[:, :BAG], CAP), np.flatnonzero(n >= LONG)
+    if len(long):
+        cells[long] = np.minimum(x[long, BAG:].reshape(-1, WIDE // BAG, BAG).sum(1, dtype=np.int16), CAP)
+    return cells.reshape(-1, COARSE, BAG // COARSE).sum(2, dtype=np.uint8)  # CAP * BAG / COARSE at most
+
+
 def could_be(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Which pairs of outlines x, y of texts of n and m words may be those of near copies. Bags never rule out such a pair; signatures
     do in one of a hundred thousand at SIMILARITY itself, if each edit stands alone."""
@@ -358,6 +375,13 @@ def _with_near_lengths(rows: DataFrame) -> DataFrame:
     return rows.join(per, "key").where(several | there(F.least(band + 1, F.lit(63))) | there(F.greatest(band - 1, F.lit(0)))).select("id", "n", "key", "size")
 
 
+def _unlike(rows: DataFrame) -> DataFrame:
+    """The rows (id, n, key) of one bucket, that of the least key, of those that have the same members: near copies share many sketches, and
+    most of these no other text has. Sets are told apart by 97 bits of hashes and their size."""
+    sets = rows.groupBy("key").agg(F.count("*").alias("many"), F.bit_xor(F.xxhash64("id", "n")).alias("x"), F.sum(F.shiftright(F.xxhash64(F.lit(1), "id", "n"), 31)).alias("y"))
+    return rows.join(sets.groupBy("many", "x", "y").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+
+
 def _among(members: DataFrame, parts: int, only: str = "") -> DataFrame:
     """Pairs (a, b) of bucket members (key, before, id, n, class, size, bag) of different classes that may be near copies by their lengths and
     outlines, but for those that share a bucket of before. only: of a group with more pairs than members, "hub", those of the member that has
@@ -389,19 +413,26 @@ def _among(members: DataFrame, parts: int, only: str = "") -> DataFrame:
         held = held.take(pa.array(order)).combine_chunks()
         key, lo, hi, chunk, ids, n, cls = (held.column(c).to_numpy() for c in ("key", "lo", "hi", "chunk", "id", "n", "class"))
         bag, before = _matrix(held.column("bag"), n), held.column("before").combine_chunks()
+        small, alone = coarse(bag, n), bool((lo == hi).all())
         known, known_at = before.values.to_numpy(), before.offsets.to_numpy()
         members = np.bincount(group)
         start = np.cumsum(members) - members
         last = np.append((group[1:] != group[:-1]) | (cls[1:] != cls[:-1]), True)
         begin = np.flatnonzero(last)[np.cumsum(last) - last] + 1  # of each row, the first of the next class
         after = (start + members)[group] - begin  # and how many of its group follow from there
-        large = only == "hub" and members > 2 * PIVOTS
-        if only == "hub":
-            after[large[group]] = 0
+        large = (members > 2 * PIVOTS) & (only == "hub")
 
         def may_be(i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             """Those of the pairs that may be near, COMPARED looked at at once."""
-            keep = (cls[i] != cls[j]) & ((lo[i] == hi[i]) | (chunk[i] != chunk[j])) & (np.minimum(n[i], n[j]) >= SIMILARITY * np.maximum(n[i], n[j]) - 1e-9)
+            keep = cls[i] != cls[j]
+            if not alone:
+                keep &= (lo[i] == hi[i]) | (chunk[i] != chunk[j])
+            a, b = n[i], n[j]
+            most = np.floor((1 - SIMILARITY) * np.maximum(a, b) + 1e-9) * 2 - np.abs(a - b)  # what their bags may differ by
+            keep = np.flatnonzero(keep & (most >= np.abs(a - b)))
+            i, j, most = i[keep], j[keep], most[keep]
+            x, y = small[i], small[j]
+            keep = _sums(np.maximum(x, y) - np.minimum(x, y)) <= most
             i, j = i[keep], j[keep]
             for k in range(0, len(i), COMPARED):
                 x, y = i[k : k + COMPARED], j[k : k + COMPARED]
@@ -448,6 +479,10 @@ def _among(members: DataFrame, parts: int, only: str = "") -> DataFrame:
             return
         many, whole = np.zeros(len(members), np.int64), []  # pairs of each group; those of groups of few
         degree = np.zeros(len(ids), np.int64)
+        for i, _ in with_pivots():
+            np.add.at(degree, i, 1)
+        large &= np.bincount(group, degree, minlength=len(members)) > 2 * PIVOTS  # others have fewer pairs than members, as it seems, and are compared whole
+        degree[~large[group]] = after[large[group]] = 0
         least, partner = np.full(len(ids), np.inf), np.full(len(ids), -1)
         for i, j in pairs() if only == "hub" else here():
             many += np.bincount(group[i], minlength=len(many))
@@ -467,8 +502,6 @@ def _among(members: DataFrame, parts: int, only: str = "") -> DataFrame:
         whole = [(i[few], j[few]) for i, j in whole for few in [~open_[group[i]]]]
         if only == "hub":
             open_ |= large
-            for i, _ in with_pivots():
-                np.add.at(degree, i, 1)
             order = np.lexsort((-ids, degree, group))  # of each group the last: most pairs, then the least id
             best = order[np.append(np.flatnonzero(np.diff(group[order])), len(order) - 1)][group] if len(order) else order
             some = np.flatnonzero((degree[best] > 0) & (best != np.arange(len(ids))) & open_[group])
@@ -549,7 +582,7 @@ def links(docs: DataFrame) -> DataFrame:
     # from its own sum's shuffle is one whose large buckets Spark can split
     one = _marked(own.where("n > 0").select("id", "h", "g", "n", "keys"), lead.select(F.col("id").alias("x")), "id")
     one = one.where("not _in").unionByName(one.where("_in").join(lead, ["id", "h", "g"], "left_anti"))
-    rows = written(_with_near_lengths(one.select("id", "n", F.explode("keys").alias("key"))))
+    rows = written(_unlike(written(_with_near_lengths(one.select("id", "n", F.explode("keys").alias("key"))))))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     nothing = F.array().cast("array<long>")
     members = rows.withColumns({"class": F.col("id"), "before": nothing}).join(bag, "id").where("n = words")
@@ -560,14 +593,14 @@ def links(docs: DataFrame) -> DataFrame:
         pairs = met.select("a", "b").where("a is not null").distinct()
         pairs = written(pairs.join(done, ["a", "b"], "left_anti") if done else pairs)
         star = star.unionByName(_verified(pairs, texts))
-        if not only or met.where("key is not null").isEmpty():
+        if not only or (left := written(met.select("key").where("key is not null").distinct())).isEmpty():
             break
         done = done.unionByName(pairs) if done else pairs
-        of = written(components(star, docs.sparkSession))
-        star = of.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))  # all links so far, in as few
-        rows = rows.select("id", "n", "key", "size").join(met.select("key").where("key is not null").distinct(), "key", "left_semi")
-        rows = rows.join(of.withColumnRenamed("node", "id"), "id", "left").withColumn("class", F.coalesce("component", "id")).drop("component")
-        rows = written(rows)
+        star = written(nearer_stars(star))  # all links so far, in as few
+        of = written(star.groupBy("a").agg(F.min("b").alias("b")))  # a class is the least node two steps away; what that tells apart is compared once more
+        of = of.join(of.select(F.col("a").alias("b"), F.col("b").alias("far")), "b", "left").select(F.col("a").alias("id"), F.coalesce("far", "b").alias("class"))
+        rows = rows.select("id", "n", "key", "size").join(left, "key", "left_semi")
+        rows = written(rows.join(of, "id", "left").withColumn("class", F.coalesce("class", "id")))
         open_ = written(rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key"))
         if open_.isEmpty():
             break

@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from hoptally.llm import minhash
+from hoptally.llm.common import components, nearer_stars
 from hoptally.llm.minhash import alike, deduplicated, edit_distance_within, near_dedup
 
 
@@ -342,3 +343,52 @@ def test_packed_outlines_never_rule_out_more_than_edits():
     width = max(x.shape[1], y.shape[1])
     x, y = (np.pad(z, ((0, 0), (0, width - z.shape[1]))) for z in (x, y))
     assert (minhash.apart(x, y, n, m) <= 60).all()
+
+
+def test_a_large_bucket_of_few_near_pairs_is_done_with_at_once(spark, monkeypatch):
+    rng = np.random.default_rng(19)
+    bag = [bytes(x) for x in rng.integers(0, 9, (300, 256), np.uint8)]
+    bag[299] = bag[7]
+    pairs, open_, _ = first_meeting(spark, monkeypatch, bag, [1] * 300)
+    assert pairs == {(299, 7)} and open_ == set()
+
+
+def test_buckets_of_the_same_members_meet_once(spark, monkeypatch):
+    """Two near copies share many sketches, which no other text has: one bucket of them is dealt out. Other sets of members all are."""
+    rng = random.Random(20)
+    base = text(rng)
+    dealt, among = [], minhash._among
+    monkeypatch.setattr(minhash, "_among", lambda members, parts, only="": dealt.append(members.count()) or among(members, parts, only))
+    out = near_dedup(spark.createDataFrame([(1, " ".join(base)), (2, " ".join(edited(rng, base, 1)))], "doc_id long, text string"))
+    assert {r["class_rows"] for r in out.collect()} == {2} and dealt[0] == 2
+    rows = [(x, 50, key) for key, ids in ((1, (1, 2)), (2, (2, 1)), (3, (1, 2, 3)), (4, (1, 3)), (5, (4, 4, 1)), (6, (5, 5, 1))) for x in ids]
+    left = minhash._unlike(spark.createDataFrame(rows, "id long, n long, key long")).collect()
+    assert sorted((r["key"], r["id"]) for r in left) == [(1, 1), (1, 2), (3, 1), (3, 2), (3, 3), (4, 1), (4, 3), (5, 1), (5, 4), (5, 4), (6, 1), (6, 5), (6, 5)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from("abc"), max_size=14), st.lists(st.sampled_from("abc"), max_size=14))
+def test_alike_is_the_edit_distance(a, b):
+    assert alike(" ".join(a), " ".join(b)) == (distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9))
+
+
+def test_coarse_bags_never_rule_out_more_than_edits():
+    rng = random.Random(21)
+    texts = [["a"] * 40 + text(rng, rng.randint(60, 420)) for _ in range(80)]
+    others = [[*edited(rng, x, 30), *text(rng, 20)] for x in texts]
+    n, m = (np.array([len(x) for x in side]) for side in (texts, others))
+    sides = []
+    for side, k in ((texts, n), (others, m)):
+        bag = minhash.packed(minhash.outlines(pa.array([" ".join(t) for t in side]), k), k)
+        sides.append(minhash.coarse(minhash._matrix(bag, k), k).astype(int))
+    assert ((n < minhash.LONG) & (m >= minhash.LONG)).any() and (n >= minhash.LONG).any()
+    assert (np.abs(sides[0] - sides[1]).sum(1) + m - n <= 2 * 50).all()
+
+
+def test_nearer_stars_keep_components(spark):
+    rng = random.Random(22)
+    edges = sorted({(max(x), min(x)) for x in (rng.sample(range(150), 2) for _ in range(110))})
+    want = {tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long"), spark).collect()}
+    once = nearer_stars(spark.createDataFrame(edges, "a long, b long"))
+    assert once.where("a <= b").isEmpty()
+    assert {tuple(r) for r in components(once, spark).collect()} == want
