@@ -60,11 +60,13 @@ def last_processed_time(files: DataFrame) -> DataFrame:
 
 
 def next_minutes_batch(minutes: DataFrame, checkpoints: DataFrame, limit: int = BATCH_MINUTES) -> DataFrame:
-    """The minutes right after each stream's checkpoint, without a gap, each only if the one after it exists too; limit + 1 at most."""
-    after = minutes.select("stream", "minute").distinct().join(checkpoints, "stream").where(F.col("minute") > F.col("checkpoint"))
+    """The minutes right after each stream's checkpoint, without a gap, each only if the one after it exists too; limit + 1 at most.
+    Of a stream of any length only the minutes that can be taken, and the next one, are put in order."""
+    near = (F.col("minute") > F.col("checkpoint")) & (F.col("minute") <= F.col("checkpoint") + (limit + 2) * MINUTE)
+    after = minutes.select("stream", "minute").join(checkpoints, "stream").where(near).distinct()
     by = Window.partitionBy("stream").orderBy("minute")
     rows = after.withColumns({"turn": F.row_number().over(by), "after": F.lead("minute").over(by)})
-    return rows.where((F.col("minute") == F.col("checkpoint") + F.col("turn") * MINUTE) & (F.col("after") == F.col("minute") + MINUTE) & (F.col("turn") <= limit + 1)).select("stream", "minute")
+    return rows.where((F.col("minute") == F.col("checkpoint") + F.col("turn").cast("long") * MINUTE) & (F.col("after") == F.col("minute") + MINUTE) & (F.col("turn") <= limit + 1)).select("stream", "minute")
 
 
 def merge_plan(files: DataFrame, commit_minute: int) -> DataFrame:

@@ -51,6 +51,16 @@ def test_next_minutes(spark):
     assert got(4) == []
 
 
+def test_next_minutes_of_long_streams(spark):
+    """More minutes after the checkpoint than make up 2^31 milliseconds, and limits of more than that."""
+    minutes = spark.range(40_000).select(F.lit("s").alias("stream"), (F.col("id") * MIN).alias("minute"))
+    minutes = minutes.unionByName(minutes.where(f"minute % {2 * MIN} = 0").withColumn("stream", F.lit("t"))).where(f"minute <> {39_000 * MIN}")
+    at = spark.createDataFrame([("s", 10 * MIN), ("t", 10 * MIN), ("u", 10 * MIN)], "stream string, checkpoint long")
+    got = lambda limit: sorted((r["stream"], r["minute"] // MIN) for r in movement.next_minutes_batch(minutes, at, limit).collect())
+    assert got(30) == [("s", 11 + k) for k in range(31)]
+    assert got(39_500) == [("s", k) for k in range(11, 38_999)]
+
+
 def test_collector_batch(spark):
     rows = [("s", "c", f"f{k:02d}", "p", 0 if k == 3 else 1, k) for k in range(14)]
     f = spark.createDataFrame(rows, "stream string, collector string, name string, path string, length long, mtime long")
