@@ -1138,7 +1138,7 @@ def _(spark, d):
     base, metrics = files.scratch(spark), _metrics(spark, d)
     for k in range(3):
         inside = (F.unix_millis("ts") >= START + k * 10 * m.DAY) & (F.unix_millis("ts") < START + (k + 1) * 10 * m.DAY) if k < 2 else F.unix_millis("ts") >= START + 20 * m.DAY
-        metrics.where(inside).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        metrics.where(inside).write.mode("append").parquet(f"{base}/in")
         source = spark.readStream.schema(metrics.schema).parquet(f"{base}/in")
         totals = sliding.stream_sliding_sums(source, 7200)
         writer = totals.writeStream.outputMode("update").foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{base}/out/batch={n}"))

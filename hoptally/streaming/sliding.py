@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 SERIES = ["service", "metric", "stream"]
 #: Windows to a stretch of time: a series of any length is dealt out by stretches, each with one window of the one before.
 STRETCH = 64
+#: Totals of a series that leave the stream at once.
+ROWS = 1 << 16
 
 
 def sliding_sums(metrics: DataFrame, seconds: int, time: str = "ts") -> DataFrame:
@@ -36,7 +39,7 @@ def stream_sliding_sums(metrics: DataFrame, seconds: int, delay: int = 10, time:
 
     A trigger gives the totals that its values have changed, the latest of which counts: of their seconds, and of later ones whose windows
     hold them. Values that come more than `delay` seconds late don't count. The ring holds the sums of 2 * seconds + delay seconds at most,
-    and goes when the watermark is that far beyond its last value."""
+    and goes when the watermark is that far beyond its last value. A trigger takes time in proportion to its rows."""
     length = 2 * seconds + delay
     known = metrics.withWatermark(time, f"{delay} seconds").select(*SERIES, time, F.floor(F.unix_millis(time) / 1000).cast("long").alias("second"), F.coalesce("value", F.lit(0)).cast("double").alias("value"))
 
@@ -44,32 +47,25 @@ def stream_sliding_sums(metrics: DataFrame, seconds: int, delay: int = 10, time:
         if state.hasTimedOut:
             state.remove()
             return
-        ring = {int(s): v for s, v in json.loads(state.get[0]).items()} if state.exists else {}
-        newest, touched = max(ring, default=None), set()
-        for frame in frames:
-            for second, value in frame.groupby("second")["value"].sum().items():
-                if newest is None or second > newest - seconds - delay:
-                    ring[int(second)] = ring.get(int(second), 0.0) + float(value)
-                    touched.add(int(second))
-        if not touched:
+        ring = pd.Series({int(s): v for s, v in json.loads(state.get[0]).items()} if state.exists else {}, dtype=float)
+        sums = [frame.groupby("second")["value"].sum() for frame in frames]
+        fresh = pd.concat([ring.iloc[:0], *sums]).groupby(level=0).sum()
+        if len(ring):
+            fresh = fresh[fresh.index > ring.index.max() - seconds - delay]
+        if not len(fresh):
             return
-        newest = max(ring)
-        changed = sorted(s for s in ring if any(t <= s < t + seconds for t in touched)) if len(touched) <= 64 else sorted(s for s in ring if s >= min(touched))
-        order = sorted(ring)
-        upto, running = {}, 0.0
-        for s in order:
-            running += ring[s]
-            upto[s] = running
-        rows, low, before = [], 0, 0.0
-        for s in changed:
-            while order[low] <= s - seconds:
-                before = upto[order[low]]
-                low += 1
-            rows.append((*key, s, upto[s] - before))
-        ring = {s: v for s, v in ring.items() if s > newest - length}
-        state.update((json.dumps(ring),))
+        ring = pd.concat([ring, fresh]).groupby(level=0).sum()  # in order
+        at, touched = ring.index.to_numpy(np.int64), fresh.index.to_numpy(np.int64)
+        upto = np.concatenate([[0.0], ring.to_numpy().cumsum()])
+        total = upto[1:] - upto[np.searchsorted(at, at - seconds, "right")]
+        newest = int(at[-1])
+        changed = np.flatnonzero(np.searchsorted(touched, at, "right") > np.searchsorted(touched, at - seconds, "right"))  # their windows hold one
+        kept = ring[at > newest - length]
+        state.update((json.dumps(dict(zip(kept.index.tolist(), kept.tolist(), strict=True))),))
         state.setTimeoutTimestamp(max((newest + length) * 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(rows, columns=[*SERIES, "second", "total"])
+        for k in range(0, len(changed), ROWS):
+            some = changed[k : k + ROWS]
+            yield pd.DataFrame(dict(zip(SERIES, key, strict=True)) | {"second": at[some], "total": total[some]})
 
     schema = ", ".join(f"{c} string" for c in SERIES) + ", second bigint, total double"
     return known.groupBy(*SERIES).applyInPandasWithState(run, schema, "ring string", "update", GroupStateTimeout.EventTimeTimeout)

@@ -65,6 +65,39 @@ def test_stream_is_the_table_and_its_state_stays_small(spark, tmp_path):
     assert rings and all(len(x) <= 2 * n + 60 for x in rings)
 
 
+def ran(spark, path, rows, n, delay):
+    """What a trigger that gets the rows gives."""
+    rows.write.mode("append").parquet(f"{path}/in")
+    out = []
+    totals = sliding.stream_sliding_sums(spark.readStream.schema(SCHEMA).parquet(f"{path}/in"), n, delay)
+    writer = totals.writeStream.outputMode("update").foreachBatch(lambda batch, _: out.append(batch.groupBy().agg(F.count("*").alias("rows"), F.sum("second").alias("seconds"), F.sum("total").alias("total"), F.collect_set(F.when(F.col("second") < 1500, F.col("second") - 1000)).alias("few")).first()))
+    query = writer.option("checkpointLocation", f"{path}/c").trigger(availableNow=True).start()
+    done = query.awaitTermination(100)
+    query.stop()
+    assert done
+    return out[0]
+
+
+def test_a_trigger_of_many_seconds(spark, tmp_path):
+    """Takes time in proportion to them, not to their square."""
+    many, n = 200_000, 20
+    rows = spark.range(many).selectExpr("'a' service", "'m' metric", "'x' stream", "timestamp_millis(id * 1000 + 1000000) ts", "1L value")
+    got = ran(spark, tmp_path, rows, n, 10)
+    assert got["rows"] == many
+    assert got["seconds"] == many * (many - 1) // 2 + 1000 * many
+    assert got["total"] == n * many - n * (n - 1) // 2
+
+
+def test_a_trigger_gives_what_has_changed(spark, tmp_path):
+    """However many seconds have new values."""
+    rows = lambda *seconds: spark.createDataFrame([("a", "m", "x", (1000 + s) * 1000, 1) for s in seconds], SCHEMA.replace("ts timestamp", "ms long")).select("service", "metric", "stream", F.timestamp_millis("ms").alias("ts"), "value")
+    assert sorted(ran(spark, tmp_path, rows(0, 99), 20, 60)["few"]) == [0, 99]
+    touched = [*range(41, 80), *range(200, 240)]
+    got = ran(spark, tmp_path, rows(*touched), 20, 60)
+    assert sorted(got["few"]) == touched  # not 99, whose window begins at 80
+    assert got["total"] == 2 * sum(min(k + 1, 20) for k in range(39)) + 20
+
+
 def test_timeline_documents_in_parts(spark, tmp_path):
     """The parts one after the other are the documents that to_timeline_json makes, also of odd names."""
     tuples = views.tuples(spark, "/root/testdata/sf0.001").withColumn("topic", F.concat("topic", F.lit('",]}:{"time":')))
